@@ -287,7 +287,7 @@ DERIVED = {**SCHEDULE, **LOGS, **RAW, **LIVE}
 
 
 def references(text: str) -> list[str]:
-    return [n for n in dict.fromkeys(re.findall(r"\{(\w+)\}", text)) if n not in UNFOLD["spark"]]
+    return [n for n in dict.fromkeys(re.findall(r"\{([a-z]\w*)\}", text)) if n not in UNFOLD["spark"]]
 
 
 class Tables(dict):
@@ -336,7 +336,10 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     def plain(text: str) -> str:
         for macro, form in UNFOLD["duckdb"].items():
             text = text.replace("{%s}" % macro, form)
-        return re.sub(r"\{(\w+)\}", r"\1", text)
+        return re.sub(r"\{([a-z]\w*)\}", r"\1", text)
 
     ctes = ",\n".join(f"{n} AS ({plain(t).strip()})" for n, t in wanted.items())
-    return (f"WITH {ctes}\n" if ctes else "") + plain(sql).strip()
+    body = plain(sql).strip()
+    if ctes and body.startswith("WITH"):
+        body = f"SELECT * FROM ({body}) AS result"
+    return (f"WITH {ctes}\n" if ctes else "") + body

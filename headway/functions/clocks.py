@@ -13,7 +13,7 @@ DAY = 86400
 
 # Accepted text forms.
 SERVICE_TIME = r"^[+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+\z"
-CLOCK_TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z"
+CLOCK_TIME = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]\z"
 SERVICE_DATE = r"^[0-9]{8}\z"
 NAIVE_STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?\z"
 ZONED_STAMP = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?"

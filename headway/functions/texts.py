@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+import unicodedata
+from itertools import chain
+
 from pyspark.sql import Column, functions as F
 
 # Characters stripped from both ends of a file cell.
 BLANKS = " \t\r\n\v\f\u0085\u00a0"
 
-# Accented letters and the plain letter each stands for.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+# Barred and stroked letters, which no rule takes apart, and letter pairs.
+STROKED = {"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ħ": "h", "Ħ": "H"}
+PAIRS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
+
+
+def _plain_letters() -> dict[str, str]:
+    """Accented Latin letters and the letter each is built on."""
+    letters = [chr(c) for c in chain(range(0xC0, 0x250), range(0x1E00, 0x1F00))]
+    bases = {x: unicodedata.normalize("NFD", x)[0] for x in letters}
+    return {x: base for x, base in bases.items() if base != x and base.isascii()} | STROKED
+
+
+PLAIN_LETTERS = _plain_letters()
 
 
 def cell(column: Column) -> Column:
@@ -50,7 +63,10 @@ def channel(prefix: str, *parts: Column) -> Column:
 
 
 def unaccent(text: Column) -> Column:
-    return F.translate(text, ACCENTED, PLAIN)
+    plain = F.translate(text, "".join(PLAIN_LETTERS), "".join(PLAIN_LETTERS.values()))
+    for pair, letters in PAIRS.items():
+        plain = F.replace(plain, F.lit(pair), F.lit(letters))
+    return plain
 
 
 def tokens(text: Column) -> Column:
