@@ -9,7 +9,7 @@ from catalog.derived import Tables
 from catalog.registry import RETENTION, SHARED_SQL, iso, query, ts
 from headway.operators import (
     events as N, live_trips as L, monitoring as O, realtime_rows as R, retention as D)
-from headway.plans.feed_load import realtime_tables
+from headway.plans.feed_load import load_messages
 from headway.schemas import REALTIME_TABLES
 from headway.session import shared_dir
 from headway.sources import feeds, lookups, sinks
@@ -372,10 +372,8 @@ WRITTEN_SQL = "\nUNION ALL ".join(sums_sql(n, "flat_") for n in REALTIME_TABLES)
 @query("K2_write_realtime", WRITTEN_SQL)
 def _(t: Tables) -> DataFrame:
     root = shared_dir(t.spark, "realtime")
-    rows = realtime_tables(tagged(t))
-    sinks.write_batch(rows, root, 0)
-    # A repeated batch replaces what it wrote before.
-    sinks.write_batch({"alerts": rows["alerts"]}, root, 0)
+    messages = M.feed_messages(t).where("error is null and message is not null")
+    load_messages(messages, endpoints(t), t["versions"], root, 0)
     return stored_counts(t, root, REALTIME_TABLES)
 
 

@@ -54,10 +54,13 @@ def service_clock(as_of: AsOf, zone: str = SERVICE_ZONE) -> ServiceClock:
 
 def gtfs_time_to_seconds(text: Column) -> Column:
     """``H:M:S`` to seconds, hours past 24 allowed, anything else NULL."""
-    part = lambda i: F.split_part(text, F.lit(":"), F.lit(i)).try_cast("bigint")
+    # Cutting at the separators is several times cheaper than splitting into an array.
+    hours = F.substring_index(text, ":", 1)
+    minutes = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
+    whole = lambda part: part.try_cast("bigint")
     total = F.try_add(
-        F.try_add(F.try_multiply(part(1), F.lit(3600)), F.try_multiply(part(2), F.lit(60))),
-        part(3))
+        F.try_add(F.try_multiply(whole(hours), F.lit(3600)), F.try_multiply(whole(minutes), F.lit(60))),
+        whole(F.substring_index(text, ":", -1)))
     return F.when(text.rlike(SERVICE_TIME), total.try_cast("int"))
 
 

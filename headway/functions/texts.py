@@ -69,23 +69,28 @@ def unaccent(text: Column) -> Column:
     return plain
 
 
+# What separates words, and the pieces of a word padded two before, one after.
+BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
+PIECE = r"(?=(  [^ ]| [^ ]{2}| [^ ] |[^ ]{3}|[^ ]{2} ))"
+
+
 def tokens(text: Column) -> Column:
     """Distinct lower-case words."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+    return F.array_distinct(F.array_remove(F.split(F.lower(text), BETWEEN_WORDS), ""))
 
 
 def trigrams(text: Column) -> Column:
-    """Distinct three-letter pieces of each word, padded two before and one after."""
-    def pieces(word: Column) -> Column:
-        padded = F.concat(F.lit("  "), word, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(word) + 1),
-                           lambda i: padded.substr(i, F.lit(3)))
-    return F.array_distinct(F.flatten(F.transform(tokens(text), pieces)))
+    """Distinct three-letter pieces of each word, padded two before and one after.
+
+    Words are set three blanks apart, the padding of both neighbours; the pattern then takes
+    every piece that lies within one word's padding.
+    """
+    spaced = F.concat(F.lit("  "), F.regexp_replace(F.lower(text), BETWEEN_WORDS, "   "), F.lit(" "))
+    return F.array_distinct(F.regexp_extract_all(spaced, F.lit(PIECE), F.lit(1)))
 
 
 def overlap_share(a: Column, b: Column) -> Column:
     """Size of the common part of two sets over the size of their union."""
     common = F.size(F.array_intersect(a, b))
-    union = F.size(F.array_union(a, b))
-    return F.when(union > 0, common / union).otherwise(F.lit(0.0))
+    union = F.size(a) + F.size(b) - common
+    return F.coalesce(F.try_divide(common, union), F.lit(0.0))

@@ -15,36 +15,40 @@ from headway.functions.texts import blank_to_null, cell, real_number, whole_numb
 
 
 def _text(name: str) -> Column:
-    return cell(F.col(name)).alias(name)
+    return F.col(name)
 
 
 def _optional(name: str) -> Column:
-    return blank_to_null(cell(F.col(name))).alias(name)
+    return blank_to_null(F.col(name)).alias(name)
 
 
 def _int(name: str) -> Column:
-    return whole_number(cell(F.col(name))).alias(name)
+    return whole_number(F.col(name)).alias(name)
 
 
 def _optional_int(name: str) -> Column:
-    return zero_to_null(whole_number(cell(F.col(name)))).alias(name)
+    return zero_to_null(whole_number(F.col(name))).alias(name)
 
 
 def _real(name: str) -> Column:
-    return real_number(cell(F.col(name))).alias(name)
+    return real_number(F.col(name)).alias(name)
 
 
 def _optional_real(name: str) -> Column:
-    return zero_to_null(real_number(cell(F.col(name)))).alias(name)
+    return zero_to_null(real_number(F.col(name))).alias(name)
 
 
 def _date(name: str) -> Column:
-    return gtfs_date(cell(F.col(name))).alias(name)
+    return gtfs_date(F.col(name)).alias(name)
 
 
 def _typed(raw: DataFrame, version_id: int | Column, *columns: Column) -> DataFrame:
+    """Typed columns over stripped cells. Cells are stripped in a projection of their own, so
+    rules that look at a cell several times strip it once."""
     version = version_id if isinstance(version_id, Column) else F.lit(version_id).cast("int")
-    return raw.select(*columns, F.col("source_id"), version.alias("version_id"))
+    cells = raw.select("source_id", *[cell(F.col(c)).alias(c) for c in raw.columns
+                                      if c != "source_id"])
+    return cells.select(*columns, "source_id", version.alias("version_id"))
 
 
 def agency(raw: DataFrame, version_id) -> DataFrame:
@@ -74,7 +78,7 @@ def trips(raw: DataFrame, version_id) -> DataFrame:
 
 
 def stop_times(raw: DataFrame, version_id) -> DataFrame:
-    seconds = lambda name: gtfs_time_to_seconds(cell(F.col(name))).alias(f"{name}_seconds")
+    seconds = lambda name: gtfs_time_to_seconds(F.col(name)).alias(f"{name}_seconds")
     return _typed(raw, version_id, _text("trip_id"), _text("stop_id"), _int("stop_sequence"),
                   seconds("arrival_time"), seconds("departure_time"), _optional("stop_headsign"),
                   _int("pickup_type"), _int("drop_off_type"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.operators.versions import active_version_id
 from headway.schemas import FEED_MESSAGE
+from headway.sources.lookups import inline_rows
 
 # Fixed values: (endpoint name, feed type, source name).
 ENDPOINTS = [
@@ -40,8 +41,7 @@ def stream_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
 
 def endpoints_dim(spark: SparkSession, transport_sources: DataFrame) -> DataFrame:
     """The seven endpoints with their source ids; an unknown source has a NULL id."""
-    endpoints = spark.createDataFrame(
-        ENDPOINTS, "endpoint string, feed_type string, source_name string")
+    endpoints = inline_rows(spark, ["endpoint", "feed_type", "source_name"], ENDPOINTS)
     return endpoints.join(transport_sources.select("source_name", "source_id"),
                           "source_name", "left")
 

@@ -17,8 +17,14 @@ TRANSPORT_SOURCES = [
 ]
 
 
+def inline_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """Fixed rows as a literal table, whose size the optimizer knows."""
+    values = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
 def transport_sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRANSPORT_SOURCES, "source_id int, source_name string")
+    return inline_rows(spark, ["source_id", "source_name"], TRANSPORT_SOURCES)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

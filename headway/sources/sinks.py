@@ -7,29 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.functions.clocks import AsOf, instant
-from headway.schemas import SCOPE
 
-# Columns each large table is clustered by, so that scans for a stop, a trip or a shape skip
-# most row groups. Ranges are cut from samples of the whole key, so a source that holds a
-# third of all rows is spread over as many tasks as its rows need.
-CLUSTER = {"stop_times": [*SCOPE, "stop_id", "departure_time_seconds", "trip_id"],
-           "trips": [*SCOPE, "trip_id"], "shapes": [*SCOPE, "shape_id", "shape_pt_sequence"]}
+# Column each large table is spread and sorted by within its version and source, and what
+# rows of one value are sorted by further.
+CLUSTER = {"stop_times": ["stop_id", "departure_time_seconds"], "trips": ["trip_id"],
+           "shapes": ["shape_id", "shape_pt_sequence"]}
+FOLDERS = ["version_id", "source_id"]
 
 
 def write_version(tables: dict[str, DataFrame], root: str) -> None:
     """Write schedule tables under ``root/<table>/version_id=/source_id=``.
 
-    Only the (version, source) partitions present are replaced, so a repeated load of one
-    source leaves the others alone. Readers follow the versions table, whose row for this
-    version is activated after all of this has succeeded.
+    Rows are rebalanced in one pass by version, source and cluster column: adaptive execution
+    joins small partitions and splits large ones, so neither a source nor a stop that holds a
+    third of all rows ends in one task. Files are sorted by the cluster column and carry a
+    bloom filter on it, so a lookup skips most files and row groups.
+
+    Only the (version, source) folders present are replaced, so a repeated load of one source
+    leaves the others alone. Readers follow the versions table, whose row for this version is
+    activated after all of this has succeeded.
     """
     for name, df in tables.items():
-        if name in CLUSTER:
-            laid = df.repartitionByRange(*CLUSTER[name]).sortWithinPartitions(*CLUSTER[name])
-        else:
-            laid = df.hint("rebalance", *SCOPE)
-        (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version_id", "source_id").parquet(f"{root.rstrip('/')}/{name}"))
+        order = CLUSTER.get(name, [])
+        laid = df.hint("rebalance", *FOLDERS, *order[:1])
+        writer = laid.sortWithinPartitions(*FOLDERS, *order).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic")
+        if order:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
+        writer.partitionBy(*FOLDERS).parquet(f"{root.rstrip('/')}/{name}")
 
 
 def read_version_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
