@@ -14,7 +14,8 @@ from headway.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("tests", 8, 4, **{
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.sql.maxMetadataStringLength": "4000"})
     yield session
     session.stop()
 
