@@ -96,7 +96,8 @@ def feed_messages(t: Tables) -> DataFrame:
         F.when(m % 100 != 0, F.unix_seconds("first_ts")).alias("timestamp"),
         F.lit(None).cast("string").alias("feed_version"))
     failed = m % 700 == 40
-    return (t["fx_ev"].withColumn("entity", entity)
+    # Events are brought together while they are still narrow, then built into entities.
+    return (t["fx_ev"].repartition("feed_message_id").withColumn("entity", entity)
             .groupBy("feed_message_id", "kind", "half")
             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("received_at"),
                  F.collect_list("entity").alias("entity"))

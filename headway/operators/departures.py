@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from headway.functions.clocks import (
     DAY, AsOf, effective_seconds, relative_position,
     seconds_to_clock, seconds_to_interval, service_clock)
+from headway.operators.parents import to_parent
 from headway.operators.services import active_services, service_days
 from headway.operators.stops import (
     ROUTE_FACTS, last_sequences, platform_edges, platform_label, resolve_stop_platforms)
@@ -183,11 +184,9 @@ def latest_stop_updates(stop_time_updates: DataFrame, trip_updates: DataFrame,
     """
     facts = F.struct("arrival_delay", "departure_delay", "schedule_relationship", "received_at")
     newest = F.struct("received_at", "trip_update_id", "stop_sequence")
-    return (stop_time_updates
-            .join(trip_updates.select("trip_update_id", "feed_message_id", "trip_id"),
-                  "trip_update_id")
-            .join(feed_messages.select("feed_message_id", "source_id", "received_at"),
-                  "feed_message_id")
+    of_trips = to_parent(stop_time_updates, trip_updates, "trip_update_id", "feed_message_id",
+                         "trip_id")
+    return (to_parent(of_trips, feed_messages, "feed_message_id", "source_id", "received_at")
             .groupBy("source_id", "trip_id", "stop_id").agg(F.max_by(facts, newest).alias("u"))
             .select("source_id", "trip_id", "stop_id", "u.arrival_delay", "u.departure_delay",
                     F.col("u.schedule_relationship").alias("update_relationship"),

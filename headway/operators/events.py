@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions.clocks import AsOf, instant, iso_utc
 from headway.functions.texts import channel, json_payload
+from headway.operators.parents import parent_key, to_parent
 
 # Fixed value: rows are only ever appended.
 OPERATION = "INSERT"
@@ -19,16 +20,16 @@ OPERATION = "INSERT"
 
 def with_feed(rows: DataFrame, feed_messages: DataFrame) -> DataFrame:
     """Rows with their message's source, version and time (``feed_time``)."""
-    feeds = feed_messages.select("feed_message_id", "source_id", "version_id",
-                                 F.col("timestamp").alias("feed_time"))
-    return rows.join(feeds, "feed_message_id")
+    return to_parent(rows, feed_messages, "feed_message_id", "source_id", "version_id",
+                     F.col("timestamp").alias("feed_time"))
 
 
 def with_trip_update(stop_time_updates: DataFrame, trip_updates: DataFrame,
                      feed_messages: DataFrame) -> DataFrame:
     """Stop rows with their trip and message."""
-    parents = trip_updates.select("trip_update_id", "feed_message_id", "trip_id", "route_id")
-    return with_feed(stop_time_updates.join(parents, "trip_update_id"), feed_messages)
+    rows = to_parent(stop_time_updates, trip_updates, "trip_update_id", "feed_message_id",
+                     "trip_id", "route_id")
+    return with_feed(rows, feed_messages)
 
 
 def _cols(*names: str) -> dict[str, Column]:
@@ -84,13 +85,15 @@ def alert_events(alerts: DataFrame) -> DataFrame:
 def _selector_events(alerts: DataFrame, selectors: DataFrame, what: str, prefix: str) -> DataFrame:
     """An event per distinct (route, stop, agency) selector of an alert that names ``what``."""
     named = (selectors.where(F.col(what).isNotNull())
-             .select("alert_id", "route_id", "stop_id", "agency_id").distinct())
+             .select(*parent_key(selectors, alerts, "alert_id"), "route_id", "stop_id", "agency_id")
+             .distinct())
     payload = json_payload(
         type=F.lit("service_alert"), **_cols("alert_id", what, "cause", "effect", "severity"),
         **_stamp())
-    facts = alerts.select("alert_id", "source_id", "cause", "effect", "severity", "feed_time")
-    return _events(named.join(facts, "alert_id"),
-                   channel(prefix, F.col("source_id"), F.col(what)), payload, F.col("feed_time"))
+    rows = to_parent(named, alerts, "alert_id", "source_id", "cause", "effect", "severity",
+                     "feed_time")
+    return _events(rows, channel(prefix, F.col("source_id"), F.col(what)), payload,
+                   F.col("feed_time"))
 
 
 def alert_route_events(alerts: DataFrame, selectors: DataFrame) -> DataFrame:

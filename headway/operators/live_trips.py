@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from headway.functions.clocks import AsOf, instant
+from headway.operators.parents import parent_key, to_parent
 
 TripIds = Sequence[str] | DataFrame | None
 
@@ -23,12 +24,14 @@ def _of_trips(trip_updates: DataFrame, trip_ids: TripIds) -> DataFrame:
 def _recent(live: dict[str, DataFrame], trip_ids: TripIds, as_of: AsOf, minutes: int) -> DataFrame:
     """Trip updates of messages received within the last ``minutes``, with their stop rows."""
     since = instant(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    feeds = (live["feed_messages"].where(F.col("received_at") > since)
-             .select("feed_message_id", "source_id", "received_at"))
-    updates = (_of_trips(live["trip_updates"], trip_ids)
-               .select("trip_update_id", "feed_message_id", "trip_id", "route_id")
-               .join(feeds, "feed_message_id"))
-    return updates.join(live["stop_time_updates"], "trip_update_id", "left")
+    feeds = live["feed_messages"].where(F.col("received_at") > since)
+    updates = to_parent(_of_trips(live["trip_updates"], trip_ids), feeds, "feed_message_id",
+                        "source_id", "received_at")
+    facts = ["stop_id", "stop_sequence", "arrival_delay", "departure_delay"]
+    stops = live["stop_time_updates"]
+    on = parent_key(updates, stops, "trip_update_id")
+    return (updates.select(*on, "trip_id", "route_id", "source_id", "received_at")
+            .join(stops.select(*on, *facts, "schedule_relationship"), on, "left"))
 
 
 def get_trip_realtime_data(live: dict[str, DataFrame], trip_ids: TripIds, as_of: AsOf,

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions.clocks import AsOf, day_age, instant
+from headway.operators.parents import to_parent
 
 Live = dict[str, DataFrame]
 
@@ -48,12 +49,12 @@ def trip_update_slices(trip_updates: DataFrame, limit: Column, batch_seconds: in
 
 
 def keep_children(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    return children.join(parents.select(key), key, "left_semi")
+    return to_parent(children, parents, key, how="left_semi")
 
 
 def drop_children(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Rows whose parent is gone."""
-    return children.join(parents.select(key), key, "left_anti")
+    return to_parent(children, parents, key, how="left_anti")
 
 
 def keep_feed_messages(feed_messages: DataFrame, limit: Column,
@@ -70,14 +71,12 @@ def drop_feed_messages(feed_messages: DataFrame, limit: Column,
 def drop_vehicle_positions(positions: DataFrame, feed_messages: DataFrame,
                            limit: Column) -> DataFrame:
     """Positions whose message is too old."""
-    return positions.join(drop_feed_messages(feed_messages, limit).select("feed_message_id"),
-                          "feed_message_id", "left_semi")
+    return keep_children(positions, drop_feed_messages(feed_messages, limit), "feed_message_id")
 
 
 def keep_vehicle_positions(positions: DataFrame, feed_messages: DataFrame,
                            limit: Column) -> DataFrame:
-    return positions.join(drop_feed_messages(feed_messages, limit).select("feed_message_id"),
-                          "feed_message_id", "left_anti")
+    return drop_children(positions, drop_feed_messages(feed_messages, limit), "feed_message_id")
 
 
 def expired_alerts(alert_active_periods: DataFrame, limit: Column, as_of: AsOf) -> DataFrame:

@@ -12,12 +12,13 @@ from headway.operators.stops import stop_routes
 from headway.operators.versions import activate_version, create_version
 from headway.schemas import STATIC_TABLES
 from headway.sources import sinks
-from headway.sources.gtfs_files import scan_gtfs_file
+from headway.sources.gtfs_files import listed_sources, scan_gtfs_file
 
 
 def typed_tables(spark: SparkSession, root: str, version_id: int) -> dict[str, DataFrame]:
     """All schedule tables below ``root`` as typed rows of one version."""
-    return {name: TYPED[name](scan_gtfs_file(spark, root, name), version_id)
+    found = listed_sources(spark, root)
+    return {name: TYPED[name](scan_gtfs_file(spark, root, name, sources=found[name]), version_id)
             for name in STATIC_TABLES}
 
 

@@ -53,24 +53,32 @@ def _read_source(spark: SparkSession, path: str, columns: list[str],
                          escape='"', ignoreLeadingWhiteSpace=True, mode="PERMISSIVE")
     named = {}
     for position, field in enumerate(raw.columns):
-        named[field.removeprefix("﻿").strip()] = position
+        named[field.removeprefix("\ufeff").strip()] = position
     by_position = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
     return by_position.select(*[
         (F.col(f"c{named[c]}") if c in named else F.lit(None).cast("string")).alias(c)
         for c in columns])
 
 
-def scan_gtfs_file(spark: SparkSession, root: str, name: str, *,
+def listed_sources(spark: SparkSession, root: str) -> dict[str, list[int]]:
+    """Sources that have each table: the file listing, which the driver needs to name its reads."""
+    found: dict[str, list[int]] = {name: [] for name in RAW_COLUMNS}
+    for row in scan_paths(spark, root).collect():
+        found[row.table_name].append(row.source_id)
+    return {name: sorted(sources) for name, sources in found.items()}
+
+
+def scan_gtfs_file(spark: SparkSession, root: str, name: str, *, sources: list[int] | None = None,
                    multiline: bool | None = None) -> DataFrame:
     """One schedule table of all sources, every cell as text, tagged with its source.
 
-    A source without this file adds no rows. ``multiline`` forces or forbids records that
-    span lines; left out, each file is checked first.
+    A source without this file adds no rows. ``sources`` saves the listing where it is known.
+    ``multiline`` forces or forbids records that span lines; left out, each file is checked
+    first.
     """
     columns = RAW_COLUMNS[name]
-    # One row per source that has the file: the listing the driver needs to name its reads.
-    found = scan_paths(spark, root).where(F.col("table_name") == name)
-    sources = sorted(r.source_id for r in found.select("source_id").collect())
+    if sources is None:
+        sources = listed_sources(spark, root)[name]
     parts = [
         _read_source(spark, f"{root.rstrip('/')}/{s}/google_transit/{name}.txt", columns, multiline)
         .withColumn("source_id", F.lit(s))
@@ -79,7 +87,7 @@ def scan_gtfs_file(spark: SparkSession, root: str, name: str, *,
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                               + [T.StructField("source_id", T.IntegerType())])
         return spark.createDataFrame([], schema)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_gtfs_files(table: DataFrame, root: str, name: str, sources: list[int]) -> None:

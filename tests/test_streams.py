@@ -197,3 +197,16 @@ def test_repeated_message_is_taken_once(spark, arrivals, endpoints, versions, tm
     once = spark.read.parquet(out)
     assert once.count() == 11
     assert once.where("feed_type = 'vehicle_positions' and entity_id = 'V1'").count() == 2
+
+
+def test_recent_lookups_read_recent_batches_only(spark, arrivals, endpoints, versions, batch, physical, tmp_path):
+    from headway.operators.live_trips import get_trip_realtime_data
+    out = str(tmp_path / "out")
+    jobs.ingest_feeds(one_by_one(spark, arrivals), endpoints, lambda: versions, out,
+                      str(tmp_path / "progress")).awaitTermination()
+    stored = {n: spark.read.parquet(f"{out}/{n}") for n in REALTIME_TABLES}
+    now = "2024-01-15 00:45:00"
+    recent = get_trip_realtime_data(stored, ["T1"], now)
+    assert rows(recent, *recent.columns) == rows(get_trip_realtime_data(batch, ["T1"], now), *recent.columns)
+    assert recent.count() == 1
+    assert "dynamicpruning" in physical(recent)
