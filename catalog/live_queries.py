@@ -491,6 +491,26 @@ def _(t: Tables) -> DataFrame:
     return D.cleanup_summary(t.pick(*LIVE), RETENTION)
 
 
+AFTER = {
+    "feed_messages": f"SELECT * FROM {{feed_messages}} WHERE timestamp >= {CUTOFF}",
+    "vehicle_positions": f"SELECT * FROM {{vehicle_positions}} WHERE feed_message_id IN {KEPT_FEEDS}",
+    "trip_updates": f"SELECT * FROM {{trip_updates}} WHERE feed_message_id IN {KEPT_FEEDS} "
+                    f"AND (timestamp IS NULL OR timestamp >= {CUTOFF})",
+    "alerts": f"SELECT * FROM {{alerts}} WHERE feed_message_id IN {KEPT_FEEDS} AND alert_id NOT IN ({EXPIRED})",
+}
+AFTER["stop_time_updates"] = ("SELECT * FROM {stop_time_updates} WHERE trip_update_id IN "
+                              f"(SELECT trip_update_id FROM ({AFTER['trip_updates']}) AS x)")
+for _name in ("alert_active_periods", "alert_informed_entities", "alert_translations"):
+    AFTER[_name] = (f"SELECT * FROM {{{_name}}} WHERE alert_id IN "
+                    f"(SELECT alert_id FROM ({AFTER['alerts']}) AS x)")
+
+
+@query("D6_after_cleanup", "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS records FROM ({sql}) AS x" for n, sql in AFTER.items()))
+def _(t: Tables) -> DataFrame:
+    return O.table_row_counts(D.after_cleanup(t.pick(*REALTIME_TABLES), RETENTION))
+
+
 MAIN = ["vehicle_positions", "trip_updates", "alerts"]
 
 

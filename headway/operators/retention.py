@@ -102,6 +102,16 @@ def cascade(live: Live, feeds: DataFrame) -> Live:
     return kept
 
 
+def after_cleanup(live: Live, as_of: AsOf, retention_days: int = 7) -> Live:
+    """All realtime tables as a cleanup leaves them: old trip updates, expired alerts and old
+    messages are gone, and with each its children."""
+    limit = cutoff(as_of, retention_days)
+    expired = expired_alerts(live["alert_active_periods"], limit, as_of)
+    left = {**live, "trip_updates": keep_trip_updates(live["trip_updates"], limit),
+            "alerts": live["alerts"].join(expired, "alert_id", "left_anti")}
+    return cascade(left, keep_feed_messages(live["feed_messages"], limit))
+
+
 def _row(table: str, batch: int, rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("records_deleted")).select(
         F.lit(table).alias("table_name"), F.lit(batch).alias("batch_number"), "records_deleted")

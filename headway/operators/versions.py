@@ -68,9 +68,14 @@ def activate_version(versions: DataFrame, version_id: int) -> DataFrame:
 
 
 def versions_to_delete(versions: DataFrame, keep: int = 1) -> DataFrame:
-    """Inactive versions beyond the ``keep`` newest."""
-    return (versions.where("not is_active")
-            .orderBy(F.desc("created_at"), F.desc("version_id")).offset(keep))
+    """Inactive versions beyond the ``keep`` newest.
+
+    The newest are a top-k, which each task cuts to ``keep`` rows; skipping them by offset
+    would bring all versions into one task.
+    """
+    inactive = versions.where("not is_active")
+    newest = inactive.orderBy(F.desc("created_at"), F.desc("version_id")).limit(keep)
+    return inactive.join(newest.select("version_id"), "version_id", "left_anti")
 
 
 def _counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -29,6 +29,11 @@ def quality_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "not_null_and_length": quality.not_null_and_length(tables)}
 
 
+def newest_snapshot(spark: SparkSession, warehouse: str) -> int:
+    saved = spark.read.parquet(f"{warehouse.rstrip('/')}/versions")
+    return saved.agg(F.max("snapshot")).first()[0]
+
+
 def load_schedule(spark: SparkSession, drop: str, warehouse: str, metadata: DataFrame,
                   as_of: AsOf) -> int:
     """Load the files below ``drop`` as a new version and make it the active one.
@@ -39,7 +44,7 @@ def load_schedule(spark: SparkSession, drop: str, warehouse: str, metadata: Data
     versions = sinks.load_versions(spark, warehouse)
     created = create_version(versions, metadata, as_of)
     version_id = created.agg(F.max("version_id")).first()[0]
-    snapshot = spark.read.parquet(f"{warehouse.rstrip('/')}/versions").agg(F.max("snapshot")).first()[0]
+    snapshot = newest_snapshot(spark, warehouse)
     sinks.save_versions(created, warehouse, snapshot + 1)
     sinks.write_version(typed_tables(spark, drop, version_id), warehouse)
     listed = sinks.load_versions(spark, warehouse)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.functions.clocks import AsOf, instant
@@ -14,6 +17,18 @@ CLUSTER = {"stop_times": ["stop_id", "departure_time_seconds"], "trips": ["trip_
            "shapes": ["shape_id", "shape_pt_sequence"]}
 FOLDERS = ["version_id", "source_id"]
 
+# Independent tables written at the same time, so that the last tasks of one do not leave the
+# cluster idle.
+AT_ONCE = 4
+
+
+def _write_all(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
+    """Run independent writes side by side; the first failure is raised once all have ended."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]
+    for write in running:
+        write.result()
+
 
 def write_version(tables: dict[str, DataFrame], root: str) -> None:
     """Write schedule tables under ``root/<table>/version_id=/source_id=``.
@@ -27,15 +42,18 @@ def write_version(tables: dict[str, DataFrame], root: str) -> None:
     leaves the others alone. Readers follow the versions table, whose row for this version is
     activated after all of this has succeeded.
     """
-    for name, df in tables.items():
+    def write(name: str) -> None:
         order = CLUSTER.get(name, [])
-        laid = df.hint("rebalance", *FOLDERS, *order[:1])
+        laid = tables[name].hint("rebalance", *FOLDERS, *order[:1])
         writer = laid.sortWithinPartitions(*FOLDERS, *order).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic")
         if order:
             writer = writer.option(f"parquet.bloom.filter.enabled#{order[0]}", "true")
         writer.partitionBy(*FOLDERS).parquet(f"{root.rstrip('/')}/{name}")
 
+    spark = next(iter(tables.values())).sparkSession
+    _write_all(spark, [partial(write, name) for name in tables])
+
 
 def read_version_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
@@ -63,9 +81,13 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
     failure leaves no duplicates. Readers that start from ``feed_messages`` (written last)
     only see batches that are whole.
     """
-    for name in sorted(tables, key=lambda n: n == "feed_messages"):
-        (tables[name].write.mode("overwrite")
-         .parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}"))
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
+
+    spark = next(iter(tables.values())).sparkSession
+    _write_all(spark, [partial(write, name) for name in tables if name != "feed_messages"])
+    if "feed_messages" in tables:
+        write("feed_messages")
 
 
 def publish_events(events: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
