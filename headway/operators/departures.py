@@ -1,7 +1,8 @@
 """Scheduled calls at stops: the next departures, boards, timetables, live delays.
 
 ``tables`` maps table names to DataFrames of all sources and versions. Unless a version is
-given, the active one is used throughout.
+given, the active one is used throughout. Where ``trip_ends`` (the last stop of each trip, kept
+at load) is among them it is read, otherwise last stops are computed from the stop times.
 """
 
 from __future__ import annotations
@@ -56,8 +57,9 @@ def _due(calls: DataFrame, running: DataFrame, clock) -> DataFrame:
                    & ((F.col("day_offset") == 0) | (F.col("departure_time_seconds") >= DAY))))
 
 
-def _not_last(due: DataFrame, stop_times: DataFrame) -> DataFrame:
-    return (due.join(last_sequences(stop_times), TRIP)
+def _not_last(due: DataFrame, ends: DataFrame) -> DataFrame:
+    """Without the calls at which their trip ends."""
+    return (due.join(ends.select(*TRIP, "last_sequence"), TRIP)
             .where("stop_sequence < last_sequence").drop("last_sequence"))
 
 
@@ -86,11 +88,14 @@ def get_stop_departures(tables: Tables, stop_id: str, source_id: int, as_of: AsO
     platforms = resolve_stop_platforms(mine("stops"), stop_id).select(*SCOPE, "stop_id", "stop_name")
     calls = mine("stop_times").select(*TRIP, *CALL).join(platforms, [*SCOPE, "stop_id"])
     due = _due(calls, _running_trips(mine, clock), clock)
-    # Last stops are only needed of the trips that call here.
-    here = (mine("stop_times").where(F.col("departure_time_seconds") >= clock.seconds)
-            .join(platforms, [*SCOPE, "stop_id"], "left_semi").select(*TRIP))
-    times = mine("stop_times").join(here, TRIP, "left_semi")
-    board = _finish(_not_last(due, times), mine("routes"), tables.get("platform_numbers"),
+    if "trip_ends" in tables:
+        ends = mine("trip_ends")
+    else:
+        # Last stops are only needed of the trips that call here.
+        here = (mine("stop_times").where(F.col("departure_time_seconds") >= clock.seconds)
+                .join(platforms, [*SCOPE, "stop_id"], "left_semi").select(*TRIP))
+        ends = last_sequences(mine("stop_times").join(here, TRIP, "left_semi"))
+    board = _finish(_not_last(due, ends), mine("routes"), tables.get("platform_numbers"),
                     F.lit(stop_id))
     return (board.orderBy("scheduled_departure_time_seconds", "trip_id", "stop_sequence")
             .limit(limit).select(*BOARD))
@@ -102,8 +107,8 @@ def scheduled_departures(tables: Tables, as_of: AsOf, version_id: int | None = N
     mine, clock = _mine(tables, None, version_id), service_clock(as_of, zone)
     # Route existence is settled per trip, before trips meet their many calls.
     running = _running_trips(mine, clock).join(mine("routes"), [*SCOPE, "route_id"], "left_semi")
-    return _not_last(_due(mine("stop_times").select(*TRIP, *CALL), running, clock),
-                     mine("stop_times"))
+    ends = mine("trip_ends") if "trip_ends" in tables else last_sequences(mine("stop_times"))
+    return _not_last(_due(mine("stop_times").select(*TRIP, *CALL), running, clock), ends)
 
 
 def departure_board(tables: Tables, as_of: AsOf, k: int = 50, version_id: int | None = None,

@@ -8,7 +8,7 @@ from headway.functions.clocks import AsOf
 from headway.operators import quality
 from headway.operators.services import upcoming_services
 from headway.operators.static_rows import TYPED
-from headway.operators.stops import stop_routes
+from headway.operators.stops import last_sequences, stop_routes
 from headway.operators.versions import activate_version, create_version
 from headway.schemas import STATIC_TABLES
 from headway.sources import sinks
@@ -47,6 +47,10 @@ def load_schedule(spark: SparkSession, drop: str, warehouse: str, metadata: Data
     snapshot = newest_snapshot(spark, warehouse)
     sinks.save_versions(created, warehouse, snapshot + 1)
     sinks.write_version(typed_tables(spark, drop, version_id), warehouse)
+    # Where each trip ends is settled once, from the rows just written.
+    written = spark.read.parquet(f"{warehouse.rstrip('/')}/stop_times")
+    ends = last_sequences(written.where(F.col("version_id") == version_id))
+    sinks.write_version({"trip_ends": ends}, warehouse)
     listed = sinks.load_versions(spark, warehouse)
     sinks.save_versions(activate_version(listed, version_id), warehouse, snapshot + 2)
     return version_id

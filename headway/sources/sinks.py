@@ -14,7 +14,7 @@ from headway.functions.clocks import AsOf, instant
 # Column each large table is spread and sorted by within its version and source, and what
 # rows of one value are sorted by further.
 CLUSTER = {"stop_times": ["stop_id", "departure_time_seconds"], "trips": ["trip_id"],
-           "shapes": ["shape_id", "shape_pt_sequence"]}
+           "shapes": ["shape_id", "shape_pt_sequence"], "trip_ends": ["trip_id"]}
 FOLDERS = ["version_id", "source_id"]
 
 # Independent tables written at the same time, so that the last tasks of one do not leave the
@@ -55,6 +55,18 @@ def write_version(tables: dict[str, DataFrame], root: str) -> None:
     _write_all(spark, [partial(write, name) for name in tables])
 
 
+def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int) -> None:
+    """Save trip-keyed tables (stop times, trips, trip ends) bucketed by trip in the catalog.
+
+    Boards and other whole-timetable jobs join these on source, version and trip. With equal
+    buckets, and ``spark.sql.requireAllClusterKeysForCoPartition`` off in the job that reads
+    them, those joins need no shuffle. The layout of ``write_version`` serves single stops better.
+    """
+    for name, df in tables.items():
+        (df.repartition(buckets, "trip_id").write.mode("overwrite").partitionBy(*FOLDERS)
+         .bucketBy(buckets, "trip_id").sortBy("trip_id").saveAsTable(f"{database}.{name}"))
+
+
 def read_version_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
 

@@ -101,3 +101,32 @@ def test_grid_join_equals_brute_force(spark, lat, spread, radius):
         if near:
             want[vid] = (near[0][1], len(near))
     assert {r.id: (r.nearest_stop_id, r.stops_near) for r in got.collect()} == want
+
+
+def test_saved_trip_ends_give_the_same_board(spark, tmp_path):
+    tables = stored_schedule(spark, tmp_path)
+    sinks.write_version({"trip_ends": P.last_sequences(tables["stop_times"])}, str(tmp_path))
+    ends = sinks.read_version_tables(spark, str(tmp_path), ["trip_ends"])
+    for query in (lambda t: D.departure_board(t, "2024-01-14 21:00:00", 5),
+                  lambda t: D.get_stop_departures(t, "S5", 2, "2024-01-14 21:00:00")):
+        a, b = query(tables), query({**tables, **ends})
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, physical):
+    t = Tables(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS transit")
+    sinks.save_bucketed({"stop_times": t["stop_times"], "trips": t["trips"],
+                         "trip_ends": P.last_sequences(t["stop_times"])}, "transit", 4)
+    stored = {n: spark.table(f"transit.{n}") for n in ("stop_times", "trip_ends")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        kept = P.before_last_stop(stored["stop_times"], stored["trip_ends"])
+        assert "Exchange" not in physical(kept)
+        want = P.before_last_stop(t["stop_times"])
+        assert sorted(map(repr, kept.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+        spark.sql("DROP DATABASE transit CASCADE")
