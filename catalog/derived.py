@@ -7,6 +7,7 @@ One text per table serves Spark and the SQL check alike. ``{name}`` refers to an
 from __future__ import annotations
 
 import re
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -291,12 +292,23 @@ def references(text: str) -> list[str]:
 
 
 class Tables(dict):
-    """Given and derived tables by name, built when first asked for."""
+    """Given and derived tables by name, defined when first asked for.
+
+    These are definitions only; no rows are kept between queries.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Tables:
+        """The tables of a folder, defined once per session as a user would."""
+        defined = _DEFINED.setdefault(spark, {})
+        if sf_dir not in defined:
+            defined[sf_dir] = cls(spark, sf_dir)
+        return defined[sf_dir]
+
     def __missing__(self, name: str) -> DataFrame:
         if name in DERIVED:
             text = DERIVED[name]
@@ -317,6 +329,9 @@ class Tables(dict):
         return {n: self[n] for n in names}
 
 
+_DEFINED: WeakKeyDictionary[SparkSession, dict[str, Tables]] = WeakKeyDictionary()
+
+
 def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     """``sql`` for the check engine, led by the derived tables it needs.
 

@@ -65,7 +65,7 @@ def iso(expression: str) -> str:
 def runner(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return plain(fn(Tables(spark, sf_dir)))
+        return plain(fn(Tables.of(spark, sf_dir)))
     return run
 
 

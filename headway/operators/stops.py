@@ -75,14 +75,15 @@ def get_stop_routes(tables: dict[str, DataFrame], source_id: int, stop_id: str,
 def stop_routes(tables: dict[str, DataFrame], version_id: int | None = None) -> DataFrame:
     """Routes serving each stop, with trip and service counts (the saved stop view).
 
-    A trip has one route and one service, so trips are counted per service first; what is
-    left to gather per stop and route is one row per service, however busy the stop.
+    Repeated calls of a trip are dropped after the join, whose partitioning by trip serves
+    that too. A trip has one service, so trips are counted per service first; what is left to
+    gather per stop and route is one row per service, however busy the stop.
     """
     mine = lambda n: in_scope(tables[n], tables["versions"], None, version_id)
-    calling = mine("stop_times").select(*SCOPE, "stop_id", "trip_id").distinct()
     runs = mine("trips").select(*SCOPE, "trip_id", "route_id", "service_id")
-    per_service = (calling.join(runs, [*SCOPE, "trip_id"])
-                   .groupBy(*SCOPE, "stop_id", "route_id", "service_id")
+    calling = (mine("stop_times").select(*SCOPE, "stop_id", "trip_id").join(runs, [*SCOPE, "trip_id"])
+               .distinct())
+    per_service = (calling.groupBy(*SCOPE, "stop_id", "route_id", "service_id")
                    .agg(F.count(F.lit(1)).alias("trips")))
     counts = per_service.groupBy(*SCOPE, "stop_id", "route_id").agg(
         F.sum("trips").alias("trip_count"), F.count(F.lit(1)).alias("service_count"),
