@@ -199,7 +199,7 @@ def _priors(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: str = "text",
-             label: str = "lang", fallback_host: str = "source", least: float = 0.5
+             label: str = "lang", fallback_host: str = "source", least: float = 0.35
              ) -> DataFrame:
     """``doc_id, mark, language, posterior, text_language, kept`` for every document.
 
