@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import langid, mixing, packing, pii, simhash
+from headway.llm import langid, mixing, packing, pii, repeats, simhash
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("_size") * F.col("_repeats")).alias("taken")))
 
 
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its long repeated byte strings."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -47,7 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mix_sources, op6_simhash_groups, op8_language_id, op9_pii_spans,
+    f.__name__: f for f in (op1_mix_sources, op2_repeated_bytes, op6_simhash_groups, op8_language_id, op9_pii_spans,
                             op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
