@@ -262,6 +262,8 @@ def _spans(pdf: pd.DataFrame, string: np.ndarray, offset: np.ndarray) -> pd.Data
     """Covered ranges of the texts, a row for each run of neighbouring windows."""
     single = (pdf["n"].to_numpy() == 1)[string]  # the others are repeated whole
     string, offset = string[single], offset[single]
+    if not len(string):
+        return pd.DataFrame({"id": [], "mark": [], "start": [], "stop": []}, dtype="int64")
     order = np.lexsort((offset, string))
     string, offset = string[order], offset[order]
     first = np.ones(len(string), bool)
