@@ -319,13 +319,16 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gram = rows["gram"].to_numpy().view(np.uint64)
             for start, end, fits in _parts(left, right):
                 least, most = REACH - start, REACH - (end - LENGTH)
-                for r in np.flatnonzero(fits & (rows["n"].to_numpy() >= 1)):
-                    tag = gram[r] ^ np.uint64(least)
+                rest = np.flatnonzero(fits)
+                core = [mixed(s[rest, end] - s[rest, start] + (gram[rest] ^ np.uint64(least)))
+                        .view(np.int64) for s in sums]
+                for i, r in enumerate(rest):
+                    # A window is known by its anchor and distance too, so it never meets itself.
                     ahead = np.arange(max(least, LENGTH - right[r]), min(most, left[r]) + 1)
-                    begin = REACH - ahead
+                    begin, tag = REACH - ahead, gram[r] ^ ahead.astype(np.uint64)
                     hashes = [mixed((s[r, begin + LENGTH] - s[r, begin]) * k.down[begin] + tag)
                               for s, k in zip(sums, (one, two))]
-                    cores = [int(mixed(s[r, end] - s[r, start] + tag).view(np.int64)) for s in sums]
+                    cores = [int(c[i]) for c in core]
                     values = (*cores, int(rows["id"].iloc[r]), int(rows["mark"].iloc[r]),
                               int(rows["pos"].iloc[r]), int(ahead[0]),
                               hashes[0].view(np.int64).tolist(), hashes[1].view(np.int64).tolist())
