@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import langid, mixing, packing, pii, repeats, simhash
+from headway.llm import chat, langid, mixing, packing, pii, quality, repeats, simhash, topk, urls
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,29 @@ def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether the rules' joint verdict keeps it."""
+    found = quality.judge(table(spark, sf_dir, "documents"))
+    return found.withColumn("posterior", F.round("posterior", 6))
+
+
+def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from every participant's side, with its mask."""
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    outcomes = urls.page_outcomes(pages, table(spark, sf_dir, "labels"))
+    return urls.judge(pages, outcomes).drop("bound")
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -52,7 +75,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mix_sources, op2_repeated_bytes, op6_simhash_groups, op8_language_id, op9_pii_spans,
-                            op10_best_fit_packing)
+    f.__name__: f for f in (
+        op1_mix_sources, op2_repeated_bytes, op3_weak_supervision, op4_chat_perspectives,
+        op5_threshold_topk, op6_simhash_groups, op7_host_reputation, op8_language_id,
+        op9_pii_spans, op10_best_fit_packing)
+}
+SQL: dict[str, str] = {
+    "op4_chat_perspectives": chat.check_sql(),
+    "op5_threshold_topk": topk.check_sql(20),
+    "op7_host_reputation": urls.check_sql(),
 }
-SQL: dict[str, str] = {}
