@@ -58,7 +58,7 @@ class Rule:
 
 RULES = (
     Rule("length", "n_words", 50, 100, rising=True),
-    Rule("letters", "letter_share", 0.85, 0.95, rising=True),
+    Rule("letters", "letter_share", 0.75, 0.95, rising=True),
     Rule("variety", "distinct_share", 0.25, 0.5, rising=True),
     Rule("symbols", "symbol_share", 0.04),
     Rule("repeats", "repeat_share", 0.3),
