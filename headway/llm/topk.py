@@ -30,8 +30,8 @@ K = 20
 SCALE = 64
 ROWS = 8192       # rows of a block
 QUERIES = 512     # queries of a block
-FIRST = 4         # depth of the first look at the bound; it doubles from there
-EXACT = 2 ** 53   # whole numbers that doubles hold
+FIRST = 16        # depth of the first look at the bound
+STEPS = 4         # times deeper each further look
 
 
 def _numbers(vector: Column) -> Column:
@@ -55,54 +55,57 @@ class Lists:
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        self.order = np.argsort(rows, axis=0, kind="stable").T  # dimension, place
-        self.sorted = np.take_along_axis(rows, self.order.T, axis=0).T
-        self.largest = np.abs(rows).max(initial=0)
+        order = np.argsort(rows, axis=0, kind="stable")
+        self.order = np.ascontiguousarray(order.T.astype(np.int32))  # dimension, place
+        self.sorted = np.ascontiguousarray(np.take_along_axis(rows, order, axis=0).T)
+        self.largest = float(np.abs(rows.astype(np.float64)).max(initial=0))
+        self.as_kind = {np.dtype(np.int64): rows}
+
+    def of_kind(self, query: np.ndarray) -> np.ndarray:
+        """The rows in the smallest type that holds every score of the query exactly."""
+        most = self.largest * float(np.abs(query.astype(np.float64)).sum())
+        kind = np.dtype(np.float32 if most < 2 ** 24 else np.float64 if most < 2 ** 53 else np.int64)
+        if kind not in self.as_kind:
+            self.as_kind[kind] = self.rows.astype(kind)
+        return self.as_kind[kind]
 
     def best(self, query: np.ndarray, own: int, k: int, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the k best rows but ``own``; equal scores by smaller ``tie``."""
         n = len(self.rows)
-        if float(self.largest) * float(np.abs(query).sum()) < EXACT:
-            rows, query = self.rows_as_double(), query.astype(np.float64)
-        else:
-            rows = self.rows
+        rows = self.of_kind(query)
+        asked = query.astype(rows.dtype)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        met = np.zeros(n, bool)
-        scores = np.zeros(n, rows.dtype)
-        depth, before = FIRST, 0
+        met, depth = np.zeros(n, bool), FIRST
         while True:
-            depth = min(depth, n)
-            fresh = np.concatenate([self.order[up, n - depth:n - before].ravel(),
-                                    self.order[down, before:depth].ravel()])
-            new = np.zeros(n, bool)
-            new[fresh] = True
-            if depth == n:
-                new[:] = True  # also what no list holds, for a query of zeros
-            new &= ~met
-            places = np.flatnonzero(new)
-            scores[places] = rows[places] @ query
-            met |= new
+            if depth < n:
+                met[self.order[up, n - depth:]] = True
+                met[self.order[down, :depth]] = True
             seen = np.flatnonzero(met)
-            seen = seen[seen != own]
-            if depth == n:
+            if depth >= n or len(seen) > n // 2:  # what is left costs less than looking for it
+                scores = rows @ asked
+                seen = np.arange(n)
+            else:
+                scores = rows[seen] @ asked
+            keep = seen != own
+            seen, scores = seen[keep], scores[keep]
+            if len(seen) >= n - 1:
                 break
             if len(seen) >= k:
-                kth = np.partition(scores[seen], len(seen) - k)[len(seen) - k]
-                bound = (query[up] @ self.sorted[up, n - depth] + query[down] @ self.sorted[down, depth - 1])
+                kth = np.partition(scores, len(seen) - k)[len(seen) - k]
+                bound = query[up] @ self.sorted[up, n - depth] + query[down] @ self.sorted[down, depth - 1]
                 if kth > bound:  # a row that equals the k-th may have the smaller id
                     break
-            before, depth = depth, depth * 2
-        order = np.lexsort((tie[seen], -scores[seen]))[:k]
-        return seen[order], scores[seen[order]].astype(np.int64)
-
-    def rows_as_double(self) -> np.ndarray:
-        if not hasattr(self, "_double"):
-            self._double = self.rows.astype(np.float64)
-        return self._double
+            depth *= STEPS
+        if len(seen) > k:
+            top = np.flatnonzero(scores >= np.partition(scores, len(seen) - k)[len(seen) - k])
+            seen, scores = seen[top], scores[top]
+        order = np.lexsort((tie[seen], -scores))[:k]
+        return seen[order], scores[order].astype(np.int64)
 
 
 def _meet(k: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-    out: list[pd.DataFrame] = []
+    empty = np.zeros(0, np.int64)
+    out: list[tuple] = [(empty,) * 5]
     if len(rows) and len(queries):
         width = max(map(len, (*rows["v"], *queries["asked_v"])))
         lists, asked = Lists(_matrix(rows["v"], width)), _matrix(queries["asked_v"], width)
@@ -110,10 +113,10 @@ def _meet(k: int, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         place = {int(x): i for i, x in enumerate(number)}
         for i, (query, at) in enumerate(zip(queries["query_id"], queries["query"])):
             found, scores = lists.best(asked[i], place.get(int(at), -1), k, ids)
-            out.append(pd.DataFrame({"query": at, "query_id": query, "vec_id": ids[found],
-                                     "score": scores, "number": number[found]}))
-    return pd.concat(out) if out else pd.DataFrame(
-        {c: [] for c in ("query", "query_id", "vec_id", "score", "number")}, dtype="int64")
+            out.append((np.full(len(found), at), np.full(len(found), query), ids[found], scores,
+                        number[found]))
+    names = ("query", "query_id", "vec_id", "score", "number")
+    return pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, zip(*out))})
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
