@@ -7,14 +7,17 @@ by the symbol in front of them, which puts them in the order of one more symbol.
 last round the intervals not yet parted are the repeated strings of that length.
 
 A symbol is ``STEP`` bytes, so a string of n bytes is read as STEP sequences, one from each of its
-first STEP bytes, and a round is worth STEP bytes.
+first STEP bytes, and a round is worth STEP bytes. Which order symbols have does not matter, as long
+as all blocks share it: they are named by doubling (8, 16, 32 bytes), so that equal names are equal
+bytes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-STEP = 8
+STEP = 40
+WORD = 8
 
 
 def symbols(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -24,20 +27,31 @@ def symbols(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     end: its symbol is 0 for all, and nothing follows it (-1).
     """
     n = len(data)
-    ends = np.repeat(starts + lengths, lengths)
-    left = ends - np.arange(n)
-    padded = np.concatenate([data, np.zeros(STEP, np.uint8)]).astype(np.uint64)
+    left = np.repeat(starts + lengths, lengths) - np.arange(n)
+    padded = np.concatenate([data, np.zeros(STEP, np.uint8)])
     word = np.zeros(n, np.uint64)
-    for i in range(STEP):
+    for i in range(WORD):
         word = (word << np.uint64(8)) | padded[i:i + n]
-    whole = left >= STEP
+    whole = np.flatnonzero(left >= STEP)
     names = np.zeros(n, np.int64)
-    _, inverse = np.unique(word[whole], return_inverse=True)
-    names[whole] = inverse + 1
-    follow = np.where(whole & (left - STEP > 0), np.arange(n) + STEP, -1)
+    names[whole] = _named(word, whole) + 1
+    follow = np.where(left > STEP, np.arange(n) + STEP, -1)
     return names, follow
 
 
+def _named(word: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Numbers of the STEP-byte strings at ``whole``, from the WORD-byte ones everywhere."""
+    _, eight = np.unique(word, return_inverse=True)
+
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+    ahead = np.minimum(np.arange(len(word)) + WORD, len(word) - 1)
+    sixteen = joined(eight, eight[ahead])
+    pair = joined(sixteen[whole], sixteen[whole + 2 * WORD])
+    return joined(pair, eight[whole + 4 * WORD])
+
+
 def sort_block(names: np.ndarray, follow: np.ndarray) -> np.ndarray:
     """Order of the positions by their whole sequences, by doubling of ranks; equal ones by
     place, which keeps what follows them in the same order."""
@@ -73,6 +87,7 @@ def merge(transforms: list[np.ndarray], tails: list[np.ndarray], depth: int
     end_block = np.repeat(np.arange(len(tails), dtype=np.uint16), [len(t) for t in tails])
     interleave = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
     interval = np.zeros(total, np.int64)
+    bits = int(total).bit_length()
     for round_ in range(depth):
         # The interleave says whose suffix is next; each block's come in its own order.
         ahead = front[own_rank(interleave)]
@@ -82,7 +97,8 @@ def merge(transforms: list[np.ndarray], tails: list[np.ndarray], depth: int
         symbol = np.concatenate([ends, ahead[dealt]])
         behind = np.concatenate([np.full(len(ends), -1 if round_ else 0), interval[dealt]])
         source = np.concatenate([end_block, interleave[dealt]])
-        order = np.sort(symbol * total + np.arange(total)) % total
+        # A stable sort by symbol: places go along in the low bits.
+        order = np.sort((symbol << bits) | np.arange(total)) & ((1 << bits) - 1)
         interleave, symbol, behind = source[order], symbol[order], behind[order]
         parted = (symbol[1:] != symbol[:-1]) | (behind[1:] != behind[:-1])
         interval = np.concatenate([[0], np.cumsum(parted)])

@@ -7,7 +7,7 @@ the same one) is removed; matches never cross documents and are judged on the in
    Equal windows name equal anchors at equal places, so only windows around an anchor that occurs
    more than once can be repeated. Anchors are 1 to 2 % of the bytes; their counts are one
    aggregation, and most end there.
-2. An anchor's context is all that windows naming it can cover. A context that occurs more than
+2. An anchor's context is all that the windows naming it cover. A context that occurs more than
    once is repeated whole: copies of any number are settled by a count.
 3. What is left are the edges of repeats: contexts that occur once around an anchor that occurs
    more often. They are dealt out by anchor; each task sorts blocks of them, merges the blocks'
@@ -94,7 +94,8 @@ def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 class Scanner:
-    """Anchors of texts: (text, position, hash of the anchor, hash of its context)."""
+    """Anchors of texts: (text, position, bytes of the context before it and from it on, hash of
+    the anchor, hash of its context)."""
 
     def __init__(self):
         size = PIECE + LENGTH + 2 * WIDTH + 2
@@ -105,7 +106,6 @@ class Scanner:
         lengths = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(lengths)
         data = np.frombuffer(b"".join(texts), np.uint8)
-        last = -1
         for low in range(0, len(data), PIECE):
             high = min(low + PIECE, len(data) - LENGTH + 1)
             if high <= low:
@@ -122,24 +122,21 @@ class Scanner:
                 if end - LENGTH + 1 >= high:
                     break
                 inside[max(0, end - LENGTH + 1 - low):max(0, end - low)] = False
-            chosen = chosen[inside]
+            window = np.flatnonzero(inside)
+            chosen = chosen[window]
             if not len(chosen):
                 continue
-            chosen = chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
-            where = chosen + low
-            fresh = where > last
-            where, chosen = where[fresh], chosen[fresh]
-            if not len(where):
-                continue
-            last = int(where[-1])
+            # Neighbouring windows that name one anchor are one row: its context there.
+            begin = np.flatnonzero(np.diff(chosen, prepend=-1))
+            where, final = chosen[begin] + low, np.append(begin[1:], len(chosen)) - 1
+            start, stop = window[begin] + low, window[final] + low + LENGTH
             text = np.searchsorted(ends, where, "right")
-            begin = ends[text] - lengths[text]
-            left = np.minimum(where - begin, REACH)
-            right = np.minimum(ends[text] - where, LENGTH)
             around = self.context.sums(data[a:b])
-            context = self.context.between(around, where - left - a, where + right - a)
+            context = self.context.between(around, start - a, stop - a)
+            left, right = where - start, stop - where
             context = mixed(context ^ (left * 512 + right).astype(np.uint64))
-            yield text, where - begin, hashes[chosen].view(np.int64), context.view(np.int64)
+            yield (text, where - (ends[text] - lengths[text]), left, right,
+                   hashes[chosen[begin]].view(np.int64), context.view(np.int64))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +153,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(body)
             if texts and (body is None or size >= 2 * PIECE):
                 row = np.array(rows)
-                for text, position, gram, context in scanner.scan(texts):
+                for text, *found in scanner.scan(texts):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (ids[row[text]], marks[row[text]], position, gram,
-                                               context)],
-                        names=["id", "mark", "pos", "gram", "ctx"])
+                        [pa.array(x) for x in (ids[row[text]], marks[row[text]], *found)],
+                        names=["id", "mark", "pos", "left", "right", "gram", "ctx"])
                 texts, rows, size = [], [], 0
 
 
@@ -172,9 +168,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, m, body, asked in zip(*(batch.column(c) for c in ("id", "mark", "body", "asked"))):
             body = body.as_py()
             for a in asked.as_py():
-                left = min(a["pos"], REACH)
-                row = (a["gram"], i.as_py(), m.as_py(), a["pos"], a["n"], left,
-                       body[a["pos"] - left:a["pos"] + LENGTH])
+                row = (a["gram"], i.as_py(), m.as_py(), a["pos"], a["n"], a["left"],
+                       body[a["pos"] - a["left"]:a["pos"] + a["right"]])
                 for column, value in zip(out, row):
                     column.append(value)
         kinds = [pa.int64()] * 4 + [pa.int64(), pa.int32(), pa.binary()]
@@ -198,17 +193,23 @@ def _parts(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int, np.n
                np.maximum(least, LENGTH - right) <= np.minimum(most, left))
 
 
-def _may_repeat(gram: np.ndarray, bodies: list[bytes], left: np.ndarray) -> np.ndarray:
-    """Whether some windows of a context share their common part with another's."""
+def _active(gram: np.ndarray, bodies: list[bytes], left: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Where in each context windows begin and end whose common part another context shares;
+    an end of 0 where there are none."""
     right = np.array([len(b) for b in bodies]) - left
-    rolling, keep = Rolling(13, WIDTH), np.zeros(len(bodies), bool)
+    first, last = np.full(len(bodies), WIDTH), np.zeros(len(bodies), np.int64)
+    rolling = Rolling(13, WIDTH)
     sums = rolling.sums(_aligned(bodies, left))
     for start, end, fits in _parts(left, right):
         rows = np.flatnonzero(fits)
         core = mixed(sums[rows, end] - sums[rows, start]) ^ gram[rows].view(np.uint64)
         _, inverse, counts = np.unique(core, return_inverse=True, return_counts=True)
-        keep[rows[counts[inverse] > 1]] = True
-    return keep
+        rows = rows[counts[inverse] > 1]
+        first[rows] = np.minimum(first[rows], end - LENGTH)
+        last[rows] = np.maximum(last[rows], start + LENGTH)
+    shift = REACH - left  # column of a context's first byte
+    return np.maximum(first - shift, 0), np.minimum(last - shift, left + right) * (last > 0)
 
 
 def _windows(gram: np.ndarray, bodies: list[bytes], left: np.ndarray
@@ -280,8 +281,9 @@ def _judge(pdf: pd.DataFrame) -> pd.DataFrame:
     """Repeated windows among the contexts of some anchors."""
     gram, left = pdf["gram"].to_numpy(), pdf["left"].to_numpy()
     bodies = list(pdf["body"])
-    keep = _may_repeat(gram, bodies, left)
-    pdf = pdf[keep].reset_index(drop=True)
+    first, last = _active(gram, bodies, left)
+    bodies = [b[f:e] for b, f, e in zip(bodies, first, last)]
+    pdf = pdf.assign(body=bodies, left=left - first)[last > 0]
     found = []
     # Whole anchors at a time, so that a transform stays within memory.
     for part in _batches(pdf.sort_values("gram", kind="stable").reset_index(drop=True)):
@@ -376,20 +378,21 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", hot
     """``id, mark, start, stop``: byte ranges, which may overlap and reach past the text."""
     rows = docs.select(*_keys(key, text)).where(F.octet_length("body") >= LENGTH)
     anchors = written(rows.mapInArrow(
-        _anchors, "id long, mark long, pos long, gram long, ctx long"), "repeat-anchors")
+        _anchors, "id long, mark long, pos long, left long, right long, gram long, ctx long"),
+        "repeat-anchors")
     often = anchors.groupBy("gram").count().where("count > 1").select("gram")
     shared = written(anchors.join(often, "gram"), "repeat-shared")
     contexts = written(shared.groupBy("gram", "ctx").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "pos")).alias("at")),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "pos", "left", "right")).alias("at")),
         "repeat-contexts")
     whole = (shared.join(contexts.where("n > 1").select("gram", "ctx"), ["gram", "ctx"])
-             .select("id", "mark", (F.col("pos") - REACH).alias("start"),
-                     (F.col("pos") + LENGTH).alias("stop")))
+             .select("id", "mark", (F.col("pos") - F.col("left")).alias("start"),
+                     (F.col("pos") + F.col("right")).alias("stop")))
     # Anchors with a context that occurs once beside others: the edges of repeats.
     kinds = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"),
                                          F.count_if(F.col("n") == 1).alias("single"))
     edges = contexts.join(kinds.where("kinds > 1 and single > 0").drop("single"), "gram")
-    asked = (edges.select("at.id", "at.mark", "kinds", F.struct("at.pos", "gram", "n").alias("a"))
+    asked = (edges.select("at.id", "at.mark", "kinds", F.struct("at.pos", "at.left", "at.right", "gram", "n").alias("a"))
              .groupBy("id", "mark").agg(F.collect_list("a").alias("asked")))  # within one text
     cut = written(rows.join(asked, ["id", "mark"]).mapInArrow(
         _cut, "gram long, id long, mark long, pos long, n long, left int, body binary"),
