@@ -213,23 +213,24 @@ def near_links(items: DataFrame, radius: int = RADIUS, shard: int = SHARD,
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     radius: int = RADIUS) -> DataFrame:
-    """``doc_id, mark, print, component_id`` for every document."""
+    """``doc_id, mark, print, root, component_id`` for every document; ``root`` is the smallest
+    fingerprint of the group, which tells groups apart even where ids repeat."""
     prints = written(fingerprints(docs, key, text), "simhash-prints")
     items = written(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "simhash-items")
     roots = components(near_links(items, radius), "simhash-links")
     rooted = (items.join(roots, items["print"] == roots["u"], "left")
               .select("print", "least", F.coalesce("v", "print").alias("root")))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = written(rooted.join(smallest, "root").select("print", "component_id"),
+    groups = written(rooted.join(smallest, "root").select("print", "root", "component_id"),
                      "simhash-groups")
-    return prints.join(groups, "print").select("doc_id", "mark", "print", "component_id")
+    return prints.join(groups, "print").select("doc_id", "mark", "print", "root", "component_id")
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
                   radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each group: the smallest id, by text hash where ids repeat."""
     near = written(near_duplicates(docs, key, text, radius), "simhash-near")
-    first = (near.groupBy("component_id")
+    first = (near.groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
              .select("first.doc_id", "first.mark"))
     columns = [F.col(f"`{c}`") for c in docs.columns]

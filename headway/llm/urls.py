@@ -3,7 +3,7 @@
 Labelled outcomes of pages (bad or not) are counted by host, registered domain and suffix. A
 suffix starts from the rate of all pages, a domain from its suffix's, a host from its domain's: at
 each level the counts update a beta prior around the level above, whose strength is estimated
-from how much the groups of that level differ (moments of the beta-binomial). A host is blocked
+from how much the groups of that level differ under one parent (moments of the beta-binomial). A host is blocked
 where the lower bound of its posterior rate of bad pages is above ``LIMIT``; a host without
 labels has its domain's belief, a new domain its suffix's.
 
@@ -29,6 +29,7 @@ TWO_PART = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.
 LIMIT = 0.5
 BOUND = 1.645                    # standard deviations below the mean: 95 % one-sided
 CORRELATION = (0.001, 0.95)      # how alike outcomes within a group may be taken to be
+UNKNOWN = 0.1                    # that, where no groups can be compared
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -56,22 +57,26 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return text, verdict
 
 
-def _strength(counts: DataFrame, name: str) -> DataFrame:
-    """One row: how many outcomes the prior of a level is worth. ``counts`` has n and bad."""
+def _strength(counts: DataFrame, above: list[str], name: str) -> DataFrame:
+    """One row: how many outcomes the prior of a level is worth. ``counts`` has n and bad of its
+    groups; what counts is how much groups differ that share the columns ``above``."""
     rate = F.col("bad") / F.col("n")
-    total = counts.where("n > 0").agg(
+    each = counts.where("n > 0").groupBy(*above).agg(
         F.count(F.lit(1)).alias("groups"), F.sum("n").alias("all"), F.sum("bad").alias("bads"),
         F.sum(F.col("n") * F.col("n")).alias("squares"),
         F.sum(F.col("n") * rate * rate).alias("spread"))
-    p = F.col("bads") / F.col("all")
-    between = (F.col("spread") - F.col("all") * p * p) / (F.col("groups") - 1)
-    within = (F.col("bads") - F.col("spread")) / (F.col("all") - F.col("groups"))
-    size = (F.col("all") - F.col("squares") / F.col("all")) / (F.col("groups") - 1)
-    alike = (between - within) / (between + (size - 1) * within)
+    total = each.agg(
+        F.sum(F.col("groups") - 1).alias("free"), F.sum(F.col("all") - F.col("groups")).alias("left"),
+        F.sum(F.col("spread") - F.col("bads") * F.col("bads") / F.col("all")).alias("between"),
+        F.sum(F.col("bads") - F.col("spread")).alias("within"),
+        F.sum(F.col("all") - F.col("squares") / F.col("all")).alias("size"))
+    known = (F.col("free") > 0) & (F.col("left") > 0)
+    between, within = F.col("between") / F.col("free"), F.col("within") / F.col("left")
+    whole = between + (F.col("size") / F.col("free") - 1) * within
     low, high = CORRELATION
-    known = (F.col("groups") > 1) & (F.col("all") > F.col("groups")) & (between + (size - 1) * within > 0)
-    alike = F.when(known, F.least(F.greatest(alike, F.lit(low)), F.lit(high))).otherwise(F.lit(0.1))
-    return total.select((1 / alike - 1).alias(name))
+    alike = F.when(known, F.when(whole > 0, F.least(F.greatest((between - within) / whole, F.lit(low)),
+                                                    F.lit(high))))
+    return total.select((1 / F.coalesce(alike, F.lit(UNKNOWN)) - 1).alias(name))
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, key: str = "page_id") -> DataFrame:
@@ -89,9 +94,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, key: str = "page_id")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1)
                             / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("base"))
-    one = (overall.join(F.broadcast(_strength(suffixes, "m_suffix")))  # one row each
-           .join(F.broadcast(_strength(domains, "m_domain")))
-           .join(F.broadcast(_strength(hosts, "m_host"))))
+    one = (overall.join(F.broadcast(_strength(suffixes, [], "m_suffix")))  # one row each
+           .join(F.broadcast(_strength(domains, ["suffix"], "m_domain")))
+           .join(F.broadcast(_strength(hosts, ["domain", "suffix"], "m_host"))))
 
     def mean(strength: str, above: str) -> Column:
         return ((F.col(strength) * F.col(above) + F.col("bad"))
@@ -140,14 +145,14 @@ def check_sql(rules: tuple = RULES) -> str:
     two = ", ".join(f"'{s}'" for s in TWO_PART)
     low, high = CORRELATION
 
-    def strength(source: str) -> str:
-        return f"""(select 1 / case when g > 1 and a > g and b + (s - 1) * w > 0
-          then least(greatest((b - w) / (b + (s - 1) * w), {low}), {high}) else 0.1 end - 1
-          from (select g, a, (sp - a * (k / a) * (k / a)) / (g - 1) b, (k - sp) / (a - g) w,
-                       (a - q / a) / (g - 1) s
-                from (select count(*)::double g, sum(n)::double a, sum(bad)::double k,
-                             sum(n * n)::double q, sum(n * (bad / n) * (bad / n)) sp
-                      from {source} where n > 0)))"""
+    def strength(source: str, above: str) -> str:
+        return f"""(select 1 / coalesce(case when f > 0 and l > 0 and b / f + (s / f - 1) * w / l > 0
+          then least(greatest((b / f - w / l) / (b / f + (s / f - 1) * w / l), {low}), {high}) end,
+          {UNKNOWN}) - 1
+          from (select sum(g - 1) f, sum(a - g) l, sum(sp - k * k / a) b, sum(k - sp) w, sum(a - q / a) s
+                from (select {above} as up, count(*)::double g, sum(n) a, sum(bad) k, sum(n * n) q,
+                             sum(n * (bad / n) * (bad / n)) sp
+                      from {source} where n > 0 group by up)))"""
 
     return f"""
 with raw as (
@@ -177,8 +182,8 @@ hosts as (select host, domain, suffix, count(bad)::double as n, coalesce(sum(bad
 domains as (select domain, suffix, sum(n) as n, sum(bad) as bad from hosts group by all),
 suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by all),
 one as (select (select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) from suffixes) as base,
-               {strength('suffixes')} as m_suffix, {strength('domains')} as m_domain,
-               {strength('hosts')} as m_host),
+               {strength('suffixes', '0')} as m_suffix, {strength('domains', 'suffix')} as m_domain,
+               {strength('hosts', '(domain, suffix)')} as m_host),
 by_suffix as (select suffix, m_domain, m_host, (m_suffix * base + bad) / (m_suffix + n) as p_suffix
               from suffixes, one),
 by_domain as (select domain, d.suffix, m_host, (m_domain * p_suffix + bad) / (m_domain + n) as p_domain
