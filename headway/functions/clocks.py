@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 from headway.schemas import SERVICE_ZONE, WEEKDAYS
 
 DAY = 86400
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
 
 # Accepted text forms.
 SERVICE_TIME = r"^[+-]?[0-9]+:[+-]?[0-9]+:[+-]?[0-9]+\z"
@@ -76,7 +77,9 @@ def gtfs_date(text: Column) -> Column:
 
 
 def posix_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """Seconds since 1970 to a timestamp; NULL outside the years 1 to 9999 (a stamp in
+    milliseconds or less), so that one bad stamp cannot end a stream."""
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def portal_timestamp(text: Column, naive_zone: str = "UTC") -> Column:

@@ -8,7 +8,8 @@ from itertools import chain
 from pyspark.sql import Column, functions as F
 
 # Characters stripped from both ends of a file cell.
-BLANKS = " \t\r\n\v\f\u0085\u00a0"
+BLANKS = (" \t\r\n\v\f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+          "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 # Barred and stroked letters, which no rule takes apart, and letter pairs.
 STROKED = {"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ħ": "h", "Ħ": "H"}

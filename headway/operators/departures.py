@@ -130,10 +130,13 @@ def departure_board(tables: Tables, as_of: AsOf, k: int = 50, version_id: int |
 
 
 def _clock_argument(text: str) -> int:
-    hours, minutes, seconds = (int(x) for x in text.split(":"))
-    if not (0 <= hours < 24 and 0 <= minutes < 60 and 0 <= seconds < 60):
+    """Seconds of ``HH:MM`` or ``HH:MM:SS``; 24:00:00 is the end of the day."""
+    parts = [int(x) for x in text.split(":")]
+    hours, minutes, seconds = parts if len(parts) == 3 else (*parts, 0)
+    total = hours * 3600 + minutes * 60 + seconds
+    if not (0 <= hours <= 24 and 0 <= minutes < 60 and 0 <= seconds < 60 and total <= DAY):
         raise ValueError(f"not a time of day: {text}")
-    return hours * 3600 + minutes * 60 + seconds
+    return total
 
 
 def get_scheduled_stop_times(tables: Tables, source_id: int, stop_id: str, as_of: AsOf,

@@ -40,7 +40,8 @@ def _trip_start(trip: Column) -> tuple[Column, Column]:
 
 
 def vehicle_positions(tagged: DataFrame) -> DataFrame:
-    """One row per entity with a vehicle that has a position."""
+    """One row per entity with a vehicle that has a position; a number out of its column's range
+    is NULL, so that one bad entity cannot end a stream."""
     v = F.col("e.vehicle")
     trip, unit, at = v["trip"], v["vehicle"], v["position"]
     start_time, start_date = _trip_start(trip)
@@ -54,9 +55,9 @@ def vehicle_positions(tagged: DataFrame) -> DataFrame:
                     trip["schedule_relationship"].alias("schedule_relationship"),
                     unit["id"].alias("vehicle_id"), unit["label"].alias("vehicle_label"),
                     unit["license_plate"].alias("license_plate"),
-                    at["latitude"].cast("double").cast(S.COORD).alias("latitude"),
-                    at["longitude"].cast("double").cast(S.COORD).alias("longitude"),
-                    at["bearing"].cast("double").cast(S.ANGLE).alias("bearing"),
+                    at["latitude"].cast("double").try_cast(S.COORD).alias("latitude"),
+                    at["longitude"].cast("double").try_cast(S.COORD).alias("longitude"),
+                    at["bearing"].cast("double").try_cast(S.ANGLE).alias("bearing"),
                     v["current_status"].alias("current_status"), v["stop_id"].alias("stop_id"),
                     F.coalesce(posix_to_timestamp(v["timestamp"]), "received_at")
                     .alias("timestamp")))

@@ -67,9 +67,14 @@ def vehicles_near_stops(positions: DataFrame, stops: DataFrame, radius_m: float,
     looks = (spots.withColumn("row", F.explode(F.sequence(row - 1, row + 1)))
              .withColumn("slack", F.lit(reach) / shrink(row - 1) * 1.01)
              .withColumn("slack", F.greatest("slack", F.lit(reach) / shrink(row + 1) * 1.01))
+             # Beyond the 180th meridian a spot looks from the other side as well.
+             .withColumn("from", F.explode(F.array_compact(F.array(
+                 "lon",
+                 F.when((F.col("lon") + F.col("slack") > 180) & (F.col("slack") < 90), F.col("lon") - 360),
+                 F.when((F.col("lon") - F.col("slack") < -180) & (F.col("slack") < 90), F.col("lon") + 360)))))
              .withColumn("col", F.explode(F.sequence(
-                 column(F.col("lon") - F.col("slack"), F.col("row")),
-                 column(F.col("lon") + F.col("slack"), F.col("row"))))))
+                 column(F.col("from") - F.col("slack"), F.col("row")),
+                 column(F.col("from") + F.col("slack"), F.col("row"))))))
     near = (looks.join(placed, ["source_id", "row", "col"])
             .withColumn("distance_m", distance_m(F.col("lat"), F.col("lon"),
                                                  F.col("stop_lat"), F.col("stop_lon")))

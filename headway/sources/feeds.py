@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from headway.operators.versions import active_version_id
 from headway.schemas import FEED_MESSAGE
@@ -32,6 +33,20 @@ def scan_feed_messages(spark: SparkSession, path: str, fmt: str = "json") -> Dat
                    .schema(FEED_MESSAGE).load(path))
 
 
+def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
+    """What ``scan_feed_messages`` leaves out of JSON files, with the reason: lines that are no
+    JSON of a message, failed fetches, messages without a body. ``raw`` is the line as it stands
+    where it could not be read."""
+    schema = StructType([*FEED_MESSAGE.fields, StructField("_raw", StringType())])
+    read = (spark.read.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw")
+            .schema(schema).json(path))
+    reason = (F.when(F.col("_raw").isNotNull(), "unreadable line")
+              .when(F.col("error").isNotNull(), "failed fetch")
+              .when(F.col("message").isNull(), "no message"))
+    return (read.select("endpoint", "received_at", "error", reason.alias("reason"),
+                        F.col("_raw").alias("raw")).where(F.col("reason").isNotNull()))
+
+
 def stream_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
                          **options: str) -> DataFrame:
     """The same as a stream over files that keep arriving."""

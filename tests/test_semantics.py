@@ -182,3 +182,45 @@ def test_trigrams_are_padded_words(spark):
 
 def test_unaccent(spark):
     assert spark.range(1).select(X.unaccent(F.lit("Éirinn Łódź Straße æ"))).first()[0] == "Eirinn Lodz Strasse ae"
+
+
+def test_cells_lose_every_kind_of_blank(spark):
+    frame = spark.createDataFrame([("\u3000\u2003 5\u202f\u1680",)], "x string")
+    assert frame.select(X.cell(F.col("x"))).first()[0] == "5"
+
+
+def test_clock_arguments():
+    assert D._clock_argument("08:30") == 30600 and D._clock_argument("24:00:00") == 86400
+    for wrong in ("24:00:01", "8:60", "25:00"):
+        with pytest.raises(ValueError):
+            D._clock_argument(wrong)
+
+
+def test_stops_across_the_date_line_are_near(spark):
+    from headway.operators.search import vehicles_near_stops
+    stops = spark.createDataFrame([(1, "east", 0.0, 179.999), (1, "west", 0.0, -179.999)],
+                                  "source_id int, stop_id string, stop_lat double, stop_lon double")
+    units = spark.createDataFrame([("a", 1, 0.0, 179.9995), ("b", 1, 0.0, -179.9995), ("c", 1, 0.0, 0.0)],
+                                  "id string, source_id int, latitude double, longitude double")
+    found = {r["id"]: (r["nearest_stop_id"], r["stops_near"])
+             for r in vehicles_near_stops(units, stops, 500.0, ["id"]).collect()}
+    assert found == {"a": ("east", 2), "b": ("west", 2)}
+
+
+def test_a_stamp_out_of_range_is_null(spark):
+    frame = spark.createDataFrame([(1705276800,), (1705276800 * 10 ** 9,), (None,)], "x long")
+    found = [r[0] for r in frame.select(C.posix_to_timestamp(F.col("x"))).collect()]
+    assert found[0] is not None and found[1:] == [None, None]
+
+
+def test_unreadable_messages_are_listed(spark, tmp_path):
+    from headway.sources.feeds import rejected_messages, scan_feed_messages
+    (tmp_path / "m.json").write_text(
+        '{"endpoint": "tram_trip_updates", "received_at": "2024-01-14T21:00:00+00:00",'
+        ' "message": {"header": {"gtfs_realtime_version": "2.0"}}}\n'
+        'not json at all\n'
+        '{"endpoint": "x", "received_at": "2024-01-14T21:00:00+00:00", "error": "timeout"}\n'
+        '{"endpoint": "y", "received_at": "2024-01-14T21:00:00+00:00"}\n')
+    found = {(r["reason"], r["raw"]) for r in rejected_messages(spark, str(tmp_path)).collect()}
+    assert found == {("unreadable line", "not json at all"), ("failed fetch", None), ("no message", None)}
+    assert scan_feed_messages(spark, str(tmp_path)).count() == 1
