@@ -3,9 +3,9 @@
 Labelled outcomes of pages (bad or not) are counted by host, registered domain and suffix. A
 suffix starts from the rate of all pages, a domain from its suffix's, a host from its domain's: at
 each level the counts update a beta prior around the level above, whose strength is estimated
-from how much the groups of that level differ under one parent (moments of the beta-binomial). A host is blocked
-where the lower bound of its posterior rate of bad pages is above ``LIMIT``; a host without
-labels has its domain's belief, a new domain its suffix's.
+from how much the groups of that level differ under one parent (moments of the beta-binomial). A
+host is blocked where the lower bound of its posterior rate of bad pages is above ``LIMIT``; a host
+without labels has its domain's belief, a new domain its suffix's.
 
 Rules name a host and a path and fit that host and its subdomains where the page's path begins
 with the rule's; the longest decides.
@@ -71,8 +71,8 @@ def _strength(counts: DataFrame, above: list[str], name: str) -> DataFrame:
         F.sum(F.col("bads") - F.col("spread")).alias("within"),
         F.sum(F.col("all") - F.col("squares") / F.col("all")).alias("size"))
     known = (F.col("free") > 0) & (F.col("left") > 0)
-    between, within = F.col("between") / F.col("free"), F.col("within") / F.col("left")
-    whole = between + (F.col("size") / F.col("free") - 1) * within
+    between, within = F.try_divide("between", "free"), F.try_divide("within", "left")
+    whole = between + (F.try_divide("size", "free") - 1) * within
     low, high = CORRELATION
     alike = F.when(known, F.when(whole > 0, F.least(F.greatest((between - within) / whole, F.lit(low)),
                                                     F.lit(high))))
