@@ -249,12 +249,15 @@ FROM {fx_ev} WHERE kind = 0""",
     "trip_updates": """
 SELECT event_id AS trip_update_id, feed_message_id, 'E' || CAST(event_id AS STRING) AS entity_id,
        'T' || CAST(event_id * 13 % 1000 AS STRING) AS trip_id, 'R' || CAST(user_id % 25 AS STRING) AS route_id,
+       CAST(CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '2024-01-14' WHEN 2 THEN '2023-12-01'
+            ELSE '2024-01-15' END AS DATE) AS start_date,
        CAST(event_id % 4 AS INT) AS schedule_relationship,
        CASE WHEN event_id % 17 = 0 THEN NULL ELSE ts END AS timestamp,
        CAST(event_id * 31 % 900 - 120 AS INT) AS delay
 FROM {fx_ev} WHERE kind = 1""",
     "stop_time_updates": """
-SELECT trip_update_id * 10 + n AS stop_time_update_id, trip_update_id, n AS stop_sequence,
+SELECT trip_update_id * 10 + n AS stop_time_update_id, trip_update_id,
+       CASE WHEN trip_update_id % 4 = 1 THEN -1 ELSE n END AS stop_sequence,
        'S' || CAST((trip_update_id + n) % 10 AS STRING) AS stop_id,
        CAST(trip_update_id * 31 % 900 - 120 + n AS INT) AS arrival_delay,
        CASE WHEN trip_update_id % 6 = 0 THEN NULL ELSE 1704067200 + trip_update_id * 60 END AS arrival_time,

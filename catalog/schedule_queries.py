@@ -267,28 +267,62 @@ def _(t: Tables) -> DataFrame:
         "trip_id", "source_id", "version_id", "stop_id", "stop_sequence")
 
 
-SHARED_SQL["latest_update"] = """
+def latest_update_sql(now: str) -> str:
+    """The newest update of each call, received in the five days up to ``now``."""
+    return f"""
 SELECT * FROM (
-  SELECT f.source_id, u.trip_id, s.stop_id, s.arrival_delay, s.departure_delay, s.schedule_relationship,
-         f.received_at, row_number() OVER (PARTITION BY f.source_id, u.trip_id, s.stop_id
-             ORDER BY f.received_at DESC, u.trip_update_id DESC, s.stop_sequence DESC) AS rn
-  FROM {stop_time_updates} AS s JOIN {trip_updates} AS u USING (trip_update_id)
-  JOIN {feed_messages} AS f USING (feed_message_id)) AS x WHERE rn = 1"""
-
-
-@query("T3_departures_with_delay", f"""
-SELECT d.trip_id, d.source_id, d.stop_id, d.stop_sequence, d.secs AS scheduled_departure_time_seconds,
-       l.arrival_delay, l.departure_delay, l.schedule_relationship AS update_relationship,
-       {ts("l.received_at")} AS updated_at,
-       d.secs + coalesce(l.departure_delay, l.arrival_delay, 0) AS expected_departure_time_seconds
-FROM {{due_morning}} AS d LEFT JOIN {{latest_update}} AS l
-  ON l.source_id = d.source_id AND l.trip_id = d.trip_id AND l.stop_id = d.stop_id""")
+  SELECT f.source_id, u.trip_id, d.day_offset, s.stop_sequence AS seq,
+         CASE WHEN s.stop_sequence < 0 THEN s.stop_id END AS stop,
+         s.arrival_delay, s.departure_delay, s.schedule_relationship, f.received_at,
+         row_number() OVER (PARTITION BY f.source_id, u.trip_id, d.day_offset,
+             s.stop_sequence, CASE WHEN s.stop_sequence < 0 THEN s.stop_id END
+             ORDER BY f.received_at DESC, u.trip_update_id DESC, s.stop_id DESC) AS rn
+  FROM {{stop_time_updates}} AS s JOIN {{trip_updates}} AS u USING (trip_update_id)
+  JOIN {{feed_messages}} AS f USING (feed_message_id)
+  JOIN (VALUES (0, DATE '2024-01-15'), (1, DATE '2024-01-14')) AS d(day_offset, service_date)
+    ON coalesce(u.start_date, d.service_date) = d.service_date
+  WHERE f.received_at > TIMESTAMP '{now}' - INTERVAL 5 DAY
+    AND f.received_at <= TIMESTAMP '{now}') AS x WHERE rn = 1"""
+
+
+def with_delay_sql(when: str) -> str:
+    return f"""
+SELECT d.trip_id, d.source_id, d.stop_id, d.stop_sequence, d.day_offset,
+       d.secs AS scheduled_departure_time_seconds,
+       CASE WHEN c.rn = 1 THEN c.arrival_delay ELSE p.arrival_delay END AS arrival_delay,
+       CASE WHEN c.rn = 1 THEN c.departure_delay ELSE p.departure_delay END AS departure_delay,
+       CASE WHEN c.rn = 1 THEN c.schedule_relationship ELSE p.schedule_relationship END AS update_relationship,
+       {ts("CASE WHEN c.rn = 1 THEN c.received_at ELSE p.received_at END")} AS updated_at,
+       d.secs + CASE WHEN c.rn = 1 THEN coalesce(c.departure_delay, c.arrival_delay, 0)
+                     ELSE coalesce(p.departure_delay, p.arrival_delay, 0) END AS expected_departure_time_seconds
+FROM {{due_{when}}} AS d
+LEFT JOIN {{latest_update_{when}}} AS c ON c.source_id = d.source_id AND c.trip_id = d.trip_id
+  AND c.day_offset = d.day_offset AND c.seq = d.stop_sequence
+LEFT JOIN {{latest_update_{when}}} AS p ON p.source_id = d.source_id AND p.trip_id = d.trip_id
+  AND p.day_offset = d.day_offset AND p.stop = d.stop_id"""
+
+
+def with_delay(t: Tables, now: str) -> DataFrame:
+    updates = D.latest_stop_updates(t["stop_time_updates"], t["trip_updates"], t["feed_messages"],
+                                    now, "5 days")
+    return (D.departures_with_delay(D.scheduled_departures(schedule(t), now), updates)
+            .select("trip_id", "source_id", "stop_id", "stop_sequence", "day_offset",
+                    "scheduled_departure_time_seconds", *D.UPDATE,
+                    "expected_departure_time_seconds"))
+
+
+SHARED_SQL["latest_update_morning"] = latest_update_sql(MORNING)
+SHARED_SQL["latest_update_night"] = latest_update_sql(NIGHT)
+
+
+@query("T3_departures_with_delay", with_delay_sql("morning"))
+def _(t: Tables) -> DataFrame:
+    return with_delay(t, MORNING)
+
+
+@query("T3_departures_with_delay_night", with_delay_sql("night"))
 def _(t: Tables) -> DataFrame:
-    updates = D.latest_stop_updates(t["stop_time_updates"], t["trip_updates"], t["feed_messages"])
-    return (D.departures_with_delay(D.scheduled_departures(schedule(t), MORNING), updates)
-            .select("trip_id", "source_id", "stop_id", "stop_sequence",
-                    "scheduled_departure_time_seconds", "arrival_delay", "departure_delay",
-                    "update_relationship", "updated_at", "expected_departure_time_seconds"))
+    return with_delay(t, NIGHT)
 
 
 # ---- search -------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from headway.functions.clocks import (
-    DAY, AsOf, effective_seconds, relative_position,
+    DAY, AsOf, effective_seconds, instant, relative_position,
     seconds_to_clock, seconds_to_interval, service_clock)
 from headway.operators.parents import to_parent
 from headway.operators.services import active_services, service_days
@@ -184,26 +184,57 @@ def get_scheduled_stop_times(tables: Tables, source_id: int, stop_id: str, as_of
 
 
 def latest_stop_updates(stop_time_updates: DataFrame, trip_updates: DataFrame,
-                        feed_messages: DataFrame) -> DataFrame:
-    """The newest update of each (source, trip, stop).
+                        feed_messages: DataFrame, as_of: AsOf, window: str = "1 hour",
+                        zone: str = SERVICE_ZONE) -> DataFrame:
+    """The newest update of each call, of those received within ``window`` up to ``as_of``.
+
+    A call is told by source, trip, service day (offset 0 is today's, 1 yesterday's) and stop
+    sequence; updates without a sequence (-1) are told by their stop. An update that names no
+    start date holds for both days, one of another day for none.
 
-    A keyed maximum combines before the shuffle, so a trip repeated in every message costs
-    one row per task.
+    The window is a filter on the messages, so batches outside it are pruned. A keyed maximum
+    combines before the shuffle: a trip repeated in every message costs one row per task.
     """
+    now, clock = instant(as_of), service_clock(as_of, zone)
+    recent = feed_messages.where((F.col("received_at") > now - F.expr(f"interval {window}"))
+                                 & (F.col("received_at") <= now))
     facts = F.struct("arrival_delay", "departure_delay", "schedule_relationship", "received_at")
-    newest = F.struct("received_at", "trip_update_id", "stop_sequence")
+    newest = F.struct("received_at", "trip_update_id", "stop_sequence", "stop_id")
     of_trips = to_parent(stop_time_updates, trip_updates, "trip_update_id", "feed_message_id",
-                         "trip_id")
-    return (to_parent(of_trips, feed_messages, "feed_message_id", "source_id", "received_at")
-            .groupBy("source_id", "trip_id", "stop_id").agg(F.max_by(facts, newest).alias("u"))
-            .select("source_id", "trip_id", "stop_id", "u.arrival_delay", "u.departure_delay",
+                         "trip_id", "start_date")
+    days = F.when(F.col("start_date").isNull(), F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.date_diff(clock.date, F.col("start_date"))))
+    named = F.col("stop_sequence") >= 0
+    return (to_parent(of_trips, recent, "feed_message_id", "source_id", "received_at")
+            .withColumn("day_offset", F.explode(days)).where("day_offset in (0, 1)")
+            .groupBy("source_id", "trip_id", "day_offset",
+                     F.when(named, F.col("stop_sequence")).alias("called_sequence"),
+                     F.when(~named, F.col("stop_id")).alias("called_stop"))
+            .agg(F.max_by(facts, newest).alias("u"))
+            .select("source_id", "trip_id", "day_offset", "called_sequence", "called_stop",
+                    "u.arrival_delay", "u.departure_delay",
                     F.col("u.schedule_relationship").alias("update_relationship"),
                     F.col("u.received_at").alias("updated_at")))
 
 
+UPDATE = ["arrival_delay", "departure_delay", "update_relationship", "updated_at"]
+
+
 def departures_with_delay(departures: DataFrame, updates: DataFrame) -> DataFrame:
-    """Scheduled departures beside their newest update; without one they keep the schedule."""
+    """Scheduled departures beside their newest update; without one they keep the schedule.
+
+    An update of the call's own sequence comes before one that only names its stop.
+    """
+    run = ["source_id", "trip_id", "day_offset"]
+    facts = F.struct(*UPDATE)
+    by_call = updates.where("called_sequence is not null").select(
+        *run, F.col("called_sequence").alias("stop_sequence"), facts.alias("_by_call"))
+    by_stop = updates.where("called_stop is not null").select(
+        *run, F.col("called_stop").alias("stop_id"), facts.alias("_by_stop"))
+    told = (departures.join(by_call, [*run, "stop_sequence"], "left")
+            .join(by_stop, [*run, "stop_id"], "left")
+            .withColumn("_update", F.coalesce("_by_call", "_by_stop"))
+            .select(*departures.columns, "_update.*"))
     expected = (F.col("scheduled_departure_time_seconds")
                 + F.coalesce("departure_delay", "arrival_delay", F.lit(0)))
-    return (departures.join(updates, ["source_id", "trip_id", "stop_id"], "left")
-            .withColumn("expected_departure_time_seconds", expected))
+    return told.withColumn("expected_departure_time_seconds", expected)

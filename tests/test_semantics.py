@@ -224,3 +224,33 @@ def test_unreadable_messages_are_listed(spark, tmp_path):
     found = {(r["reason"], r["raw"]) for r in rejected_messages(spark, str(tmp_path)).collect()}
     assert found == {("unreadable line", "not json at all"), ("failed fetch", None), ("no message", None)}
     assert scan_feed_messages(spark, str(tmp_path)).count() == 1
+
+
+def test_delay_of_the_right_call_day_and_time(spark):
+    """A trip that calls twice at a stop; stale, late and other days' updates."""
+    departures = spark.createDataFrame(
+        [("T", 2, "S1", 1, 0, 100), ("T", 2, "S1", 5, 0, 900), ("T", 2, "S1", 5, 1, 50),
+         ("T", 2, "S7", 7, 0, 990), ("U", 2, "S1", 1, 0, 100)],
+        "trip_id string, source_id int, stop_id string, stop_sequence int, day_offset int, "
+        "scheduled_departure_time_seconds int")
+    at = lambda text: dt.datetime.fromisoformat(text)
+    feeds = spark.createDataFrame(
+        [(1, 2, at("2024-01-14 20:30:00")), (2, 2, at("2024-01-14 20:50:00")),
+         (3, 2, at("2023-12-01 20:50:00")), (4, 2, at("2024-01-14 21:00:01")),
+         (5, 3, at("2024-01-14 20:59:00")), (6, 2, at("2024-01-14 20:00:00"))],
+        "feed_message_id int, source_id int, received_at timestamp")
+    trips = spark.createDataFrame(
+        [(1, 1, "T", MONDAY), (2, 2, "T", MONDAY), (3, 3, "T", dt.date(2023, 12, 1)), (4, 4, "T", MONDAY),
+         (5, 5, "T", MONDAY), (6, 2, "U", dt.date(2024, 1, 13)), (7, 6, "U", MONDAY), (8, 2, "T", None)],
+        "trip_update_id int, feed_message_id int, trip_id string, start_date date")
+    stops = spark.createDataFrame(
+        [(1, 1, "S1", 77), (2, 1, "S1", 10), (2, 5, "S1", 500), (3, 1, "S1", 9000), (4, 1, "S1", 8000),
+         (5, 1, "S1", 7000), (6, 1, "S1", 6000), (7, 1, "S1", 5000), (8, -1, "S7", 40), (8, -1, "S1", 33)],
+        "trip_update_id int, stop_sequence int, stop_id string, arrival_delay int").selectExpr(
+            "*", "cast(null as int) AS departure_delay", "0 AS schedule_relationship")
+    updates = D.latest_stop_updates(stops, trips, feeds, "2024-01-14 21:00:00")
+    out = D.departures_with_delay(departures, updates)
+    got = {(r.trip_id, r.stop_sequence, r.day_offset): r.arrival_delay for r in out.collect()}
+    # Yesterday's run is only named by the update without a start date, which names the stop.
+    assert got == {("T", 1, 0): 10, ("T", 5, 0): 500, ("T", 5, 1): 33, ("T", 7, 0): 40, ("U", 1, 0): None}
+    assert D.departures_with_delay(departures, updates.limit(0)).where("updated_at is not null").count() == 0
