@@ -597,6 +597,36 @@ def _(t: Tables) -> DataFrame:
     return stored_counts(t, root, REALTIME_TABLES)
 
 
+JUDGED_SQL = """
+SELECT CASE WHEN kind_ = 6 AND NOT failed THEN NULL WHEN unknown THEN 'elsewhere'
+            ELSE CASE WHEN half = 0 THEN 'tram_' ELSE 'metrotrain_' END || feed_type END AS endpoint,
+       CASE WHEN kind_ <> 6 OR failed THEN received_at END AS received_at,
+       CASE WHEN failed THEN 'failed fetch' WHEN kind_ = 6 THEN 'unreadable line'
+            WHEN unknown THEN 'unknown endpoint' WHEN kind_ = 1 THEN 'no header'
+            WHEN kind_ = 4 THEN 'entity without id' WHEN kind_ = 3 THEN 'repeated entity id'
+            WHEN kind_ = 5 AND EXISTS (SELECT 1 FROM {fx_ev} AS e WHERE e.feed_message_id = m AND kind = 0
+                AND event_id % 29 <> 0 AND event_id % 23 <> 0) THEN 'number out of range'
+            WHEN kind_ = 2 THEN 'stamp out of range' END AS reason
+FROM (SELECT *, m // 20 % 7 AS kind_ FROM {fetches}) AS f"""
+
+
+@query("S4_rejected_messages", f"""
+SELECT endpoint, {ts("received_at")} AS received_at, reason FROM ({JUDGED_SQL}) AS j WHERE reason IS NOT NULL
+UNION ALL
+SELECT endpoint, {ts("received_at")}, 'taken' FROM ({JUDGED_SQL}) AS j WHERE reason IS NULL""")
+def _(t: Tables) -> DataFrame:
+    """Damaged messages run through the ingest job: what it refused, and what it took all the same."""
+    path, root, progress = [shared_dir(t.spark, x) for x in ("damaged", "stream", "progress")]
+    M.damaged_lines(t).write.text(path)
+    jobs.ingest_feeds(feeds.stream_all_messages(t.spark, path), endpoints(t), lambda: t["versions"],
+                      root, progress).awaitTermination()
+    refused = t.spark.read.parquet(f"{root}/rejected_messages").select("endpoint", "received_at", "reason")
+    taken = (t.spark.read.parquet(f"{root}/feed_messages")
+             .join(endpoints(t).select("endpoint", "source_id", "feed_type"), ["source_id", "feed_type"])
+             .select("endpoint", "received_at", F.lit("taken").alias("reason")))
+    return refused.unionByName(taken)
+
+
 @query("W2_event_stream", """
 SELECT channel, event_time, count(*) AS events FROM (
   SELECT 'feed_messages:' || source_id AS channel, %(at)s AS event_time FROM {tagged} UNION ALL

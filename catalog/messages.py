@@ -105,3 +105,23 @@ def feed_messages(t: Tables) -> DataFrame:
                     "received_at", F.when(failed, "timeout").alias("error"),
                     F.when(~failed, F.struct(header.alias("header"), F.col("entity")))
                     .alias("message")))
+
+
+def damaged_lines(t: Tables) -> DataFrame:
+    """The messages as JSON lines, one in seven of each kind of damage; the number of a message is
+    that of its entities."""
+    first = F.array_min(F.transform("message.entity", lambda e: F.substring(e["id"], 2, 18).cast("long")))
+    kind = F.coalesce(F.floor(first / 20) % 7, F.lit(0))
+    entity, header = F.col("message.entity"), F.col("message.header")
+    renamed = F.transform(entity, lambda e: e.withField("id", F.lit(None).cast("string")))
+    turned = F.transform(entity, lambda e: F.when(
+        e["vehicle"]["position"].isNotNull(),
+        e.withField("vehicle.position.bearing", F.lit(1234.0).cast("float"))).otherwise(e))
+    damaged = F.when(F.col("message").isNotNull(), F.struct(
+        F.when(kind == 1, F.lit(None)).when(kind == 2, header.withField("timestamp", F.lit(10 ** 18)))
+        .otherwise(header).alias("header"),
+        F.when(kind == 3, F.concat(entity, F.slice(entity, 1, 1))).when(kind == 4, renamed)
+        .when(kind == 5, turned).otherwise(entity).alias("entity")))
+    zone = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    line = F.to_json(F.struct("endpoint", "received_at", "error", damaged.alias("message")), zone)
+    return feed_messages(t).select(F.concat(F.when(kind == 6, "#").otherwise(""), line).alias("value"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from headway.functions.clocks import AsOf
 from headway.operators.events import all_events
 from headway.operators.realtime_rows import REALTIME_ROWS
-from headway.sources.feeds import tag_messages
+from headway.sources.feeds import judge_messages, refused_messages
 from headway.sources.sinks import write_batch
 
 
@@ -16,25 +19,29 @@ def realtime_tables(tagged: DataFrame) -> dict[str, DataFrame]:
     return {name: rows(tagged) for name, rows in REALTIME_ROWS.items()}
 
 
-def load_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame, root: str,
-                  batch_id: int) -> None:
-    """Flatten a batch of messages and write its eight tables.
-
-    The batch is read once and kept while its tables are written. Executors that are lost
-    read their part again from the source.
-    """
-    tagged = tag_messages(messages, endpoints, versions).persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def _judged(messages: DataFrame, endpoints: DataFrame, versions: DataFrame) -> Iterator[DataFrame]:
+    """The judged batch, read once and kept while its tables are written. Executors that are
+    lost read their part again from the source."""
+    judged = judge_messages(messages, endpoints, versions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_batch(realtime_tables(tagged), root, batch_id)
+        yield judged
     finally:
-        tagged.unpersist()
+        judged.unpersist()
+
+
+def load_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame, root: str,
+                  batch_id: int) -> None:
+    """Flatten a batch of messages and write its eight tables, and beside them
+    ``rejected_messages``: what was refused, and why."""
+    with _judged(messages, endpoints, versions) as judged:
+        tables = realtime_tables(judged.where("refusal is null"))
+        write_batch({**tables, "rejected_messages": refused_messages(judged)}, root, batch_id)
 
 
 def load_events(messages: DataFrame, endpoints: DataFrame, versions: DataFrame, root: str,
                 batch_id: int, as_of: AsOf) -> None:
-    """Write the events of a batch of messages."""
-    tagged = tag_messages(messages, endpoints, versions).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_batch({"events": all_events(realtime_tables(tagged), as_of)}, root, batch_id)
-    finally:
-        tagged.unpersist()
+    """Write the events of the messages of a batch that are not refused."""
+    with _judged(messages, endpoints, versions) as judged:
+        taken = realtime_tables(judged.where("refusal is null"))
+        write_batch({"events": all_events(taken, as_of)}, root, batch_id)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from headway.functions.clocks import posix_to_timestamp
 from headway.operators.versions import active_version_id
-from headway.schemas import FEED_MESSAGE
+from headway.schemas import ANGLE, COORD, FEED_MESSAGE, FEED_TYPES
 from headway.sources.lookups import inline_rows
 
 # Fixed values: (endpoint name, feed type, source name).
@@ -27,6 +28,11 @@ def _usable(messages: DataFrame) -> DataFrame:
     return messages.where(F.col("error").isNull() & F.col("message").isNotNull())
 
 
+def raw_schema() -> StructType:
+    """Messages with ``_raw``, the text of a line that is no JSON of a message."""
+    return StructType([*FEED_MESSAGE.fields, StructField("_raw", StringType())])
+
+
 def scan_feed_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Stored messages, without the failed and empty fetches."""
     return _usable(spark.read.format(fmt).options(**MESSAGE_OPTIONS)
@@ -37,16 +43,19 @@ def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
     """What ``scan_feed_messages`` leaves out of JSON files, with the reason: lines that are no
     JSON of a message, failed fetches, messages without a body. ``raw`` is the line as it stands
     where it could not be read."""
-    schema = StructType([*FEED_MESSAGE.fields, StructField("_raw", StringType())])
     read = (spark.read.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw")
-            .schema(schema).json(path))
-    reason = (F.when(F.col("_raw").isNotNull(), "unreadable line")
-              .when(F.col("error").isNotNull(), "failed fetch")
-              .when(F.col("message").isNull(), "no message"))
+            .schema(raw_schema()).json(path))
+    reason = F.coalesce(*_no_message(True))
     return (read.select("endpoint", "received_at", "error", reason.alias("reason"),
                         F.col("_raw").alias("raw")).where(F.col("reason").isNotNull()))
 
 
+def _no_message(with_raw: bool) -> list[Column]:
+    lines = [F.when(F.col("_raw").isNotNull(), F.lit("unreadable line"))] if with_raw else []
+    return [*lines, F.when(F.col("error").isNotNull(), F.lit("failed fetch")),
+            F.when(F.col("message").isNull(), F.lit("no message"))]
+
+
 def stream_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
                          **options: str) -> DataFrame:
     """The same as a stream over files that keep arriving."""
@@ -54,6 +63,13 @@ def stream_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
                    .schema(FEED_MESSAGE).load(path))
 
 
+def stream_all_messages(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Every line of JSON files that keep arriving, also those that cannot be read (``_raw``)
+    and failed fetches; the ingest job lists what it refuses."""
+    return (spark.readStream.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw", **options)
+            .schema(raw_schema()).json(path))
+
+
 def endpoints_dim(spark: SparkSession, transport_sources: DataFrame) -> DataFrame:
     """The seven endpoints with their source ids; an unknown source has a NULL id."""
     endpoints = inline_rows(spark, ["endpoint", "feed_type", "source_name"], ENDPOINTS)
@@ -73,17 +89,73 @@ def feed_key(source_id: Column, feed_type: Column, received_at: Column) -> Colum
                        F.unix_micros(received_at).cast("string"))
 
 
-def tag_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame) -> DataFrame:
-    """Stamp messages with source, feed type, active version and key.
-
-    The endpoint list has seven fixed rows, hence the broadcast. The active version is
-    looked up each time the frame runs; that none is active is an error.
-    """
+def _stamped(messages: DataFrame, endpoints: DataFrame, versions: DataFrame, how: str) -> DataFrame:
     version = F.coalesce(active_version_id(versions),
                          F.raise_error(F.lit("no active version")).cast("int"))
     known = F.broadcast(endpoints.where("source_id is not null")
                         .select("endpoint", "feed_type", "source_id"))
     key = feed_key(F.col("source_id"), F.col("feed_type"), F.col("received_at"))
-    return (messages.join(known, "endpoint")
+    return (messages.join(known, "endpoint", how)
             .withColumn("version_id", version)
             .withColumn("feed_message_id", key))
+
+
+def tag_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame) -> DataFrame:
+    """Stamp messages with source, feed type, active version and key.
+
+    The endpoint list has seven fixed rows, hence the broadcast. The active version is
+    looked up each time the frame runs; that none is active is an error.
+    """
+    return _stamped(messages, endpoints, versions, "inner")
+
+
+def _overflows(value: Column, kind) -> Column:
+    return value.isNotNull() & value.cast("double").try_cast(kind).isNull()
+
+
+def _not_a_stamp(value: Column) -> Column:
+    return value.isNotNull() & posix_to_timestamp(value).isNull()
+
+
+def judge_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame) -> DataFrame:
+    """All ``messages``, tagged, with ``refusal``: why a message is not taken, NULL where it is.
+
+    A message is taken whole or not at all: refused are lines that cannot be read, failed
+    fetches, unknown endpoints and feed types, messages without header or time of receipt,
+    entities without an id or with one that their message repeats, numbers and stamps outside
+    their columns' range. One bad message holds up no other.
+    """
+    m = F.col("message")
+    ids = F.transform(m["entity"], lambda e: e["id"])
+
+    def any_entity(test) -> Column:
+        return F.coalesce(F.exists(m["entity"], lambda e: F.coalesce(test(e), F.lit(False))), F.lit(False))
+
+    def overflow(e: Column) -> Column:
+        at = e["vehicle"]["position"]
+        return (_overflows(at["latitude"], COORD) | _overflows(at["longitude"], COORD)
+                | _overflows(at["bearing"], ANGLE))
+
+    def bad_stamp(e: Column) -> Column:
+        return _not_a_stamp(e["vehicle"]["timestamp"]) | _not_a_stamp(e["trip_update"]["timestamp"])
+
+    refusal = F.coalesce(
+        *_no_message("_raw" in messages.columns),
+        F.when(F.col("source_id").isNull(), F.lit("unknown endpoint")),
+        F.when(~F.col("feed_type").isin(FEED_TYPES), F.lit("unknown feed type")),
+        F.when(m["header"].isNull(), F.lit("no header")),
+        F.when(F.col("received_at").isNull(), F.lit("no time of receipt")),
+        F.when(F.exists(ids, lambda i: i.isNull()), F.lit("entity without id")),
+        F.when(F.size(F.array_distinct(ids)) < F.size(ids), F.lit("repeated entity id")),
+        F.when(any_entity(overflow), F.lit("number out of range")),
+        F.when(_not_a_stamp(m["header"]["timestamp"]) | any_entity(bad_stamp),
+               F.lit("stamp out of range")))
+    return _stamped(messages, endpoints, versions, "left").withColumn("refusal", refusal)
+
+
+def refused_messages(judged: DataFrame) -> DataFrame:
+    """The refused ones with their reason and text, as the ingest job keeps them."""
+    text = F.to_json("message")
+    raw = F.coalesce("_raw", text) if "_raw" in judged.columns else text
+    return judged.where("refusal is not null").select(
+        "endpoint", "received_at", F.col("refusal").alias("reason"), "error", raw.alias("raw"))
