@@ -74,9 +74,10 @@ def read_version_tables(spark: SparkSession, root: str, names: list[str]) -> dic
 def save_versions(versions: DataFrame, root: str, snapshot: int) -> None:
     """Write the whole (small) versions table as one new snapshot.
 
-    A snapshot is one file, so it appears at once; readers take the highest one.
+    A snapshot is one file, so it appears at once; readers take the highest one. One that is
+    there already is an error: of two loads at once the second fails, nothing is overwritten.
     """
-    (versions.coalesce(1).write.mode("overwrite")
+    (versions.coalesce(1).write.mode("error")
      .parquet(f"{root.rstrip('/')}/versions/snapshot={snapshot}"))
 
 

@@ -134,15 +134,41 @@ def test_portal_answers(spark, tmp_path):
     assert out[0].last_modified == dt.datetime(2024, 7, 1, 10, 0, 0, 500000)
 
 
-def test_load_activates_last_and_refreshes_views(spark, drop, tmp_path):
-    warehouse = str(tmp_path)
+CLEAN = {
+    "1/google_transit/stops.txt": "stop_id,stop_name,stop_lat,stop_lon\nS1,One,-37.8,144.9\n"
+                                  "S2,Two,-37.9,144.8\nS3,Three,-37.7,144.7\n",
+    "1/google_transit/routes.txt": "route_id,agency_id,route_short_name,route_type\nR1,A1,96,0\n",
+    "1/google_transit/pathways.txt":
+        "pathway_id,from_stop_id,to_stop_id,pathway_mode,is_bidirectional\nP1,S1,S2,2,0\n",
+    "1/google_transit/transfers.txt": "from_stop_id,to_stop_id,from_route_id,transfer_type\nS1,S2,,2\n",
+}
+
+
+@pytest.fixture(scope="module")
+def clean(tmp_path_factory):
+    root = tmp_path_factory.mktemp("clean")
+    for name, text in {**FILES, **CLEAN}.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf8")
+    return str(root)
+
+
+def first_version(spark, warehouse, updated="2023-01-01"):
     first = spark.sql(
         "SELECT 1 AS version_id, 'old' AS version_name, timestamp'2023-01-01' AS created_at, "
-        "timestamp'2023-01-01' AS updated_at, true AS is_active, cast(null as string) AS source_url, "
+        f"timestamp'{updated}' AS updated_at, true AS is_active, cast(null as string) AS source_url, "
         "cast(null as string) AS description")
     sinks.save_versions(first, warehouse, 0)
-    metadata = spark.sql("SELECT 'https://x/abc' AS url, timestamp'2024-01-02 03:04:05' AS last_modified")
-    assert load_schedule(spark, drop, warehouse, metadata, "2024-01-14 21:00:00") == 2
+    return spark.sql("SELECT 'https://x/abc' AS url, timestamp'2024-01-02 03:04:05' AS last_modified")
+
+
+def test_load_activates_last_and_refreshes_views(spark, clean, tmp_path):
+    warehouse = str(tmp_path)
+    metadata = first_version(spark, warehouse)
+    sources = spark.createDataFrame([(1, "a"), (2, "b")], "source_id int, source_name string")
+    load = load_schedule(spark, clean, warehouse, metadata, "2024-01-14 21:00:00", sources)
+    assert (load.version_id, load.activated, load.broken) == (2, True, [])
     versions = sinks.load_versions(spark, warehouse)
     assert rows(versions, "version_id", "version_name", "is_active") == [
         (1, "old", False), (2, "gtfs_2024-01-02_03:04:05", True)]
@@ -157,6 +183,30 @@ def test_load_activates_last_and_refreshes_views(spark, drop, tmp_path):
     assert (dt.date(2024, 1, 16),) in rows(days, "service_date")
 
 
+def test_a_dirty_drop_stays_inactive(spark, drop, tmp_path):
+    warehouse = str(tmp_path)
+    sources = spark.createDataFrame([(1, "a")], "source_id int, source_name string")
+    load = load_schedule(spark, drop, warehouse, first_version(spark, warehouse), "2024-01-14 21:00:00", sources)
+    assert (load.version_id, load.activated) == (2, False)
+    assert {tuple(r) for r in load.broken} == {
+        ("pathways", "pathway_mode", 1), ("transfers", "transfer_type", 1),
+        ("agency", "source_id not in transport_sources", 1)}
+    assert rows(sinks.load_versions(spark, warehouse), "version_id", "is_active") == [(1, True), (2, False)]
+
+
+def test_a_stale_or_empty_drop_is_not_taken(spark, clean, tmp_path):
+    old, empty = str(tmp_path / "old"), str(tmp_path / "empty")
+    metadata = first_version(spark, old, "2024-02-01")
+    assert load_schedule(spark, clean, old, metadata, "2024-01-14 21:00:00") == (None, False, [])
+    assert rows(sinks.load_versions(spark, old), "version_id") == [(1,)]
+    (tmp_path / "nothing").mkdir()
+    load = load_schedule(spark, str(tmp_path / "nothing"), empty, first_version(spark, empty),
+                         "2024-01-14 21:00:00")
+    assert not load.activated
+    assert {(r.table_name, r.rule) for r in load.broken} == {
+        (t, "no rows") for t in ("agency", "stops", "routes", "trips", "stop_times")}
+
+
 def test_quality_report(spark, drop):
     report = quality_report(typed_tables(spark, drop, 7))
     bad = {(r.table_name, r.rule): r.violations
