@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.derived import SCHEDULE, Tables
-from catalog.registry import MORNING, SHARED_SQL, query, ts
+from catalog.registry import MORNING, SHARED_SQL, SQL, query, ts
 from headway.functions import clocks as C, codes, texts as X
 from headway.operators import quality as Q, static_rows as R, versions as V
 from headway.operators.services import upcoming_services
 from headway.operators.stops import stop_routes
+from headway.plans.schedule_load import MAY_BE_BLANK, load_schedule
 from headway.schemas import (
     FOREIGN_KEYS, MAX_LENGTH, NOT_NULL, PRIMARY_KEYS, SCOPE, STATIC_TABLES,
-    VALUE_RANGES, WEEKDAYS)
+    VALUE_RANGES, VERSIONS, WEEKDAYS)
 from headway.session import shared_dir
 from headway.sources import gtfs_files, lookups, portal, sinks
 
@@ -472,6 +473,49 @@ def _(t: Tables) -> DataFrame:
     return Q.not_null_and_length(typed_tables(t))
 
 
+def blank_references_sql() -> str:
+    """Orphans as a load counts them: a transfer without a trip refers to none."""
+    parts = []
+    for child, columns, parent, keys in FOREIGN_KEYS:
+        if child in STATIC_TABLES and parent in STATIC_TABLES:
+            text = orphans_sql(child, columns, parent, keys, "typed_")
+            if columns[0] in MAY_BE_BLANK.get(child, []):
+                text = text.replace("WHERE c.", f"WHERE c.{columns[0]} <> '' AND c.", 1)
+            parts.append(text)
+    return "\nUNION ALL ".join(parts)
+
+
+@query("K1_gated_load", f"""
+SELECT table_name, 'repeated key' AS rule, count(*) AS violations FROM ({SQL["Q1_pk_duplicates"]}) AS d GROUP BY 1
+UNION ALL
+SELECT child, column_name || ' not in ' || parent, orphan_rows FROM ({blank_references_sql()}) AS o WHERE orphan_rows > 0
+UNION ALL
+SELECT * FROM ({SQL["Q3_check_violations"]}) AS v WHERE violations > 0
+UNION ALL
+SELECT * FROM ({SQL["Q4_not_null_and_length"]}) AS f WHERE violations > 0
+UNION ALL
+SELECT * FROM (""" + "\nUNION ALL ".join(
+    f"SELECT '{n}', 'source_id not in transport_sources', count(*) AS n FROM {{typed_{n}}} WHERE source_id = 2"
+    for n in STATIC_TABLES) + f""") AS s WHERE n > 0
+UNION ALL SELECT 'versions', 'active version', {VERSION - 1}""")
+def _(t: Tables) -> DataFrame:
+    """A drop of all files that breaks rules of every sort: the report, and that it is not active."""
+    warehouse = shared_dir(t.spark, "gated")
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in VERSIONS
+                        if f.name not in ("version_id", "updated_at", "is_active"))
+    sinks.save_versions(t.spark.sql(
+        f"SELECT {VERSION - 1} AS version_id, {columns}, timestamp'2023-01-01' AS updated_at, true AS is_active"),
+        warehouse, 0)
+    newer = t.spark.sql("SELECT 'https://x/abc' AS url, timestamp'2024-01-02' AS last_modified")
+    known = t.spark.sql("SELECT 1 AS source_id, 'known' AS source_name")
+    load = load_schedule(t.spark, files(t, *STATIC_TABLES), warehouse, newer, MORNING, known)
+    report = t.spark.createDataFrame(load.broken, "table_name string, rule string, violations bigint")
+    active = sinks.load_versions(t.spark, warehouse).where("is_active").select(
+        F.lit("versions").alias("table_name"), F.lit("active version").alias("rule"),
+        F.col("version_id").cast("bigint").alias("violations"))
+    return report.unionByName(active)
+
+
 @query("Q5_single_active_version", """
 SELECT count(*) AS active_versions, count(*) <= 1 AS passes FROM {version_log} WHERE is_active""")
 def _(t: Tables) -> DataFrame:
