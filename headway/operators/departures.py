@@ -63,6 +63,7 @@ def _not_last(due: DataFrame, ends: DataFrame) -> DataFrame:
             .where("stop_sequence < last_sequence").drop("last_sequence"))
 
 
+TOLD = 200  # stops that a filter names one by one, at most
 CALL = ["stop_id", "stop_sequence", "departure_time_seconds", "pickup_type", "drop_off_type"]
 
 
@@ -76,6 +77,13 @@ def _finish(due: DataFrame, routes: DataFrame, platform_numbers: DataFrame | Non
             .withColumn("stop_id", asked))
 
 
+def _at_stops(calls: DataFrame, stops: DataFrame) -> DataFrame:
+    """``calls`` with the ids of ``stops`` as a filter for the scan, where they are few enough to
+    be told; else all calls. Either way the caller joins them to ``stops``."""
+    ids = [r["stop_id"] for r in stops.select("stop_id").distinct().limit(TOLD + 1).collect()]
+    return calls.where(F.col("stop_id").isin(ids)) if len(ids) <= TOLD else calls
+
+
 def get_stop_departures(tables: Tables, stop_id: str, source_id: int, as_of: AsOf,
                         limit: int = 50, version_id: int | None = None,
                         zone: str = SERVICE_ZONE) -> DataFrame:
@@ -83,16 +91,20 @@ def get_stop_departures(tables: Tables, stop_id: str, source_id: int, as_of: AsO
 
     Today's calls have no upper bound, so runs past midnight are listed with more than a
     day's seconds and a wrapped clock. A trip's last stop is no departure.
+
+    The platforms of one stop are looked up at once, so that the scan of the timetable is told
+    their ids and skips the files and row groups of other stops.
     """
     mine, clock = _mine(tables, source_id, version_id), service_clock(as_of, zone)
     platforms = resolve_stop_platforms(mine("stops"), stop_id).select(*SCOPE, "stop_id", "stop_name")
-    calls = mine("stop_times").select(*TRIP, *CALL).join(platforms, [*SCOPE, "stop_id"])
+    at_platforms = _at_stops(mine("stop_times"), platforms)
+    calls = at_platforms.select(*TRIP, *CALL).join(platforms, [*SCOPE, "stop_id"])
     due = _due(calls, _running_trips(mine, clock), clock)
     if "trip_ends" in tables:
         ends = mine("trip_ends")
     else:
         # Last stops are only needed of the trips that call here.
-        here = (mine("stop_times").where(F.col("departure_time_seconds") >= clock.seconds)
+        here = (at_platforms.where(F.col("departure_time_seconds") >= clock.seconds)
                 .join(platforms, [*SCOPE, "stop_id"], "left_semi").select(*TRIP))
         ends = last_sequences(mine("stop_times").join(here, TRIP, "left_semi"))
     board = _finish(_not_last(due, ends), mine("routes"), tables.get("platform_numbers"),

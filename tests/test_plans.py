@@ -47,6 +47,16 @@ def test_stored_tables_prune_and_push_down(spark, physical, tmp_path):
     assert "drop_off_type" not in scan.split("ReadSchema")[1]
     board = physical(D.get_stop_departures(tables, "S5", 2, "2024-01-14 21:00:00"))
     assert "GreaterThanOrEqual(departure_time_seconds,28800)" in board
+    told = [x for x in board.splitlines() if "FileScan" in x and "departure_time_seconds" in x]
+    assert told and all("In(stop_id, [S5," in x for x in told)
+
+
+def test_a_stop_with_more_platforms_than_are_told(spark, monkeypatch):
+    tables = schedule(Tables(spark, SF))
+    want = D.get_stop_departures(tables, "S5", 2, "2024-01-14 21:00:00").collect()
+    monkeypatch.setattr(D, "TOLD", 1)
+    assert D.get_stop_departures(tables, "S5", 2, "2024-01-14 21:00:00").collect() == want and want
+    assert D.get_stop_departures(tables, "nowhere", 2, "2024-01-14 21:00:00").collect() == []
 
 
 def test_stored_and_derived_tables_answer_alike(spark, tmp_path):
