@@ -386,7 +386,7 @@ def _(t: Tables) -> DataFrame:
         "broken": lambda: tables["trips"].select("no_such_column")}, MORNING)
     stored = None
     for name in ("stop_routes", "active_services"):
-        part = (t.spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("records"))
+        part = (sinks.load_view(t.spark, root, name).agg(F.count(F.lit(1)).alias("records"))
                 .withColumn("view_name", F.lit(name)))
         stored = part if stored is None else stored.unionByName(part)
     return (report.join(stored, "view_name", "left")

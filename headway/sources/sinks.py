@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -103,25 +104,45 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
         write("feed_messages")
 
 
-def publish_events(events: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
-    """Append (channel, payload, event_time) rows to a table of files, or to Kafka with the
-    channel as key."""
+def publish_events(events: DataFrame, path: str, fmt: str = "parquet",
+                   batch_id: int | None = None, **options: str) -> None:
+    """Write (channel, payload, event_time) rows to a table of files, or to Kafka with the
+    channel as key. With ``batch_id`` files are written to the batch's own folder, so a batch
+    that is published again replaces itself; without it they are appended."""
     if fmt == "kafka":
         events = events.select(F.col("channel").alias("key"), F.col("payload").alias("value"))
         events.write.format("kafka").options(**options).save()
+    elif batch_id is not None:
+        (events.write.mode("overwrite").format(fmt).options(**options)
+         .save(f"{path.rstrip('/')}/batch_id={batch_id}"))
     else:
         events.write.mode("append").format(fmt).options(**options).save(path)
 
 
 def refresh_views(spark: SparkSession, root: str, views: dict[str, Callable[[], DataFrame]],
                   as_of: AsOf) -> DataFrame:
-    """Recompute saved views; one status row per view, a failing view does not stop the rest."""
+    """Recompute saved views; one status row per view with the seconds it took.
+
+    Each refresh is a snapshot of its own, beside the one readers hold: a running or failed
+    refresh leaves them that, and does not stop the other views. ``load_view`` reads the newest.
+    """
     rows = []
     for name in sorted(views):
+        started = time.time_ns()
         try:
-            views[name]().write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-            rows.append((name, "SUCCESS"))
+            views[name]().write.mode("error").parquet(
+                f"{root.rstrip('/')}/{name}/snapshot={started // 1000}")
+            status = "SUCCESS"
         except Exception as problem:  # reported, as the caller refreshes several views
-            rows.append((name, f"ERROR: {problem}"))
-    report = spark.createDataFrame(rows, "view_name string, refresh_status string")
+            status = f"ERROR: {problem}"
+        rows.append((name, status, (time.time_ns() - started) / 1e9))
+    report = spark.createDataFrame(
+        rows, "view_name string, refresh_status string, duration_seconds double")
     return report.withColumn("refreshed_at", instant(as_of))
+
+
+def load_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest whole snapshot of a saved view."""
+    saved = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    newest = saved.agg(F.max("snapshot")).scalar()
+    return saved.where(F.col("snapshot") == newest).drop("snapshot")

@@ -178,7 +178,8 @@ def test_load_activates_last_and_refreshes_views(spark, clean, tmp_path):
     assert rows(report, "view_name", "refresh_status") == [
         ("active_services", "SUCCESS"), ("stop_routes", "SUCCESS")]
     # The removal on the 15th wins over the Monday flag.
-    days = spark.read.parquet(f"{warehouse}/views/active_services")
+    assert report.where("duration_seconds > 0").count() == 2
+    days = sinks.load_view(spark, f"{warehouse}/views", "active_services")
     assert (dt.date(2024, 1, 15),) not in rows(days, "service_date")
     assert (dt.date(2024, 1, 16),) in rows(days, "service_date")
 
@@ -216,3 +217,16 @@ def test_quality_report(spark, drop):
                for r in report["fk_orphans"].where("orphan_rows > 0").collect()}
     assert orphans == {("transfers", "from_trip_id"): 2, ("transfers", "to_trip_id"): 2}
     assert report["pk_duplicates"].count() == 0
+
+
+def test_a_failed_refresh_leaves_the_view_and_a_repeated_batch_replaces_itself(spark, tmp_path):
+    root = str(tmp_path)
+    sinks.refresh_views(spark, root, {"v": lambda: spark.range(3)}, "2024-01-14 21:00:00")
+    broken = {"v": lambda: spark.range(5).selectExpr("raise_error('no') AS id")}
+    report = sinks.refresh_views(spark, root, broken, "2024-01-14 21:00:00").first()
+    assert report.refresh_status.startswith("ERROR") and sinks.load_view(spark, root, "v").count() == 3
+    sinks.refresh_views(spark, root, {"v": lambda: spark.range(4)}, "2024-01-14 21:00:00")
+    assert sinks.load_view(spark, root, "v").count() == 4
+    for _ in range(2):
+        sinks.publish_events(spark.range(6), f"{root}/events", batch_id=1)
+    assert spark.read.parquet(f"{root}/events").count() == 6
