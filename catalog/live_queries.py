@@ -173,6 +173,19 @@ def stored_messages(t: Tables) -> DataFrame:
     return feeds.scan_feed_messages(t.spark, message_files(t))
 
 
+def usual_messages(t: Tables) -> DataFrame:
+    """The stored messages once more, written as feeds usually write JSON."""
+    path = shared_dir(t.spark, "usual")
+    M.usual_lines(t).write.text(path)
+    return feeds.tag_messages(feeds.scan_feed_messages(t.spark, path), endpoints(t), t["versions"])
+
+
+for table in ("feed_messages", "vehicle_positions", "trip_updates", "stop_time_updates", "alerts",
+              "alert_active_periods", "alert_informed_entities"):
+    query(f"S4_usual_json_{table}", shown(table))(
+        lambda t, name=table: R.REALTIME_ROWS[name](usual_messages(t)))
+
+
 @query("S5_endpoints_dim", """
 SELECT CASE WHEN half = 0 THEN 'tram_' ELSE 'metrotrain_' END || feed_type AS endpoint, source_id,
        count(*) AS messages FROM {fetches} WHERE NOT failed AND NOT unknown GROUP BY ALL
@@ -307,12 +320,12 @@ WHERE i.{what} IS NOT NULL"""
 
 @query("N5_service_alerts_route", selector_sql("route_id", "service_alerts_route"))
 def _(t: Tables) -> DataFrame:
-    return N.alert_route_events(alerts(t), t["alert_informed_entities"])
+    return N.alert_route_events(N.with_alert(t["alert_informed_entities"], alerts(t)))
 
 
 @query("N6_service_alerts_stop", selector_sql("stop_id", "service_alerts_stop"))
 def _(t: Tables) -> DataFrame:
-    return N.alert_stop_events(alerts(t), t["alert_informed_entities"])
+    return N.alert_stop_events(N.with_alert(t["alert_informed_entities"], alerts(t)))
 
 
 @query("N7_feed_messages", f"""

@@ -3,11 +3,12 @@ odd ones a feed sends (failed fetches, unknown endpoints, missing parts)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from catalog.derived import Tables
 from headway import schemas as S
-
+from headway.functions.codes import code_label
+from headway.sources.feed_json import CODE_MEMBERS, camel
 
 
 def _trip(e: Column, user: Column) -> Column:
@@ -107,6 +108,26 @@ def feed_messages(t: Tables) -> DataFrame:
                     .alias("message")))
 
 
+def _usual(value: Column, kind: T.DataType, name: str = "", around: str = "") -> Column:
+    """``value`` with codes by name, 64-bit numbers as text and members in camel case."""
+    if isinstance(kind, T.StructType):
+        members = [_usual(value[f.name], f.dataType, f.name, name).alias(camel(f.name)) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*members))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _usual(e, kind.elementType, name, around))
+    if (around, name) in CODE_MEMBERS:
+        return code_label(CODE_MEMBERS[around, name], value)
+    return value.cast("string") if isinstance(kind, T.LongType) else value
+
+
+def usual_lines(t: Tables) -> DataFrame:
+    """The messages as lines of JSON in the form feeds usually have."""
+    message = _usual(F.col("message"), S.FEED_MESSAGE["message"].dataType)
+    zone = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    line = F.struct("endpoint", "received_at", "error", message.alias("message"))
+    return feed_messages(t).select(F.to_json(line, zone).alias("value"))
+
+
 def damaged_lines(t: Tables) -> DataFrame:
     """The messages as JSON lines, one in seven of each kind of damage; the number of a message is
     that of its entities."""

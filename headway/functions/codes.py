@@ -29,3 +29,9 @@ def code_label(kind: str, code: Column) -> Column:
     """Name of ``code`` in the list ``kind``; NULL where the list has no such code."""
     names = F.create_map(*[F.lit(x) for x in chain.from_iterable(CODES[kind].items())])
     return F.try_element_at(names, code.cast("int"))
+
+
+def code_number(kind: str, label: Column) -> Column:
+    """Code of the name ``label`` in the list ``kind``; NULL where the list has no such name."""
+    codes = F.create_map(*[F.lit(x) for code, name in CODES[kind].items() for x in (name, code)])
+    return F.try_element_at(codes, label)

@@ -1,7 +1,10 @@
 """Change events: one (channel, payload, event_time) row per notification.
 
-Each function takes rows already joined to their message (see ``with_feed`` and
-``with_trip_update``), so that a batch joins once however many kinds of event it yields.
+Each function takes rows that carry what they need of their message: stored rows are joined to it
+(``with_feed``, ``with_trip_update``, ``with_alert``), once however many kinds of event they yield;
+rows of nested messages have it at hand (``message_events``).
+
+Fixed values: channel prefixes and the names and order of payload members are the subscribers'.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions.clocks import AsOf, instant, iso_utc
 from headway.functions.texts import channel, json_payload
+from headway.operators import realtime_rows as R
 from headway.operators.parents import parent_key, to_parent
 
 # Fixed value: rows are only ever appended.
@@ -82,26 +86,29 @@ def alert_events(alerts: DataFrame) -> DataFrame:
     return _events(alerts, F.lit("service_alerts_update"), payload, F.col("feed_time"))
 
 
-def _selector_events(alerts: DataFrame, selectors: DataFrame, what: str, prefix: str) -> DataFrame:
-    """An event per distinct (route, stop, agency) selector of an alert that names ``what``."""
-    named = (selectors.where(F.col(what).isNotNull())
-             .select(*parent_key(selectors, alerts, "alert_id"), "route_id", "stop_id", "agency_id")
-             .distinct())
+def with_alert(selectors: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Distinct (route, stop, agency) selectors with the facts of their alert."""
+    named = selectors.select(*parent_key(selectors, alerts, "alert_id"),
+                             "route_id", "stop_id", "agency_id").distinct()
+    return to_parent(named, alerts, "alert_id", "source_id", "cause", "effect", "severity",
+                     "feed_time")
+
+
+def _selector_events(selectors: DataFrame, what: str, prefix: str) -> DataFrame:
+    """An event per selector of an alert that names ``what``."""
     payload = json_payload(
         type=F.lit("service_alert"), **_cols("alert_id", what, "cause", "effect", "severity"),
         **_stamp())
-    rows = to_parent(named, alerts, "alert_id", "source_id", "cause", "effect", "severity",
-                     "feed_time")
-    return _events(rows, channel(prefix, F.col("source_id"), F.col(what)), payload,
-                   F.col("feed_time"))
+    return _events(selectors.where(F.col(what).isNotNull()),
+                   channel(prefix, F.col("source_id"), F.col(what)), payload, F.col("feed_time"))
 
 
-def alert_route_events(alerts: DataFrame, selectors: DataFrame) -> DataFrame:
-    return _selector_events(alerts, selectors, "route_id", "service_alerts_route")
+def alert_route_events(selectors: DataFrame) -> DataFrame:
+    return _selector_events(selectors, "route_id", "service_alerts_route")
 
 
-def alert_stop_events(alerts: DataFrame, selectors: DataFrame) -> DataFrame:
-    return _selector_events(alerts, selectors, "stop_id", "service_alerts_stop")
+def alert_stop_events(selectors: DataFrame) -> DataFrame:
+    return _selector_events(selectors, "stop_id", "service_alerts_stop")
 
 
 def feed_message_events(feed_messages: DataFrame) -> DataFrame:
@@ -136,15 +143,28 @@ def trip_batch_events(batches: DataFrame, as_of: AsOf) -> DataFrame:
     return _events(batches, channel("trip_updates", F.col("trip_id")), payload, instant(as_of))
 
 
+def _every_event(feeds: DataFrame, updates: DataFrame, positions: DataFrame, alerts: DataFrame,
+                 selectors: DataFrame, as_of: AsOf) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        feed_message_events(feeds), stop_departure_events(updates), trip_events(updates, as_of),
+        vehicle_position_events(positions), vehicle_at_stop_events(positions),
+        alert_events(alerts), alert_route_events(selectors), alert_stop_events(selectors)])
+
+
 def all_events(live: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
-    """Every event of a batch of realtime rows."""
+    """Every event of stored realtime rows, which are joined to their messages."""
     feeds = live["feed_messages"]
     updates = with_trip_update(live["stop_time_updates"], live["trip_updates"], feeds)
-    positions = with_feed(live["vehicle_positions"], feeds)
     alerts = with_feed(live["alerts"], feeds)
-    selectors = live["alert_informed_entities"]
-    return reduce(DataFrame.unionByName, [
-        feed_message_events(feeds), stop_departure_events(updates), trip_events(updates, as_of),
-        vehicle_position_events(positions), vehicle_at_stop_events(positions),
-        alert_events(alerts), alert_route_events(alerts, selectors),
-        alert_stop_events(alerts, selectors)])
+    return _every_event(feeds, updates, with_feed(live["vehicle_positions"], feeds), alerts,
+                        with_alert(live["alert_informed_entities"], alerts), as_of)
+
+
+def message_events(tagged: DataFrame, as_of: AsOf) -> DataFrame:
+    """The same events straight from nested messages: each row finds its parents in its own
+    message, so there is no join and no shuffle."""
+    feed = ("source_id", "version_id", "feed_time")
+    return _every_event(R.feed_messages(tagged),
+                        R.stop_time_updates(tagged, "trip_id", "route_id", *feed),
+                        R.vehicle_positions(tagged, *feed), R.alerts(tagged, *feed),
+                        R.alert_selectors(tagged), as_of)

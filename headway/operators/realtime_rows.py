@@ -17,12 +17,15 @@ def entity_key(feed_message_id: Column, entity_id: Column) -> Column:
     return F.concat_ws(":", feed_message_id, entity_id)
 
 
+def _message_time() -> Column:
+    return F.coalesce(posix_to_timestamp(F.col("message.header.timestamp")), "received_at")
+
+
 def feed_messages(tagged: DataFrame) -> DataFrame:
     """One row per message of a known feed type."""
     h = F.col("message.header")
     return (tagged.where(F.col("feed_type").isin(S.FEED_TYPES) & h.isNotNull())
-            .select("feed_message_id",
-                    F.coalesce(posix_to_timestamp(h["timestamp"]), "received_at").alias("timestamp"),
+            .select("feed_message_id", _message_time().alias("timestamp"),
                     h["gtfs_realtime_version"].alias("gtfs_realtime_version"),
                     F.when(h["incrementality"] == "DIFFERENTIAL", 1).otherwise(0)
                     .alias("incrementality"),
@@ -32,16 +35,17 @@ def feed_messages(tagged: DataFrame) -> DataFrame:
 def _entities(tagged: DataFrame, feed_type: str) -> DataFrame:
     return (tagged.where((F.col("feed_type") == feed_type)
                          & F.col("message.header").isNotNull())
-            .select("feed_message_id", "received_at", F.explode("message.entity").alias("e")))
+            .select("feed_message_id", "received_at", "source_id", "version_id",
+                    _message_time().alias("feed_time"), F.explode("message.entity").alias("e")))
 
 
 def _trip_start(trip: Column) -> tuple[Column, Column]:
     return gtfs_time_to_seconds(trip["start_time"]), gtfs_date(trip["start_date"])
 
 
-def vehicle_positions(tagged: DataFrame) -> DataFrame:
+def vehicle_positions(tagged: DataFrame, *more: str) -> DataFrame:
     """One row per entity with a vehicle that has a position; a number out of its column's range
-    is NULL, so that one bad entity cannot end a stream."""
+    is NULL, so that one bad entity cannot end a stream. ``more`` are columns of the message."""
     v = F.col("e.vehicle")
     trip, unit, at = v["trip"], v["vehicle"], v["position"]
     start_time, start_date = _trip_start(trip)
@@ -60,7 +64,7 @@ def vehicle_positions(tagged: DataFrame) -> DataFrame:
                     at["bearing"].cast("double").try_cast(S.ANGLE).alias("bearing"),
                     v["current_status"].alias("current_status"), v["stop_id"].alias("stop_id"),
                     F.coalesce(posix_to_timestamp(v["timestamp"]), "received_at")
-                    .alias("timestamp")))
+                    .alias("timestamp"), *more))
 
 
 def _trip_update_entities(tagged: DataFrame) -> DataFrame:
@@ -84,13 +88,16 @@ def trip_updates(tagged: DataFrame) -> DataFrame:
 
 
 def _updates(tagged: DataFrame) -> DataFrame:
+    trip = F.col("e.trip_update.trip")
     return _trip_update_entities(tagged).select(
-        "trip_update_id", "feed_message_id",
+        "trip_update_id", "feed_message_id", "source_id", "version_id", "feed_time",
+        trip["trip_id"].alias("trip_id"), trip["route_id"].alias("route_id"),
         F.explode("e.trip_update.stop_time_update").alias("s"))
 
 
-def stop_time_updates(tagged: DataFrame) -> DataFrame:
-    """One row per stop of a trip update; sequence and stop take their declared defaults."""
+def stop_time_updates(tagged: DataFrame, *more: str) -> DataFrame:
+    """One row per stop of a trip update; sequence and stop take their declared defaults.
+    ``more`` are columns of the message and the trip."""
     s = F.col("s")
     return _updates(tagged).select(
         "trip_update_id",
@@ -101,7 +108,7 @@ def stop_time_updates(tagged: DataFrame) -> DataFrame:
         s["departure"]["delay"].alias("departure_delay"),
         s["departure"]["time"].alias("departure_time"),
         s["departure"]["uncertainty"].alias("departure_uncertainty"),
-        s["schedule_relationship"].alias("schedule_relationship"))
+        s["schedule_relationship"].alias("schedule_relationship"), *more)
 
 
 def affected_stops(tagged: DataFrame) -> DataFrame:
@@ -115,12 +122,24 @@ def _alert_entities(tagged: DataFrame) -> DataFrame:
             .withColumn("alert_id", entity_key(F.col("feed_message_id"), F.col("e.id"))))
 
 
-def alerts(tagged: DataFrame) -> DataFrame:
+def alerts(tagged: DataFrame, *more: str) -> DataFrame:
+    """One row per entity with an alert. ``more`` are columns of the message."""
     a = F.col("e.alert")
     return _alert_entities(tagged).select(
         "alert_id", "feed_message_id", F.col("e.id").alias("entity_id"),
         F.col("e.is_deleted").alias("is_deleted"), a["cause"].alias("cause"),
-        a["effect"].alias("effect"), a["severity_level"].alias("severity"))
+        a["effect"].alias("effect"), a["severity_level"].alias("severity"), *more)
+
+
+def alert_selectors(tagged: DataFrame) -> DataFrame:
+    """One row per distinct (route, stop, agency) an alert names, with the alert's facts; they
+    are told apart inside the alert, so nothing is shuffled."""
+    named = F.transform("e.alert.informed_entity",
+                        lambda i: F.struct(i["route_id"], i["stop_id"], i["agency_id"]))
+    return (_alert_entities(tagged)
+            .select("alert_id", "source_id", "feed_time", "e.alert.cause", "e.alert.effect",
+                    F.col("e.alert.severity_level").alias("severity"),
+                    F.inline(F.array_distinct(named)).alias("route_id", "stop_id", "agency_id")))
 
 
 def alert_active_periods(tagged: DataFrame) -> DataFrame:

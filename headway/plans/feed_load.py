@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from headway.functions.clocks import AsOf
-from headway.operators.events import all_events
+from headway.operators.events import message_events
 from headway.operators.realtime_rows import REALTIME_ROWS
 from headway.sources.feeds import judge_messages, refused_messages
 from headway.sources.sinks import write_batch
@@ -43,5 +43,5 @@ def load_events(messages: DataFrame, endpoints: DataFrame, versions: DataFrame,
                 batch_id: int, as_of: AsOf) -> None:
     """Write the events of the messages of a batch that are not refused."""
     with _judged(messages, endpoints, versions) as judged:
-        taken = realtime_tables(judged.where("refusal is null"))
-        write_batch({"events": all_events(taken, as_of)}, root, batch_id)
+        events = message_events(judged.where("refusal is null"), as_of)
+        write_batch({"events": events}, root, batch_id)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headway.functions.clocks import posix_to_timestamp
 from headway.operators.versions import active_version_id
 from headway.schemas import ANGLE, COORD, FEED_MESSAGE, FEED_TYPES
+from headway.sources.feed_json import accepted, misread, settled
 from headway.sources.lookups import inline_rows
 
 # Fixed values: (endpoint name, feed type, source name).
@@ -24,30 +26,46 @@ ENDPOINTS = [
 MESSAGE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
 
 
+MESSAGE = FEED_MESSAGE["message"].dataType
+
+
 def _usable(messages: DataFrame) -> DataFrame:
     return messages.where(F.col("error").isNull() & F.col("message").isNotNull())
 
 
-def raw_schema() -> StructType:
-    """Messages with ``_raw``, the text of a line that is no JSON of a message."""
-    return StructType([*FEED_MESSAGE.fields, StructField("_raw", StringType())])
+def _lines(reader: DataFrameReader | DataStreamReader, path: str, **options: str) -> DataFrame:
+    """Lines of JSON as they were written, in any form of ``feed_json``, with ``_raw``: the text
+    of a line or message that is not readable as one."""
+    fields = [StructField(f.name, accepted(f.dataType) if f.name == "message" else f.dataType)
+              for f in FEED_MESSAGE]
+    rows = (reader.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw", **options)
+            .schema(StructType([*fields, StructField("_raw", StringType())])).json(path))
+    unread = F.when(misread(F.col("message"), MESSAGE), F.to_json("message"))
+    return rows.withColumn("_raw", F.coalesce("_raw", unread))
+
+
+def _readable(reader: DataFrameReader | DataStreamReader, path: str, fmt: str,
+              **options: str) -> DataFrame:
+    if fmt != "json":
+        return _usable(reader.format(fmt).options(**options).schema(FEED_MESSAGE).load(path))
+    return _usable(_lines(reader, path, **options)).where("_raw is null").select(
+        "endpoint", "received_at", "error", settled(F.col("message"), MESSAGE).alias("message"))
 
 
 def scan_feed_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Stored messages, without the failed and empty fetches."""
-    return _usable(spark.read.format(fmt).options(**MESSAGE_OPTIONS)
-                   .schema(FEED_MESSAGE).load(path))
+    """Stored messages, without those ``rejected_messages`` lists. JSON may name codes or number
+    them, write numbers as text, and spell members either way."""
+    return _readable(spark.read, path, fmt)
 
 
 def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
     """What ``scan_feed_messages`` leaves out of JSON files, with the reason: lines that are no
-    JSON of a message, failed fetches, messages without a body. ``raw`` is the line as it stands
-    where it could not be read."""
-    read = (spark.read.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw")
-            .schema(raw_schema()).json(path))
+    JSON of a message or have words where numbers belong, failed fetches, messages without a
+    body. ``raw`` is the text of what could not be read."""
     reason = F.coalesce(*_no_message(True))
-    return (read.select("endpoint", "received_at", "error", reason.alias("reason"),
-                        F.col("_raw").alias("raw")).where(F.col("reason").isNotNull()))
+    return (_lines(spark.read, path)
+            .select("endpoint", "received_at", "error", reason.alias("reason"),
+                    F.col("_raw").alias("raw")).where(F.col("reason").isNotNull()))
 
 
 def _no_message(with_raw: bool) -> list[Column]:
@@ -59,15 +77,14 @@ def _no_message(with_raw: bool) -> list[Column]:
 def stream_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
                          **options: str) -> DataFrame:
     """The same as a stream over files that keep arriving."""
-    return _usable(spark.readStream.format(fmt).options(**MESSAGE_OPTIONS, **options)
-                   .schema(FEED_MESSAGE).load(path))
+    return _readable(spark.readStream, path, fmt, **options)
 
 
 def stream_all_messages(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Every line of JSON files that keep arriving, also those that cannot be read (``_raw``)
     and failed fetches; the ingest job lists what it refuses."""
-    return (spark.readStream.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw", **options)
-            .schema(raw_schema()).json(path))
+    return _lines(spark.readStream, path, **options).withColumn(
+        "message", F.when(F.col("_raw").isNull(), settled(F.col("message"), MESSAGE)))
 
 
 def endpoints_dim(spark: SparkSession, transport_sources: DataFrame) -> DataFrame:

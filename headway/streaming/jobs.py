@@ -42,8 +42,8 @@ def ingest_feeds(messages: DataFrame, endpoints: DataFrame, versions: Lookup, ro
 def event_stream(messages: DataFrame, endpoints: DataFrame, versions: Lookup, root: str,
                  checkpoint: str, as_of: AsOf | None = None,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Messages to change events. All parents of a row are in its own message, so the rows of
-    a batch are joined within the batch and no state is kept between batches."""
+    """Messages to change events. All parents of a row are in its own message, so nothing is
+    joined or shuffled and no state is kept between batches."""
     def each(batch: DataFrame, n: int) -> None:
         now = F.current_timestamp() if as_of is None else as_of
         load_events(batch, endpoints, versions(), root, n, now)
@@ -57,12 +57,10 @@ def latest_vehicle(messages: DataFrame, endpoints: DataFrame, versions: DataFram
     State is one row per vehicle. Partial maxima are taken before the shuffle.
     """
     tagged = tag_messages(messages, endpoints, versions)
-    rows = vehicle_positions(tagged).where("vehicle_id is not null")
-    # The message key starts with its source.
-    source = F.split_part("feed_message_id", F.lit(":"), F.lit(1)).cast("int")
+    rows = vehicle_positions(tagged, "source_id").where("vehicle_id is not null")
     facts = F.struct("trip_id", "route_id", "latitude", "longitude", "current_status", "stop_id",
                      "timestamp")
-    newest = (rows.groupBy(source.alias("source_id"), "vehicle_id")
+    newest = (rows.groupBy("source_id", "vehicle_id")
               .agg(F.max_by(facts, F.struct("timestamp", "vehicle_position_id")).alias("p"))
               .select("source_id", "vehicle_id", "p.*"))
     return _start(newest, _replace(root), checkpoint, trigger, "update")

@@ -226,6 +226,33 @@ def test_unreadable_messages_are_listed(spark, tmp_path):
     assert scan_feed_messages(spark, str(tmp_path)).count() == 1
 
 
+def test_messages_in_either_form_of_json(spark, tmp_path):
+    from headway.sources.feeds import rejected_messages, scan_feed_messages, stream_all_messages
+    plain = ('{"endpoint": "tram_service_alerts", "received_at": "2024-01-14T21:00:00+00:00", "message":'
+             ' {"header": {"gtfs_realtime_version": "2.0", "incrementality": "DIFFERENTIAL", "timestamp": 1705276800},'
+             ' "entity": [{"id": "A", "is_deleted": true, "alert": {"cause": 4, "effect": 99, "severity_level": 3,'
+             ' "active_period": [{"start": 5, "end": 9000000000}], "informed_entity": [{"route_id": "R",'
+             ' "direction_id": 1, "trip": {"trip_id": "T", "schedule_relationship": 3}}]}}]}}')
+    usual = ('{"endpoint": "tram_service_alerts", "received_at": "2024-01-14T21:00:00+00:00", "message":'
+             ' {"header": {"gtfsRealtimeVersion": "2.0", "incrementality": 1, "timestamp": "1705276800"},'
+             ' "entity": [{"id": "A", "isDeleted": true, "alert": {"cause": "STRIKE", "effect": 99, "severityLevel": "WARNING",'
+             ' "activePeriod": [{"start": "5", "end": "9000000000"}], "informedEntity": [{"routeId": "R",'
+             ' "directionId": "1", "trip": {"tripId": "T", "scheduleRelationship": "CANCELED"}}]}}]}}')
+    bad = usual.replace("STRIKE", "NO_SUCH_CAUSE")
+    for name, text in (("plain", plain), ("usual", usual), ("bad", bad)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "m.json").write_text(text + "\n")
+    one, other = [scan_feed_messages(spark, str(tmp_path / x)).collect() for x in ("plain", "usual")]
+    assert one == other and len(one) == 1
+    alert = one[0].message.entity[0].alert
+    assert (alert.cause, alert.effect, alert.active_period[0].end) == (4, 99, 9000000000)
+    assert scan_feed_messages(spark, str(tmp_path / "bad")).count() == 0
+    refused = rejected_messages(spark, str(tmp_path / "bad")).collect()
+    assert [r.reason for r in refused] == ["unreadable line"] and "NO_SUCH_CAUSE" in refused[0].raw
+    assert stream_all_messages(spark, str(tmp_path / "bad")).columns == [
+        "endpoint", "received_at", "error", "message", "_raw"]
+
+
 def test_delay_of_the_right_call_day_and_time(spark):
     """A trip that calls twice at a stop; stale, late and other days' updates."""
     departures = spark.createDataFrame(

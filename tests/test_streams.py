@@ -145,6 +145,12 @@ def test_repeated_batch_replaces_itself(spark, batch, tmp_path):
     assert spark.read.parquet(str(tmp_path / "alerts")).count() == 2
 
 
+def test_events_of_messages_need_no_shuffle(spark, arrivals, endpoints, versions, physical):
+    tagged = feeds.tag_messages(feeds.scan_feed_messages(spark, arrivals), endpoints, versions)
+    plan = physical(N.message_events(tagged, "2024-01-15 01:00:00"))
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_events_equal_batch(spark, arrivals, endpoints, versions, batch, tmp_path):
     now = "2024-01-15 01:00:00"
     out = str(tmp_path / "out")
