@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog import messages as M
@@ -9,6 +11,7 @@ from catalog.derived import Tables
 from catalog.registry import RETENTION, SHARED_SQL, iso, query, ts
 from headway.operators import (
     events as N, live_trips as L, monitoring as O, realtime_rows as R, retention as D)
+from headway.plans import upkeep
 from headway.plans.feed_load import load_messages
 from headway.schemas import REALTIME_TABLES
 from headway.session import shared_dir
@@ -553,6 +556,78 @@ def _(t: Tables) -> DataFrame:
     return D.purge_report(t.pick(*REALTIME_TABLES))
 
 
+# ---- removal in place -----------------------------------------------------------------------------
+
+ROW_KEYS = {"feed_messages": "feed_message_id", "vehicle_positions": "vehicle_position_id",
+            "trip_updates": "trip_update_id", "stop_time_updates": "trip_update_id || ':' || stop_sequence",
+            "alerts": "alert_id", "alert_active_periods": "alert_id || ':' || start_time",
+            "alert_informed_entities": "alert_id || ':' || coalesce(route_id, '') || ':' || coalesce(stop_id, '')",
+            "alert_translations": "alert_id || ':' || field_type"}
+
+
+def flat(sql: str) -> str:
+    """``sql`` over the tables of the nested messages."""
+    for name in REALTIME_TABLES:
+        sql = sql.replace(f"{{{name}}}", f"{{flat_{name}}}")
+    return sql
+
+
+def left_sql(tables: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, {ROW_KEYS[n]} AS row_key FROM ({flat(sql)}) AS x"
+                               for n, sql in tables.items())
+
+
+def stored_halves(t: Tables) -> str:
+    """The messages as an ingest job leaves them, in two batches."""
+    root = shared_dir(t.spark, "realtime")
+    messages = M.feed_messages(t).where("error is null and message is not null")
+    half = F.col("received_at") < F.lit("2024-01-16").cast("timestamp")
+    for number, part in enumerate((messages.where(half), messages.where(~half))):
+        load_messages(part, endpoints(t), t["versions"], root, number)
+    return root
+
+
+def rows_left(t: Tables, root: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        t.spark.read.parquet(f"{root}/{n}").select(F.lit(n).alias("table_name"), F.expr(key).alias("row_key"))
+        for n, key in ROW_KEYS.items()])
+
+
+@query("D5_clean_in_place", left_sql(AFTER))
+def _(t: Tables) -> DataFrame:
+    root = stored_halves(t)
+    upkeep.clean_realtime(t.spark, root, RETENTION)
+    return rows_left(t, root)
+
+
+OTHERS = "(SELECT feed_message_id FROM {feed_messages} WHERE source_id <> 2)"
+OTHER_ROWS = {n: f"SELECT * FROM {{{n}}} WHERE feed_message_id IN {OTHERS}" for n in ("feed_messages", *MAIN)}
+for _name in REALTIME_TABLES:
+    if _name not in OTHER_ROWS:
+        _key, _parent = (("trip_update_id", "trip_updates") if _name == "stop_time_updates"
+                         else ("alert_id", "alerts"))
+        OTHER_ROWS[_name] = (f"SELECT * FROM {{{_name}}} WHERE {_key} IN "
+                             f"(SELECT {_key} FROM ({OTHER_ROWS[_parent]}) AS p)")
+
+
+@query("D7_remove_source", left_sql(OTHER_ROWS))
+def _(t: Tables) -> DataFrame:
+    root = stored_halves(t)
+    upkeep.remove_source(t.spark, root, 2)
+    return rows_left(t, root)
+
+
+@query("D8_purge_in_place", "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS records_deleted, CAST(0 AS BIGINT) AS records_left FROM {{flat_{n}}}"
+    for n in REALTIME_TABLES))
+def _(t: Tables) -> DataFrame:
+    root = stored_halves(t)
+    removed = upkeep.purge_realtime(t.spark, root)
+    held = rows_left(t, root).groupBy("table_name").agg(F.count(F.lit(1)).alias("records_left"))
+    return (removed.join(held, "table_name", "left")
+            .select("table_name", "records_deleted", F.coalesce("records_left", F.lit(0)).alias("records_left")))
+
+
 @query("D9_data_age_health", f"""
 SELECT 'Oldest Real-time Data' AS metric, days || ' days ago' AS value,
        CASE WHEN days > 30 THEN 'WARNING' WHEN days > 7 THEN 'CAUTION' ELSE 'OK' END AS status,

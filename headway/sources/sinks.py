@@ -8,9 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from headway.functions.clocks import AsOf, instant
+from headway.session import shared_dir
 
 # Column each large table is spread and sorted by within its version and source, and what
 # rows of one value are sorted by further.
@@ -88,6 +89,13 @@ def load_versions(spark: SparkSession, root: str) -> DataFrame:
     return saved.where(F.col("snapshot") == newest).drop("snapshot")
 
 
+def retired_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions that an earlier snapshot of the versions table lists and the newest does not."""
+    saved = spark.read.parquet(f"{root.rstrip('/')}/versions").select("version_id").distinct()
+    kept = load_versions(spark, root).select("version_id")
+    return sorted(r["version_id"] for r in saved.join(kept, "version_id", "left_anti").collect())
+
+
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
     """Write the rows of one micro-batch, children first.
 
@@ -104,6 +112,75 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
         write("feed_messages")
 
 
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete stored folders on whatever file system they are; one that is gone is no error."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_batches(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
+    """Stored realtime tables, whole batches only.
+
+    ``feed_messages``, which a batch writes last, is listed first; rows of batches it does not
+    know belong to a batch that is still being written.
+    """
+    feeds = spark.read.parquet(f"{root.rstrip('/')}/feed_messages")
+    whole = feeds.select("batch_id").distinct()
+    found = {"feed_messages": feeds}
+    for name in names:
+        if name not in found:
+            found[name] = (spark.read.parquet(f"{root.rstrip('/')}/{name}")
+                           .join(whole, "batch_id", "left_semi"))
+    return found
+
+
+# Parents go before their children, messages last: what a run that broke off has left is found
+# by the next one.
+REWRITE_ORDER = ["trip_updates", "alerts", "vehicle_positions", "stop_time_updates",
+                 "alert_active_periods", "alert_informed_entities", "alert_translations",
+                 "feed_messages"]
+
+
+def keep_rows(root: str, live: dict[str, DataFrame], kept: dict[str, DataFrame]) -> None:
+    """Bring stored tables (``live``, from ``read_batches``) to the rows of ``kept``, in place.
+
+    Only batches that lose rows are touched: their remaining rows are written aside first and
+    then replace the folder; batches that lose all are deleted. Batches written meanwhile are left
+    alone. The driver sees the numbers of the changed batches, one per folder it replaces.
+    """
+    spark = live["feed_messages"].sparkSession
+    names = [n for n in REWRITE_ORDER if n in kept]
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("batch_id").agg(F.count(F.lit(1)).alias(name))
+
+    changed, staged = {}, {}
+    for name in names:
+        compared = rows(live[name], "had").join(rows(kept[name], "stay"), "batch_id", "left")
+        changed[name] = {r["batch_id"]: r["stay"] for r in compared.select(
+            "batch_id", "had", F.coalesce("stay", F.lit(0)).alias("stay"))
+            .where("had <> stay").collect()}
+        halved = [b for b, stay in changed[name].items() if stay]
+        if halved:
+            staged[name] = shared_dir(spark, f"kept-{name}")
+            number = T.StructType([live[name].schema["batch_id"]])
+            part = spark.createDataFrame([(b,) for b in halved], number)
+            (kept[name].join(part, "batch_id", "left_semi").hint("rebalance", "batch_id")
+             .write.partitionBy("batch_id").parquet(staged[name]))
+    emptied = {name: sorted(b for b, stay in changed[name].items() if not stay) for name in names}
+    bare = {name for name in names if emptied[name] and kept[name].isEmpty()}
+    for name in names:
+        table = f"{root.rstrip('/')}/{name}"
+        if name in staged:
+            (spark.read.parquet(staged[name]).hint("rebalance", "batch_id").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table))
+        if name in bare:  # an empty file stays, so that the table can be read
+            nothing = spark.createDataFrame([], live[name].drop("batch_id").schema)
+            nothing.write.mode("overwrite").parquet(f"{table}/batch_id={emptied[name].pop()}")
+        drop_folders(spark, [f"{table}/batch_id={b}" for b in emptied[name]])
+
+
 def publish_events(events: DataFrame, path: str, fmt: str = "parquet",
                    batch_id: int | None = None, **options: str) -> None:
     """Write (channel, payload, event_time) rows to a table of files, or to Kafka with the
