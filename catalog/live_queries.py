@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog import messages as M
 from catalog.derived import Tables
-from catalog.registry import RETENTION, SHARED_SQL, iso, query, ts
+from catalog.registry import RETENTION, SHARED_SQL, SQL, iso, query, ts
 from headway.operators import (
     events as N, live_trips as L, monitoring as O, realtime_rows as R, retention as D)
 from headway.plans import upkeep
@@ -715,29 +715,24 @@ def _(t: Tables) -> DataFrame:
     return refused.unionByName(taken)
 
 
-@query("W2_event_stream", """
-SELECT channel, event_time, count(*) AS events FROM (
-  SELECT 'feed_messages:' || source_id AS channel, %(at)s AS event_time FROM {tagged} UNION ALL
-  SELECT 'stop_departures:' || f.source_id || ':' || s.stop_id, %(fat)s FROM {flat_stop_time_updates} AS s
-    JOIN {flat_trip_updates} AS u USING (trip_update_id) JOIN {tagged} AS f ON f.fk = u.feed_message_id UNION ALL
-  SELECT 'trip_updates:' || u.trip_id, '2024-01-22 00:00:00.000000' FROM {flat_stop_time_updates} AS s
-    JOIN {flat_trip_updates} AS u USING (trip_update_id) UNION ALL
-  SELECT 'vehicle_positions:' || f.source_id || ':' || v.vehicle_id, %(fat)s FROM {flat_vehicle_positions} AS v
-    JOIN {tagged} AS f ON f.fk = v.feed_message_id WHERE v.vehicle_id IS NOT NULL UNION ALL
-  SELECT 'vehicle_at_stop:' || f.source_id || ':' || v.stop_id, %(fat)s FROM {flat_vehicle_positions} AS v
-    JOIN {tagged} AS f ON f.fk = v.feed_message_id WHERE v.stop_id IS NOT NULL UNION ALL
-  SELECT 'service_alerts_update', %(fat)s FROM {flat_alerts} AS a JOIN {tagged} AS f ON f.fk = a.feed_message_id UNION ALL
-  SELECT 'service_alerts_route:' || f.source_id || ':' || i.route_id, %(fat)s
-    FROM (SELECT DISTINCT alert_id, route_id, stop_id, agency_id FROM {flat_alert_informed_entities}) AS i
-    JOIN {flat_alerts} AS a USING (alert_id) JOIN {tagged} AS f ON f.fk = a.feed_message_id WHERE i.route_id IS NOT NULL UNION ALL
-  SELECT 'service_alerts_stop:' || f.source_id || ':' || i.stop_id, %(fat)s
-    FROM (SELECT DISTINCT alert_id, route_id, stop_id, agency_id FROM {flat_alert_informed_entities}) AS i
-    JOIN {flat_alerts} AS a USING (alert_id) JOIN {tagged} AS f ON f.fk = a.feed_message_id WHERE i.stop_id IS NOT NULL
-) AS x GROUP BY channel, event_time""" % {"at": ts("feed_time"), "fat": ts("f.feed_time")})
+EVENT_KINDS = ["N1_stop_departures", "N2_vehicle_positions", "N3_vehicle_at_stop", "N4_service_alerts_update",
+               "N5_service_alerts_route", "N6_service_alerts_stop", "N7_feed_messages", "N8_trip_updates"]
+
+
+def nested_events(kind: str) -> str:
+    """SQL of a kind of event over the nested messages. Their positions are decimals, written
+    with all their places; the check engine's JSON only keeps those as text, so the quotes go."""
+    sql = flat(SQL[kind].replace(NOW, f"TIMESTAMP '{RETENTION}'"))
+    for column, form in (("latitude", "10,7"), ("longitude", "10,7"), ("bearing", "5,2")):
+        sql = sql.replace(f"v.{column}", f"CAST(CAST(v.{column} AS DECIMAL({form})) AS VARCHAR)")
+    bare = """regexp_replace(payload, '"(latitude|longitude|bearing)":"([-0-9.]+)"', '"\\1":\\2', 'g')"""
+    return f"SELECT channel, {bare} AS payload, event_time FROM ({sql}) AS x"
+
+
+@query("W2_event_stream", "\nUNION ALL ".join(map(nested_events, EVENT_KINDS)))
 def _(t: Tables) -> DataFrame:
     root = run_stream(t, jobs.event_stream, lambda: t["versions"], as_of=RETENTION)
-    return (t.spark.read.parquet(f"{root}/events").groupBy("channel", "event_time")
-            .agg(F.count(F.lit(1)).alias("events")))
+    return t.spark.read.parquet(f"{root}/events").select("channel", "payload", "event_time")
 
 
 @query("W3_latest_vehicle", f"""
