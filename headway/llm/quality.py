@@ -19,6 +19,7 @@ gives no rows; further columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -139,25 +140,23 @@ class Estimate:
             out[f"against{i}"] = min(0.0, log(g[1] / b[1]))
         return out
 
-    def join(self, votes: DataFrame) -> DataFrame:
-        """``votes`` with ``posterior``; the weights come as one row, so that every round runs the
-        same compiled plan."""
+    def judged(self, votes: DataFrame) -> DataFrame:
+        """``votes`` with ``posterior``. A rule's weights are a table looked up by its vote (the
+        odds of any document are part of the first), which the compiled plan takes as data: every
+        round runs the same one. No vote weighs nothing."""
         now = self.weights()
-        row = votes.sparkSession.createDataFrame([tuple(now.values())],
-                                                 ", ".join(f"{n} double" for n in now))
-        odds = F.col("w")
-        for i in range(len(self.good)):
-            odds = (odds + F.when(F.col(f"v{i}") == 1, F.col(f"for{i}"))
-                    .when(F.col(f"v{i}") == -1, F.col(f"against{i}")).otherwise(0.0))
-        return (votes.join(F.broadcast(row))  # one row
-                .withColumn("posterior", 1 / (1 + F.exp(-odds))).drop(*now))
+        tables = [[now[f"against{i}"], 0.0, now[f"for{i}"]] for i in range(len(self.good))]
+        tables[0] = [now["w"] + x for x in tables[0]]
+        odds = reduce(Column.__add__, [F.get(F.lit(table), F.coalesce(f"v{i}", F.lit(0)) + 1)
+                                       for i, table in enumerate(tables)])
+        return votes.withColumn("posterior", 1 / (1 + F.exp(-odds)))
 
 
 def estimate(patterns: DataFrame, rules: int, rounds: int = ROUNDS) -> Estimate:
     """Expectation-maximisation over ``patterns`` (v0, v1, ..., n), a row per pattern of votes."""
     now = Estimate(START_PRIOR, [START["good"]] * rules, [START["bad"]] * rules)
     for _ in range(rounds):
-        weighed = now.join(patterns).select(
+        weighed = now.judged(patterns).select(
             "*", (F.col("n") * F.col("posterior")).alias("good"),
             (F.col("n") * (1 - F.col("posterior"))).alias("bad"))
         sums = weighed.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), *[
@@ -188,6 +187,6 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text",
     voted = written(found.select(*names, base_failed().alias("base_failed"), *votes), "quality-votes")
     patterns = written(voted.groupBy(*[f"v{i}" for i in range(len(rules))])
                        .agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality-patterns")
-    return estimate(patterns, len(rules)).join(voted).select(
+    return estimate(patterns, len(rules)).judged(voted).select(
         *names, "base_failed", "posterior",
         (~F.col("base_failed") & (F.col("posterior") >= least)).alias("kept"))
