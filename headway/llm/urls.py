@@ -57,8 +57,8 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return text, verdict
 
 
-def _strength(counts: DataFrame, above: list[str], name: str) -> DataFrame:
-    """One row: how many outcomes the prior of a level is worth. ``counts`` has n and bad of its
+def _strength(counts: DataFrame, above: list[str]) -> DataFrame:
+    """One number: how many outcomes the prior of a level is worth. ``counts`` has n and bad of its
     groups; what counts is how much groups differ that share the columns ``above``."""
     rate = F.col("bad") / F.col("n")
     each = counts.where("n > 0").groupBy(*above).agg(
@@ -76,7 +76,7 @@ def _strength(counts: DataFrame, above: list[str], name: str) -> DataFrame:
     low, high = CORRELATION
     alike = F.when(known, F.when(whole > 0, F.least(F.greatest((between - within) / whole, F.lit(low)),
                                                     F.lit(high))))
-    return total.select((1 / F.coalesce(alike, F.lit(UNKNOWN)) - 1).alias(name))
+    return total.select((1 / F.coalesce(alike, F.lit(UNKNOWN)) - 1).alias("m"))
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, key: str = "page_id") -> DataFrame:
@@ -94,20 +94,20 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, key: str = "page_id")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1)
                             / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("base"))
-    one = (overall.join(F.broadcast(_strength(suffixes, [], "m_suffix")))  # one row each
-           .join(F.broadcast(_strength(domains, ["suffix"], "m_domain")))
-           .join(F.broadcast(_strength(hosts, ["domain", "suffix"], "m_host"))))
-
-    def mean(strength: str, above: str) -> Column:
-        return ((F.col(strength) * F.col(above) + F.col("bad"))
-                / (F.col(strength) + F.col("n")))
-
-    by_suffix = suffixes.join(F.broadcast(one)).select(
-        "suffix", "m_domain", "m_host", mean("m_suffix", "base").alias("p_suffix"))
-    by_domain = domains.join(by_suffix, "suffix").select(
-        "domain", "suffix", "m_host", mean("m_domain", "p_suffix").alias("p_domain"))
-    known = hosts.join(by_domain, ["domain", "suffix"])
-    rate, weight = mean("m_host", "p_domain"), F.col("m_host") + F.col("n")
+    # Each is one number, told to the level below as such.
+    base = overall.scalar()
+    m_suffix = _strength(suffixes, []).scalar()
+    m_domain = _strength(domains, ["suffix"]).scalar()
+    m_host = _strength(hosts, ["domain", "suffix"]).scalar()
+
+    def mean(strength: str, above: Column) -> Column:
+        return ((F.col(strength) * above + F.col("bad")) / (F.col(strength) + F.col("n")))
+
+    by_suffix = suffixes.withColumn("m", m_suffix).select("suffix", mean("m", base).alias("p_suffix"))
+    by_domain = domains.withColumn("m", m_domain).join(by_suffix, "suffix").select(
+        "domain", "suffix", mean("m", F.col("p_suffix")).alias("p_domain"))
+    known = hosts.withColumn("m", m_host).join(by_domain, ["domain", "suffix"])
+    rate, weight = mean("m", F.col("p_domain")), F.col("m") + F.col("n")
     spread = F.sqrt(rate * (1 - rate) / (weight + 1))
     return known.select("host", "n", "bad", rate.alias("rate"),
                         (rate - F.lit(BOUND) * spread).alias("bound"))
