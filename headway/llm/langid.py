@@ -166,10 +166,10 @@ def _table(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
         *[F.count_if(F.col("guess") == n).alias(f"n{i}") for i, n in enumerate(names)])
     totals = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"t{i}")
                           for i in range(len(names))], F.count(F.lit(1)).alias("values"))
-    chance = [F.log((F.col(f"n{i}") + 0.5) / (F.col(f"t{i}") + 0.5 * F.col("values")))
+    chance = [F.log((F.col(f"n{i}") + 0.5) / (F.col(f"_all.t{i}") + 0.5 * F.col("_all.values")))
               for i in range(len(names))]
-    even = F.log(F.lit(1.0) / F.col("values"))
-    return counts.join(F.broadcast(totals)).select(  # one row of totals
+    even = F.log(F.lit(1.0) / F.col("_all.values"))
+    return counts.withColumn("_all", totals.select(F.struct("*")).scalar()).select(
         column, F.array(*chance, even).alias(f"by_{column}"))
 
 
@@ -187,8 +187,8 @@ def _priors(rows: DataFrame, names: list[str]) -> DataFrame:
     overall = by_suffix.agg(*[F.sum(f"s{i}").alias(f"a{i}") for i in range(len(names))])
     many = range(len(names))
     even = [F.lit(1.0 / len(names))] * len(names)
-    suffix = by_suffix.join(F.broadcast(overall))  # one row of totals
-    shares = _shares([F.col(f"a{i}") for i in many], even, len(names))
+    suffix = by_suffix.withColumn("_all", overall.select(F.struct("*")).scalar())
+    shares = _shares([F.col(f"_all.a{i}") for i in many], even, len(names))
     suffix = suffix.select("suffix", *[c.alias(f"p{i}") for i, c in enumerate(
         _shares([F.col(f"s{i}") for i in many], shares, SUFFIX_STRENGTH))])
     host = by_host.alias("h").join(suffix.alias("s"), F.col("h.suffix").eqNullSafe(F.col("s.suffix")))
