@@ -230,6 +230,11 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
                   radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each group: the smallest id, by text hash where ids repeat."""
     near = written(near_duplicates(docs, key, text, radius), "simhash-near")
+    return first_of_groups(docs, near, key, text)
+
+
+def first_of_groups(docs: DataFrame, near: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with one document of each group that ``near`` (doc_id, mark, root) tells."""
     first = (near.groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
              .select("first.doc_id", "first.mark"))

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from headway.llm import bwt, chat, langid, mixing, packing, pii, quality, repeats, simhash, topk, urls
+from headway.llm import bwt, chat, langid, mixing, packing, pii, quality, repeats, resemblance, simhash, topk, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, text_mark string"
@@ -310,6 +310,83 @@ def test_shards_lose_no_link(spark):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
 
 
+# resemblance
+
+def shingle_set(text: str | None) -> frozenset:
+    parts = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(parts[i:i + 5]) for i in range(max(1, len(parts) - 4)) if parts)
+
+
+def share(a: frozenset, b: frozenset) -> float:
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_copies(seed: int) -> list[str]:
+    """Texts of 200 words beside copies with a few words changed, and a chain drifting away."""
+    draw = random.Random(seed)
+
+    def word():
+        return "".join(draw.choice("abcdefgh") for _ in range(6))
+
+    texts = []
+    for changes in (1, 2, 3, 4, 5, 6, 8) * 3:
+        base = [word() for _ in range(200)]
+        texts.append(" ".join(base))
+        for _ in range(3):
+            copy = list(base)
+            for at in draw.sample(range(200), changes):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    for _ in range(60):
+        base = list(base)
+        base[draw.randrange(200)] = word()
+        texts.append(" ".join(base))
+    return texts
+
+
+@pytest.mark.parametrize("stars", [resemblance.STARS, 0])
+def test_the_stage_keeps_one_of_texts_that_share_four_fifths(spark, monkeypatch, rows, stars):
+    monkeypatch.setattr(resemblance, "STARS", stars)
+    import corpus_pipeline
+    texts = [r[1] for r in rows] + near_copies(4)
+    sets = [shingle_set(t) for t in texts]
+    group = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if share(a, sets[j]) >= 0.8 and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in enumerate(texts)], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = {r["doc_id"] for r in stage(spark, docs.repartition(4), "").collect()}
+    assert kept == set(group)
+    assert len(kept) < simhash.one_per_group(docs).count()
+
+
+def test_a_dense_group_is_compared_along_its_size(spark, monkeypatch):
+    draw = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        copy[draw.randrange(120)] = f"x{i}"
+        texts.append(" ".join(copy))
+    sizes, compared = [], resemblance._links
+
+    def counting(pairs, sets):
+        sizes.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(resemblance, "_links", counting)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r["doc_id"] for r in resemblance.one_per_group(docs).collect()] == [0]
+    assert sum(sizes) < 3000
+
+
+def test_an_empty_table_resembles_nothing(empty):
+    assert resemblance.one_per_group(empty).count() == 0
+
+
 # urls
 
 def test_rules_and_addresses(spark):
