@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from headway.llm.common import table, written
 
 SAMPLE = 400          # labelled rows a language that the text model is fitted on, at most
-LANGUAGES = 64        # languages told apart, the most frequent ones
+BLOCK = 64            # languages scored at once
+HELD = 1 << 21        # trigram cells of texts scored at once
 CELLS = 1 << 16       # hashed trigrams
 UNKNOWN = "und"
 TEXT_WEIGHT = 0.2     # trigrams overlap, so a text counts as a fifth of its trigrams
@@ -61,8 +62,8 @@ _FOLD = _folded()
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE,
-        seed: int = 5) -> tuple[list[str], np.ndarray]:
-    """Language names and their log likelihoods by trigram cell.
+        seed: int = 5) -> tuple[list[str], DataFrame]:
+    """Language names, and ``lang, cells, counts`` with the trigram cells of each one's sample.
 
     Rows are drawn by hash at a rate that yields ``sample`` a language, so that only these texts
     move; a window cuts what the draw gives too much.
@@ -70,16 +71,13 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
     rows = docs.select(F.lower(F.col(f"`{label}`").cast("string")).alias("lang"),
                        F.col(f"`{text}`").cast("string").alias("text")).where(
         "lang is not null and lang <> 'und' and text is not null")
-    counts = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-              .limit(LANGUAGES).collect())
-    names = sorted(r["lang"] for r in counts)
-    if not names:
-        return [], np.zeros((0, CELLS), np.float32)
-    rate = F.lit(0.0)
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], F.lit(1.5 * sample / r["count"])).otherwise(rate)
     mark = F.xxhash64(F.lit(seed), "text")
-    drawn = rows.withColumn("mark", mark).where(F.pmod("mark", F.lit(1 << 20)) < rate * (1 << 20))
+    # One row per language reaches the driver and goes back to every task.
+    counts = rows.groupBy("lang").count().collect()
+    rates = docs.sparkSession.createDataFrame(
+        [(r["lang"], 1.5 * sample / r["count"]) for r in counts], "lang string, rate double")
+    drawn = (rows.withColumn("mark", mark).join(F.broadcast(rates), "lang")
+             .where(F.pmod("mark", F.lit(1 << 20)) < F.col("rate") * (1 << 20)))
     order = W.partitionBy("lang").orderBy("mark")
     drawn = drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
 
@@ -87,38 +85,66 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
         total = np.zeros(CELLS, np.int64)
         for t in pdf["text"]:
             total += np.bincount(trigram_cells(t.encode()), minlength=CELLS)
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "cells": [total.tobytes()]})
-
-    # One row per language of a fixed size reaches the driver.
-    got = {r["lang"]: np.frombuffer(r["cells"], np.int64) for r in
-           drawn.select("lang", "text").groupBy("lang")
-           .applyInPandas(count, "lang string, cells binary").collect()}
-    names = [n for n in names if n in got]
+        cells = np.flatnonzero(total)
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "cells": [cells.astype("<u4").tobytes()],
+                             "counts": [total[cells].tobytes()]})
+
+    fitted = written(drawn.select("lang", "text").groupBy("lang")
+                     .applyInPandas(count, "lang string, cells binary, counts binary"),
+                     "langid-model")
+    return sorted(r["lang"] for r in fitted.select("lang").collect()), fitted
+
+
+def likelihoods(fitted: DataFrame, names: list[str]) -> np.ndarray:
+    """Log likelihoods by trigram cell of the languages named."""
+    got = {}
+    for r in fitted.where(F.col("lang").isin(names)).collect():
+        got[r["lang"]] = total = np.zeros(CELLS, np.int64)
+        total[np.frombuffer(r["cells"], "<u4")] = np.frombuffer(r["counts"], np.int64)
     model = [np.log((got[n] + 0.5) / (got[n].sum() + 0.5 * CELLS)) for n in names]
-    return names, np.array(model, np.float32)
+    return np.array(model, np.float32)
 
 
-def text_scores(docs: DataFrame, model: np.ndarray, columns: list[str], text: str = "text"
-                ) -> DataFrame:
+def text_scores(docs: DataFrame, fitted: DataFrame, names: list[str], columns: list[str],
+                text: str = "text") -> DataFrame:
     """``columns`` and ``scores``: weighted log likelihoods by language, then by ``und``; empty
-    for a text without letters."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
+    for a text without letters. Driver and tasks hold the model of ``BLOCK`` languages at a time."""
+    context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(np.ascontiguousarray(likelihoods(fitted, names[i:i + BLOCK]).T))
+              for i in range(0, len(names), BLOCK)]
     flat = -float(np.log(CELLS))
 
+    def score(held: list[tuple]) -> Iterator[list[float]]:
+        parts: list[list] = [[] for _ in held]
+        for block in blocks:
+            by_cell = block.value
+            for part, (used, hits, _) in zip(parts, held):
+                if len(used):
+                    scores = hits.astype(np.float64) @ by_cell[used].astype(np.float64)
+                    part += (TEXT_WEIGHT * scores).tolist()
+            if len(blocks) > 1 and getattr(block, "_path", None):
+                vars(block).pop("_value", None)  # read again when next asked for
+        for part, (used, _, cells) in zip(parts, held):
+            yield [*part, TEXT_WEIGHT * flat * cells] if len(used) else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_cell = shared.value
+        nothing = np.zeros(0, np.int64)
         for batch in batches:
-            out = []
+            out, held, size = [], [], 0
             for t in batch.column(0):
                 body = t.as_py() or b""
                 cells = trigram_cells(body)
                 if not body or (cells == _BLANK).all():
-                    out.append([])
+                    held.append((nothing, nothing, 0))
                     continue
                 hits = np.bincount(cells, minlength=CELLS)
                 used = np.flatnonzero(hits)
-                scores = hits[used].astype(np.float64) @ by_cell[used].astype(np.float64)
-                out.append([*(TEXT_WEIGHT * scores).tolist(), TEXT_WEIGHT * flat * len(cells)])
+                held.append((used, hits[used], len(cells)))
+                size += len(used)
+                if size > HELD:
+                    out += score(held)
+                    held, size = [], 0
+            out += score(held)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(out, pa.list_(pa.float64()))],
                 names=[*batch.schema.names[1:], "scores"])
@@ -160,42 +186,51 @@ def _best(scores: Column, names: list[str]) -> Column:
     return F.when(F.size(scores) > 0, F.element_at(F.array(*[F.lit(n) for n in names]), at))
 
 
+def _counts(rows: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """``by`` and ``counts``: rows by guess, in the order of ``names``."""
+    pair = F.when(F.col("guess") != UNKNOWN, F.struct("guess", "n"))
+    maps = (rows.groupBy(*by, "guess").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*by).agg(F.map_from_entries(F.collect_list(pair)).alias("m")))
+    every = F.transform(_names(names), lambda x: F.coalesce(F.element_at("m", x), F.lit(0).cast("long")))
+    return maps.select(*by, every.alias("counts"))
+
+
+def _names(names: list[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
 def _table(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
     """log P(column | language) by value, smoothed, from the text's own verdicts."""
-    counts = rows.where(F.col(column).isNotNull()).groupBy(column).agg(
-        *[F.count_if(F.col("guess") == n).alias(f"n{i}") for i, n in enumerate(names)])
-    totals = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"t{i}")
-                          for i in range(len(names))], F.count(F.lit(1)).alias("values"))
-    chance = [F.log((F.col(f"n{i}") + 0.5) / (F.col(f"_all.t{i}") + 0.5 * F.col("_all.values")))
-              for i in range(len(names))]
-    even = F.log(F.lit(1.0) / F.col("_all.values"))
-    return counts.withColumn("_all", totals.select(F.struct("*")).scalar()).select(
-        column, F.array(*chance, even).alias(f"by_{column}"))
+    known = rows.where(F.col(column).isNotNull())
+    counts = _counts(known, [column], names)
+    values = known.agg(F.count_distinct(column)).scalar()
+    totals = _counts(known, [], names).scalar()
+    counts = counts.withColumn("values", values).withColumn("totals", totals)
+    chance = F.zip_with("counts", "totals", lambda n, t: F.log(
+        (n + 0.5) / (t + 0.5 * F.col("values"))))
+    even = F.log(F.lit(1.0) / F.col("values"))
+    return counts.select(column, F.concat(chance, F.array(even)).alias(f"by_{column}"))
 
 
-def _shares(columns: list[Column], base: list[Column], strength: float) -> list[Column]:
-    total = sum(columns[1:], columns[0]) + F.lit(strength)
-    return [(n + b * F.lit(strength)) / total for n, b in zip(columns, base)]
+def _shares(counts: Column, base: Column, strength: float) -> Column:
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n) + F.lit(strength)
+    return F.zip_with(counts, base, lambda n, b: (n + b * F.lit(strength)) / total)
 
 
 def _priors(rows: DataFrame, names: list[str]) -> DataFrame:
     """Prior of each language by host: counts shrunk to the suffix's, those to all rows'."""
-    known = [F.count_if(F.col("guess") == n).alias(f"n{i}") for i, n in enumerate(names)]
-    by_host = rows.groupBy("host", "suffix").agg(*known)
-    sums = [F.sum(f"n{i}").alias(f"s{i}") for i in range(len(names))]
-    by_suffix = by_host.groupBy("suffix").agg(*sums)
-    overall = by_suffix.agg(*[F.sum(f"s{i}").alias(f"a{i}") for i in range(len(names))])
-    many = range(len(names))
-    even = [F.lit(1.0 / len(names))] * len(names)
-    suffix = by_suffix.withColumn("_all", overall.select(F.struct("*")).scalar())
-    shares = _shares([F.col(f"_all.a{i}") for i in many], even, len(names))
-    suffix = suffix.select("suffix", *[c.alias(f"p{i}") for i, c in enumerate(
-        _shares([F.col(f"s{i}") for i in many], shares, SUFFIX_STRENGTH))])
+    by_host = _counts(rows, ["host", "suffix"], names)
+    by_suffix = _counts(rows, ["suffix"], names)
+    even = F.array_repeat(F.lit(1.0 / len(names)), len(names))
+    overall = _counts(rows, [], names).scalar()
+    suffix = by_suffix.withColumn("_all", overall)
+    suffix = suffix.withColumn("base", _shares(F.col("_all"), even, len(names)))
+    suffix = suffix.select("suffix", _shares(F.col("counts"), F.col("base"), SUFFIX_STRENGTH).alias("base"))
     host = by_host.alias("h").join(suffix.alias("s"), F.col("h.suffix").eqNullSafe(F.col("s.suffix")))
-    logs = [F.log(c * F.lit(1 - UNKNOWN_PRIOR)) for c in _shares(
-        [F.col(f"n{i}") for i in many], [F.col(f"p{i}") for i in many], HOST_STRENGTH)]
+    shares = _shares(F.col("counts"), F.col("base"), HOST_STRENGTH)
+    logs = F.transform(shares, lambda c: F.log(c * F.lit(1 - UNKNOWN_PRIOR)))
     return host.select("host", F.col("h.suffix").alias("suffix"),
-                       F.array(*logs, F.log(F.lit(UNKNOWN_PRIOR))).alias("prior"))
+                       F.concat(logs, F.array(F.log(F.lit(UNKNOWN_PRIOR)))).alias("prior"))
 
 
 def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: str = "text",
@@ -206,12 +241,12 @@ def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: st
     ``evidence`` (doc_id, declared, suffix, host) has at most one row per document; documents
     without one are taken as hosted by ``fallback_host``. Texts are read where they lie.
     """
-    names, model = fit(docs, text, label)
+    names, fitted = fit(docs, text, label)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
                        F.xxhash64(F.col(f"`{text}`").cast("string")).alias("mark"),
                        F.col(f"`{fallback_host}`").cast("string").alias("place"),
                        F.col(f"`{text}`").alias("text"))
-    scored = written(text_scores(rows, model, ["doc_id", "mark", "place"]), "langid-scores")
+    scored = written(text_scores(rows, fitted, names, ["doc_id", "mark", "place"]), "langid-scores")
     if not names:
         nothing = F.lit(None).cast("string")
         return scored.select("doc_id", "mark", F.lit(UNKNOWN).alias("language"),
@@ -229,7 +264,7 @@ def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: st
         "suffix", "_suffix")
     told = told.join(priors, F.col("host").eqNullSafe(F.col("_host"))
                      & F.col("suffix").eqNullSafe(F.col("_suffix")))
-    none = F.array(*[F.lit(0.0)] * len(classes))
+    none = F.array_repeat(F.lit(0.0), len(classes))
     fused = F.col("prior")
     for part in (F.col("scores"), F.coalesce("by_declared", none), F.coalesce("by_suffix", none)):
         fused = F.zip_with(fused, part, lambda a, b: a + b)

@@ -445,6 +445,19 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert not any(found[i]["kept"] for i in (201, 202, 203))
 
 
+def test_every_label_is_a_class(spark):
+    draw = random.Random(12)
+    rows = []
+    for i in range(70):  # each language has its own words, those later in this list fewer rows
+        vocabulary = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)]
+        for j in range(8 if i < 64 else 4):
+            rows.append((len(rows), " ".join(draw.choices(vocabulary, k=60)), f"l{i:02d}", f"h{i}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    evidence = spark.createDataFrame([], "doc_id long, declared string, suffix string, host string")
+    found = {r["doc_id"]: r for r in langid.identify(docs, evidence).collect()}
+    assert all(found[i]["language"] == lang and found[i]["kept"] for i, _, lang, _ in rows)
+
+
 # personal data
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
