@@ -3,7 +3,7 @@
 Four kinds of evidence, each a likelihood or prior over the languages:
 
 - the text: byte trigrams under a smoothed multinomial model per language, fitted on a bounded
-  sample of labelled rows (``SAMPLE`` a language), scored over whole texts;
+  sample of distinct labelled texts (``SAMPLE`` a language), scored over whole texts;
 - the language that a page's markup declares, through a table of how often each declaration goes
   with each language;
 - the address's last label, through a table of the same kind;
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from headway.llm.common import table, written
 
-SAMPLE = 400          # labelled rows a language that the text model is fitted on, at most
+SAMPLE = 400          # distinct labelled texts a language that the text model is fitted on, at most
 BLOCK = 64            # languages scored at once
 HELD = 1 << 21        # trigram cells of texts scored at once
 CELLS = 1 << 16       # hashed trigrams
@@ -65,19 +65,20 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
         seed: int = 5) -> tuple[list[str], DataFrame]:
     """Language names, and ``lang, cells, counts`` with the trigram cells of each one's sample.
 
-    Rows are drawn by hash at a rate that yields ``sample`` a language, so that only these texts
-    move; a window cuts what the draw gives too much.
+    Distinct texts are counted and drawn by hash at a rate that yields ``sample`` a language, or
+    all where there are no more, so that only these texts move; a window cuts what is too much.
     """
     rows = docs.select(F.lower(F.col(f"`{label}`").cast("string")).alias("lang"),
                        F.col(f"`{text}`").cast("string").alias("text")).where(
         "lang is not null and lang <> 'und' and text is not null")
-    mark = F.xxhash64(F.lit(seed), "text")
+    rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), "text"))
     # One row per language reaches the driver and goes back to every task.
-    counts = rows.groupBy("lang").count().collect()
+    counts = rows.select("lang", "mark").distinct().groupBy("lang").count().collect()
     rates = docs.sparkSession.createDataFrame(
         [(r["lang"], 1.5 * sample / r["count"]) for r in counts], "lang string, rate double")
-    drawn = (rows.withColumn("mark", mark).join(F.broadcast(rates), "lang")
-             .where(F.pmod("mark", F.lit(1 << 20)) < F.col("rate") * (1 << 20)))
+    drawn = (rows.join(F.broadcast(rates), "lang")
+             .where(F.pmod("mark", F.lit(1 << 20)) < F.col("rate") * (1 << 20))
+             .dropDuplicates(["lang", "mark"]))
     order = W.partitionBy("lang").orderBy("mark")
     drawn = drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
 

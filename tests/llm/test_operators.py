@@ -458,6 +458,17 @@ def test_every_label_is_a_class(spark):
     assert all(found[i]["language"] == lang and found[i]["kept"] for i, _, lang, _ in rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_copies_do_not_starve_the_sample(spark, seed):
+    texts = [f"wort{i} satz{i}" for i in range(100)]
+    rows = [(t, "de") for t in texts] + [("immer wieder derselbe satz", "de")] * 30000
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    names, fitted = langid.fit(docs, seed=seed)
+    found = np.frombuffer(fitted.first()["counts"], np.int64).sum()
+    total = sum(len(langid.trigram_cells(t.encode())) for t in {t for t, _ in rows})
+    assert names == ["de"] and found == total
+
+
 # personal data
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
