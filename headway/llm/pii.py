@@ -3,7 +3,9 @@
 Base kinds (always kept): email, ip (parts to 255), card (16 to 19 digits, Luhn), phone (8 to 15
 digits after a plus). The method adds, where the score reaches ``THRESHOLD``: iban (country and
 check digits, mod 97), card_short (13 to 15 digits, Luhn, with a word on cards nearby) and
-phone_local (7 to 15 digits without a plus, with a word on telephones nearby).
+phone_local (7 to 15 digits without a plus, with a word on telephones nearby). For added kinds, what is
+proposed too long is tried with its shorter readings: an IBAN up to its country's length (of an unknown
+country up to every end), short cards and telephone numbers by the digit groups they consist of.
 
 Spans count code points, end exclusive. A missing or empty text has none; texts of any length are
 searched whole in linear time; repeated rows each get their own spans.
@@ -24,8 +26,17 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-TEL = re.compile(r"(?<![0-9+])[0-9(][0-9 ()./-]{5,30}[0-9](?![0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+TEL = re.compile(r"(?<![0-9+])(?:\([ ()./-]{0,24}+)?[0-9](?:[ ()./-]*+[0-9])+")
+PART = re.compile(r"[0-9]+")
+ALNUM = re.compile(r"[A-Za-z0-9]")
+# Characters of an IBAN by country.
+IBAN_LENGTH = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 DIGIT = re.compile(r"[0-9]")
 
 KINDS = ("email", "ip", "card", "phone", "iban", "card_short", "phone_local")
@@ -77,6 +88,69 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The first reading of each start that holds: the length of its country, then the longest."""
+    at = 0
+    while m := IBAN.search(text, at):
+        at = m.start() + 1
+        code = m[0].replace(" ", "")
+        ends = [i + 1 for i in range(*m.span()) if text[i] != " "]
+        whole = [n for n in range(len(ends), 14, -1) if not ALNUM.match(text, ends[n - 1])]
+        fixed = IBAN_LENGTH.get(code[:2])
+        tried = [n for n in whole if n == fixed] + whole[:1] if fixed else whole
+        for n in tried:
+            if mod97(code[:n]):
+                yield m.start(), ends[n - 1]
+                at = ends[n - 1]
+                break
+
+
+def _short_cards(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring digit groups of 13 to 15 digits that pass Luhn, from the left, the longest first."""
+    parts = [m.span() for m in PART.finditer(text, start, end)]
+    i = 0
+    while i < len(parts):
+        digits, held = "", 0
+        for j in range(i, len(parts)):
+            digits += text[slice(*parts[j])] if parts[j][1] - parts[j][0] <= 15 else "0" * 16
+            if len(digits) > 15:
+                break
+            if len(digits) >= 13 and luhn(digits):
+                held = j + 1
+        if held:
+            yield parts[i][0], parts[held - 1][1]
+        i = held or i + 1
+
+
+def _numbers(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A run as telephone numbers: whole if it can be one, else its digit groups dealt into numbers
+    that cover most digits, bridge the fewest wide gaps and are most alike in length."""
+    parts = [m.span() for m in PART.finditer(text, start, end)]
+    if end - start <= 32 and 7 <= sum(b - a for a, b in parts) <= 15:
+        yield start, end
+        return
+    best = [((0, 0, 0), 0)]  # up to each group: the worth, and the first group of the last number
+    for j in range(len(parts)):
+        found, n, wide = (best[j][0], j + 1), 0, 0
+        for i in range(j, -1, -1):
+            n += parts[i][1] - parts[i][0]
+            if n > 15 or parts[j][1] - parts[i][0] > 32:
+                break
+            if n >= 7:
+                a, b, c = best[i][0]
+                found = max(found, ((a + n, b - wide, c - n * n), i), key=lambda x: x[0])
+            wide += i > 0 and parts[i][0] - parts[i - 1][1] > 2
+        best.append(found)
+    spans, j = [], len(parts)
+    while j:
+        i = best[j][1]
+        if i < j:
+            spans.append((parts[i][0] - (parts[i][0] > start and text[parts[i][0] - 1] == "("),
+                          parts[j - 1][1]))
+        j = min(i, j - 1)
+    yield from reversed(spans)
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     """Every span that its kind's checks confirm."""
     if "@" in text:
@@ -94,18 +168,16 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
             yield "card", m.start(), m.end()
         elif 13 <= len(d) <= 15 and luhn(d):
             yield "card_short", m.start(), m.end()
+        else:
+            yield from (("card_short", a, b) for a, b in _short_cards(text, *m.span()))
     if "+" in text:
         for m in PHONE.finditer(text):
             if 8 <= len(_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield "iban", m.start(), m.end()
+    yield from (("iban", a, b) for a, b in _ibans(text))
     if NEAR["phone"].search(text):
         for m in TEL.finditer(text):
-            if 7 <= len(_digits(m[0])) <= 15:
-                yield "phone_local", m.start(), m.end()
+            yield from (("phone_local", a, b) for a, b in _numbers(text, *m.span()))
 
 
 def _score(text: str, kind: str, start: int, end: int) -> float:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -507,6 +508,33 @@ def test_checksums_and_context_decide_the_added_spans():
     assert kinds("phone 555 123 4567") == ["phone_local"] and kinds("order 555 123 4567") == []
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("DE89370400440532013000 BIC COBADEFF", ["DE89370400440532013000"]),
+    ("DE89 3704 0044 0532 0130 00 2024", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 A new", ["DE89370400440532013000"]),
+    ("AB12 DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 GB82 WEST 1234 5698 7654 32",
+     ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+    ("DE89370400440532013001 BIC COBADEFF", []),
+    ("phone 555 123 4567 / 555 987 6543", ["555 123 4567", "555 987 6543"]),
+    ("phone (555) 123-4567 (555) 987-6543", ["(555) 123-4567", "(555) 987-6543"]),
+    ("phone 030 123456 / 0171 12345678", ["030 123456", "0171 12345678"]),
+    ("tel 01 23 45 67 89 02 34 56 78 90", ["01 23 45 67 89", "02 34 56 78 90"]),
+    ("phone 12345678901234567890", []),
+    ("card 378282246310005 2024", ["378282246310005"]),
+    ("cards: card 3782 822463 10005 371449635398431 end", ["3782 822463 10005", "371449635398431"]),
+])
+def test_added_kinds_are_found_beside_more_of_the_same_signs(text, spans):
+    assert [text[a:b] for _, a, b, _ in pii.find_spans(text)] == spans
+
+
+def test_long_runs_of_digits_are_read_in_linear_time():
+    text = "phone card IB " + "12 345-6 " * 50000 + "DE89 " * 20000 + "(" * 100000 + "1" + "." * 100000
+    start = time.monotonic()
+    list(pii._proposed(text))
+    assert time.monotonic() - start < 20
+
+
 def test_report_and_masking(spark, docs, rows):
     frame = spark.createDataFrame([(1, "mail x@y.zz now", 15), (2, None, None)], "doc_id long, text string, n_chars int")
     report = {r["doc_id"]: r for r in pii.pii_report(frame).collect()}
