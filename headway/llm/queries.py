@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm import chat, langid, mixing, packing, pii, quality, repeats, simhash, topk, urls
+from headway.llm import (chat, jaccard, langid, mixing, negatives, packing, periodic, pii, quality, repeats,
+                         simhash, topk, urls)
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,14 +75,41 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the strongest of them, and a digest of the text without repeats."""
+    docs = periodic.with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs).withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of shingles and component of every document."""
+    return jaccard.resembling(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, after a seventh of the labels has been moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_repeated_bytes, op3_weak_supervision, op4_chat_perspectives,
         op5_threshold_topk, op6_simhash_groups, op7_host_reputation, op8_language_id,
-        op9_pii_spans, op10_best_fit_packing)
+        op9_pii_spans, op10_best_fit_packing, op11_periodic_runs, op12_jaccard_groups,
+        op13_hard_negatives)
 }
 SQL: dict[str, str] = {
     "op4_chat_perspectives": chat.check_sql(),
     "op5_threshold_topk": topk.check_sql(20),
     "op7_host_reputation": urls.check_sql(),
+    "op12_jaccard_groups": jaccard.check_sql(),
+    "op13_hard_negatives": negatives.check_sql(),
 }

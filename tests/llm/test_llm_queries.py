@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_runs_over_the_whole_table(spark, name):
     rows = QUERIES[name](spark, SF).collect()
-    documents = {"op1", "op2", "op3", "op6", "op8", "op9"}
+    documents = {"op1", "op2", "op3", "op6", "op8", "op9", "op11", "op12"}
     if name.split("_")[0] in documents:
         assert len(rows) == table(spark, SF, "documents").count()
     assert rows
@@ -25,7 +25,7 @@ def test_query_runs_over_the_whole_table(spark, name):
 def test_query_agrees_with_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     base = duckdb.connect()
-    for t in ("conversations", "embeddings", "pages", "labels"):
+    for t in ("conversations", "documents", "embeddings", "pages", "labels"):
         base.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     expected = base.execute(SQL[name])
     columns = [c[0] for c in expected.description]
@@ -54,4 +54,4 @@ def test_pipeline_stages_keep_the_columns_and_take_effect(spark):
 def test_all_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
