@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import langid, mixing, packing, pii, resemblance
+from headway.llm import langid, mixing, packing, pii, simhash
 from headway.llm.common import table, written
 
 
@@ -18,9 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 0.8 of their 5-word shingles, that of the
-    smallest id."""
-    return resemblance.one_per_group(docs)
+    """One document of each group of texts whose fingerprints of 3-word shingles differ in two bits
+    or less, that of the smallest id."""
+    return simhash.one_per_group(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("pack_sequences", pack_sequences),
 ]
 
-# Minima of hashes, trained likelihoods and best-fit placement have no SQL form.
+# Fingerprints, trained likelihoods and best-fit placement have no SQL form.
 ORACLE_SQL: str | None = None
 
 
