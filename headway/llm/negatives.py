@@ -58,40 +58,48 @@ class Index:
         order = np.argsort(-self.norms[:, 1:], axis=0, kind="stable")
         self.order = np.ascontiguousarray(order.T)
         self.below = -np.take_along_axis(self.norms[:, 1:], order, axis=0).T  # rises
-        self.values = np.ascontiguousarray(np.take_along_axis(self.rows, order, axis=0).T)
+        self.columns = {np.int64: np.ascontiguousarray(self.rows.T),
+                        np.float64: np.ascontiguousarray(self.rows.T.astype(np.float64))}
 
 
 class Search:
     """One anchor on its way down the thresholds of an index."""
 
     def __init__(self, index: Index, anchor: np.ndarray):
-        self.index, self.anchor = index, anchor[index.dims]
-        norms = np.sqrt(np.cumsum(self.anchor.astype(np.float64) ** 2))
+        asked = anchor[index.dims]
+        norms = np.sqrt(np.cumsum(asked.astype(np.float64) ** 2))
         self.norms = np.concatenate([[0.0], norms])
         self.highest = self.norms[-1] * index.longest
         if self.highest >= 2.0 ** 62:
             raise ValueError("scores beyond 2^62: scale the vectors down")
-        self.partial = np.zeros(len(index.rows), np.int64)
+        kind = np.float64 if self.highest < 2.0 ** 52 else np.int64  # whole numbers in either
+        self.index, self.anchor, self.columns = index, asked.astype(kind), index.columns[kind]
+        self.partial = np.zeros(len(index.rows), kind)
+        self.left = np.full(len(index.rows), len(index.dims))  # dimensions of each row not read yet
         self.read = np.zeros(len(index.dims), np.int64)
         self.entries = 0    # read so far
         self.completed = 0  # rows completed so far
 
     def at_least(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all rows that score ``threshold`` or more, which never rises."""
-        index = self.index
+        index, count = self.index, len(self.left)
         norm = threshold / self.norms[-1] * (1 - SLACK) if threshold > 0 and self.norms[-1] else 0.0
-        ends = np.array([np.searchsorted(b, -norm, "right") for b in index.below])
-        for d in np.flatnonzero((ends > self.read) & (self.anchor != 0)):
-            new = slice(self.read[d], ends[d])
-            self.partial[index.order[d, new]] += self.anchor[d] * index.values[d, new]
-            self.entries += ends[d] - self.read[d]
+        ends = np.array([b.searchsorted(-norm, "right") for b in index.below])
+        whole = (ends == count) & (self.read == 0)
+        tail = len(whole) - int(np.argmin(np.append(whole[::-1], False)))  # from here on read whole
+        self.partial += self.anchor[tail:] @ self.columns[tail:]
+        self.left -= len(whole) - tail
+        for d in np.flatnonzero(ends[:tail] > self.read[:tail]):
+            at = index.order[d, self.read[d]:ends[d]]
+            self.partial[at] += self.anchor[d] * self.columns[d, at]
+            self.left[at] -= 1
+        self.entries += int((ends - self.read).sum())
         self.read = ends
-        left = (index.norms[:, 1:] < norm).sum(axis=1)  # dimensions of each row not read yet
-        most = index.norms[np.arange(len(left)), left] * self.norms[left]
+        most = index.norms[np.arange(count), self.left] * self.norms[self.left]
         near = np.flatnonzero(self.partial + most + SLACK * (self.highest + 1) >= threshold)
         self.completed += len(near)
-        rest = np.arange(len(index.dims)) < left[near, None]
-        scores = self.partial[near] + (index.rows[near] * rest) @ self.anchor
+        rest = np.arange(len(index.dims)) < self.left[near, None]
+        scores = (self.partial[near] + (index.rows[near] * rest) @ self.anchor).astype(np.int64)
         good = scores >= threshold
         return near[good], scores[good]
 
