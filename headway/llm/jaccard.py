@@ -8,10 +8,12 @@ Two sets of ``n`` and ``m`` tokens that link share a token among the first ``n -
 and ``m - ceil(0.8 m) + 1`` of any order of all tokens. The join asks this under several orders, and
 only what passes all of them is verified:
 
-1. by hash: prefixes cost nothing to find. An item whose prefix meets no other item's links with
-   none and goes; mostly copies and texts made of common passages are left.
+1. by hash, with prefixes longer by a tenth of the set, of which two sets that link share as many
+   tokens more. An item that shares too few of its prefix with the prefixes of all others links
+   with none and goes; mostly copies and texts made of common passages are left.
 2. by frequency among those left, rarest first, which keeps common passages out of prefixes. Items
-   that share a prefix token are of one family; no link leaves a family.
+   that share a prefix token are of one family; no link leaves a family. Frequencies are counted
+   along one sort by token, which splits tokens that many items have.
 3. by two further hashes, asked of the pairs that meet under order 2.
 
 Families stand sorted by set size and are cut into blocks of ``BLOCK`` tokens; a block meets itself
@@ -42,7 +44,9 @@ from headway.llm.links import components
 
 WORDS = 5
 SHARE = (4, 5)        # 0.8 as a fraction
+LONGER = 10           # a prefix by hash is longer by one of so many tokens of its set
 BLOCK = 1 << 19       # tokens of a block (a larger set is a block of its own)
+MOST = (1 << 31) - 1  # frequency of a token that stands at the edge of a task
 AT_ONCE = 1 << 21     # tokens looked up at a time
 ORDERS = ((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9), (0xD1B54A32D192ED03, 0x94D049BB133111EB))
 
@@ -73,6 +77,17 @@ def _prefix_length(n: Column) -> Column:
     return n - F.floor((part * n + (whole - 1)) / whole) + 1
 
 
+def longer_prefix(n):
+    """Tokens of a set of ``n`` among the first of which it shares ``to_share`` with each it links to."""
+    return prefix_length(n) + n // LONGER
+
+
+def to_share(n):
+    """The smaller of two sets that link has 0.8 of ``n`` tokens or more, and its longer prefix rules."""
+    part, whole = SHARE
+    return 1 + (part * n + whole - 1) // whole // LONGER
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
     flat = np.concatenate([np.zeros(0, np.uint64), *arrays]).view(np.int64)
@@ -84,13 +99,62 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(t.as_py()) for t in batch.column("text")]
         item = np.array([xxhash.xxh64_intdigest(f.tobytes(), 7) for f in found], np.uint64)
+        once = np.zeros(len(found), bool)  # copies in one batch need one prefix
+        once[np.unique(item, return_index=True)[1]] = True
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("mark"), pa.array(item.view(np.int64)),
              pa.array([len(f) for f in found], pa.int64()),
-             _lists([f[:prefix_length(len(f))] if len(f) else f for f in found])],
+             _lists([f[:longer_prefix(len(f)) if new and len(f) else 0] for f, new in zip(found, once)])],
             names=["doc_id", "mark", "item", "n", "prefix"])
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (token, item) in order: those whose token several items have, and how many have it.
+
+    The first and the last token of a task may go on in another; in all tasks they count as had by
+    ``MOST``. So a token has one frequency wherever it is read. Repeated rows count once.
+    """
+    def told(token, items, times):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(items, pa.int64()), pa.array(np.broadcast_to(token, items.shape), pa.int64()),
+             pa.array(np.broadcast_to(times, items.shape), pa.int32())], names=["item", "token", "times"])
+
+    open_, held, border, last = None, [], True, None  # the token that stands open and its items
+    for batch in batches:
+        tokens, items = (batch.column(c).to_numpy() for c in ("token", "item"))
+        if not len(tokens):
+            continue
+        new = np.concatenate([[last != (tokens[0], items[0])],
+                              (tokens[1:] != tokens[:-1]) | (items[1:] != items[:-1])])
+        last = tokens[-1], items[-1]
+        tokens, items = tokens[new], items[new]
+        if not len(tokens):
+            continue
+        open_ = tokens[0] if open_ is None else open_
+        starts = np.flatnonzero(np.concatenate([[tokens[0] != open_], tokens[1:] != tokens[:-1]]))
+        if not len(starts):
+            held.append(items)
+            continue
+        held.append(items[:starts[0]])
+        before = np.concatenate(held)
+        if border or len(before) > 1:
+            yield told(open_, before, MOST if border else len(before))
+        sizes = np.diff(starts)
+        times = np.repeat(sizes, sizes)
+        inner, shared = slice(starts[0], starts[-1]), times > 1
+        yield told(tokens[inner][shared], items[inner][shared], times[shared])
+        open_, held, border = tokens[starts[-1]], [items[starts[-1]:]], False
+    if open_ is not None:
+        yield told(open_, np.concatenate(held), MOST)
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """``item, token, times`` of the rows (token, item) whose token another item has; ranges of token and
+    item split a token that many have."""
+    return (rows.select("token", "item").repartitionByRange("token", "item")
+            .sortWithinPartitions("token", "item").mapInArrow(_counted, "item long, token long, times int"))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
@@ -199,10 +263,9 @@ def _cell(pdf: pd.DataFrame) -> pd.DataFrame:
 def rare_prefixes(sets: DataFrame) -> DataFrame:
     """``item, n, prefix`` of the items that have, among the first tokens in order of frequency, some
     that another item has too; ``prefix`` holds those."""
-    each = sets.select("item", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
-    often = each.groupBy("token").count().where("count > 1")
-    held = (each.join(often, "token").groupBy("item", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("held")))
+    held = (_shared(sets.select(F.explode("tokens").alias("token"), "item")).groupBy("item")
+            .agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("held"))
+            .join(sets.select("item", F.size("tokens").cast("long").alias("n")), "item"))
     # Tokens of one item come first in the order; what they leave of the prefix is shared ones.
     room = (_prefix_length(F.col("n")) - (F.col("n") - F.size("held"))).cast("int")
     return held.withColumn("room", room).where("room > 0").select(
@@ -260,7 +323,7 @@ def links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
               for side, fits, first, other in (
                   ("a", whole * F.col("n") >= part * F.col("low_b"), F.lit(True), F.col("a") == F.col("b")),
                   ("b", ~lives & (part * F.col("n") <= whole * F.col("high_a")), F.lit(False), F.lit(True)))]
-    rows = (places[0].union(places[1]).join(sets, "item")
+    rows = (written(places[0].union(places[1]), "jaccard-places").join(sets, "item")
             .join(prefixes.select("item", "prefix"), "item"))
     return rows.groupBy("a", "b").applyInPandas(_cell, "u long, v long")
 
@@ -272,19 +335,17 @@ def resembling(docs: DataFrame, key: str = "doc_id", text: str = "text", block:
                        body.cast("binary").alias("text"), F.xxhash64(body).alias("mark"))
     prints = written(rows.mapInArrow(
         _prints, "doc_id long, mark long, item long, n long, prefix array<long>"), "jaccard-prints")
-    # Order 1: items of which some prefix token is in another item's prefix.
-    posted = written(prints.where("n > 0").select("item", "prefix").dropDuplicates(["item"]),
-                     "jaccard-items").select("item", F.explode("prefix").alias("token"))
-    shared = (posted.groupBy("token").agg(F.min("item").alias("a"), F.max("item").alias("b"))
-              .where("a <> b").select("token"))
-    live = posted.join(shared, "token", "left_semi").select("item").distinct()
-    # One text of each, found by id and hash so that the other copies stay where they lie.
+    # Order 1.
+    met = _shared(prints.select(F.explode("prefix").alias("token"), "item")).groupBy("item").count()
     number = F.coalesce("doc_id", F.lit(-1)).alias("number")
-    chosen = (prints.groupBy("item").agg(F.min(F.struct(number, "mark")).alias("one"))
-              .join(live, "item", "left_semi").select("item", "one.number", "one.mark"))
-    sets = written(rows.select(number, "mark", "text").join(chosen, ["number", "mark"])
-                   .select("item", "text").mapInArrow(_sets, "item long, tokens array<long>")
-                   .dropDuplicates(["item"]), "jaccard-sets")
+    enough = F.col("count") >= 1 + F.floor(F.floor((SHARE[0] * F.col("n") + SHARE[1] - 1) / SHARE[1]) / LONGER)
+    # One text of each that is left, found by id and hash; the join leaves repeated rows side by side.
+    chosen = (prints.groupBy("item").agg(F.min("n").alias("n"), F.min(F.struct(number, "mark")).alias("one"))
+              .join(met, "item").where(enough).select("item", "one.number", "one.mark"))
+    texts = rows.select(number, "mark", "text").join(chosen.hint("merge"), ["number", "mark"])
+    copy = F.row_number().over(W.partitionBy("number", "mark").orderBy("number"))
+    sets = written(texts.withColumn("copy", copy).where("copy = 1").select("item", "text")
+                   .mapInArrow(_sets, "item long, tokens array<long>"), "jaccard-sets")
     roots = components(links(sets, block), "jaccard-links")
     least = prints.where("n > 0").groupBy("item").agg(F.min("doc_id").alias("least"))
     tied = roots.select(F.col("u").alias("item"), "v").union(

@@ -10,6 +10,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,36 @@ def test_every_order_alone_keeps_all_links():
     assert [jaccard.prefix_length(n) for n in (1, 4, 5, 6, 10)] == [1, 1, 2, 2, 3]
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_longer_prefixes_share_what_they_must(seed):
+    draw = random.Random(seed)
+    for _ in range(300):
+        common = draw.sample(range(10 ** 6), draw.randint(1, 120))
+        only = draw.randint(0, len(common) // 4)
+        one = sorted(common + [10 ** 6 + i for i in draw.sample(range(only + 1), draw.randint(0, only))])
+        other = sorted(common + [-1 - i for i in range(draw.randint(0, only))])
+        if 5 * len(common) >= 4 * len({*one, *other}):
+            a, b = (set(x[:jaccard.longer_prefix(len(x))]) for x in (one, other))
+            assert len(a & b) >= jaccard.to_share(len(one)) and len(a & b) >= jaccard.to_share(len(other))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_shared_tokens_are_found_across_batches(size):
+    draw = random.Random(size)
+    rows = sorted((draw.randrange(30), draw.randrange(4)) for _ in range(60))
+    batches = [pa.RecordBatch.from_pydict({"token": [t for t, _ in rows[i:i + size]],
+                                           "item": [x for _, x in rows[i:i + size]]})
+               for i in range(0, len(rows), size)]
+    found = {(r["token"], r["item"]): r["times"] for b in jaccard._counted(iter(batches))
+             for r in b.to_pylist()}
+    have = {}
+    for t, x in rows:
+        have.setdefault(t, set()).add(x)
+    ends = {rows[0][0], rows[-1][0]}
+    assert found == {(t, x): jaccard.MOST if t in ends else len(s) for t, s in have.items()
+                     if t in ends or len(s) > 1 for x in s}
+
+
 # hard negatives
 
 def plain_negatives(vectors: list[tuple], scale: int = 256, every: int = 50) -> list[tuple]:
