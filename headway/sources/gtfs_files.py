@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from headway.schemas import RAW_COLUMNS
 
@@ -37,24 +37,103 @@ def scan_paths(spark: SparkSession, root: str) -> DataFrame:
             .distinct())
 
 
-def _has_quoted_newline(spark: SparkSession, path: str) -> bool:
-    """Whether some record spans lines: its first line then has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE"}
+# A quoted cell from its opening to its closing quote; the opening of one that the line does not
+# close; what a line that begins inside a cell holds of it, with the closing quote.
+WHOLE_CELL = r'(?:^|,)\s*+"[^"]*+(?:""[^"]*+)*+"\s*+(?=,|$)'
+OPENED_CELL = r'(?:^|,)\s*+"'
+REST_OF_CELL = r'^(?:[^"]++|""|"(?!\s*+(?:,|$)))*+"\s*+(?=,|$)'
+
+
+def _opens(line: Column) -> Column:
+    """Whether a line that begins outside a quoted cell ends inside one."""
+    return F.regexp_replace(line, WHOLE_CELL, ",").rlike(OPENED_CELL)
+
+
+def _stays_open(line: Column) -> Column:
+    """Whether a line that begins inside a quoted cell ends inside one."""
+    return ~line.rlike(REST_OF_CELL) | _opens(F.regexp_replace(line, REST_OF_CELL, ""))
+
+
+def _followed(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    """``rows`` with ``before0, after0, before1, after1``: the state (0 outside a quoted cell, 1
+    inside) in front of and behind each row if the first of its group begins in 0, and in 1.
+
+    A row maps the state it begins in to the one it ends in: ``outer`` from outside, ``inner`` from
+    inside. Where both agree the state is known whatever came before; else it is kept or turned.
+    """
+    along = W.partitionBy(*by).orderBy(order)
+    so_far = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("turns", F.sum(((F.col("outer") == 1) & (F.col("inner") == 0)).cast("int")).over(so_far))
+    rows = rows.withColumn("known", F.last(
+        F.when(F.col("outer") == F.col("inner"), F.col("outer") + F.col("turns")), True).over(so_far))
+    for start in (0, 1):
+        rows = rows.withColumn(f"after{start}", F.pmod(F.coalesce("known", F.lit(start)) + F.col("turns"), F.lit(2)))
+    for start in (0, 1):
+        rows = rows.withColumn(f"before{start}", F.lag(f"after{start}", 1, start).over(along))
+    return rows.drop("turns", "known", "outer", "inner")
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, record``: the records of CSV files without their headers, also those whose quoted cells
+    span lines.
+
+    Files are read once, split by split, as lines, which are moved once by split. Whether a split
+    begins inside a quoted cell follows from what the splits in front make of either state (one
+    row per split, in file order), and so does the number of its first record. Lines of one
+    record meet by its number, wherever splits cut it; all other lines are records as they are.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    quoted = F.contains("value", F.lit('"'))
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),  # rises along a split
+        F.regexp_replace("value", r"\r$", "").alias("value"))
+    lines = lines.select("*", F.when(quoted, _opens(F.col("value"))).otherwise(False).cast("int").alias("outer"),
+                         F.when(quoted, _stays_open(F.col("value"))).otherwise(True).cast("int").alias("inner"))
+    lines = _followed(lines.repartition("file", "split"), ["file", "split"], "line")
+    blank = F.length(F.btrim("value")) == 0
+    along = W.partitionBy("file", "split").orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
+    for start in (0, 1):  # records that begin up to here; blank lines outside of cells are none
+        begins = (F.col(f"before{start}") == 0) & ~blank
+        lines = lines.withColumn(f"begun{start}", F.sum(begins.cast("int")).over(along))
+
+    splits = lines.groupBy("file", "split").agg(
+        F.max_by("after0", "line").alias("outer"), F.max_by("after1", "line").alias("inner"),
+        F.max("begun0").alias("all0"), F.max("begun1").alias("all1"))
+    splits = _followed(splits, ["file"], "split").withColumn(
+        "all", F.when(F.col("before0") == 0, F.col("all0")).otherwise(F.col("all1")))
+    in_front = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.select("file", "split", F.col("before0").alias("state"),
+                           F.coalesce(F.sum("all").over(in_front), F.lit(0)).alias("first"))
+
+    def told(name: str) -> Column:
+        return F.when(F.col("state") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
+
+    placed = lines.join(splits, ["file", "split"]).select(
+        "file", "split", "line", "value", (F.col("first") + told("begun")).alias("number"),
+        told("before").alias("before"), told("after").alias("after"))
+    placed = placed.where((F.col("number") > 1) & ~((F.col("before") == 0) & blank))  # 1 is the header
+    alone = (F.col("before") == 0) & (F.col("after") == 0)
+    parts = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
+    joined = (placed.where(~alone).groupBy("file", "number").agg(parts.alias("parts"))
+              .select("file", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("record")))
+    return placed.where(alone).select("file", F.col("value").alias("record")).union(joined)
 
 
 def _read_source(spark: SparkSession, path: str, columns: list[str],
                  multiline: bool | None) -> DataFrame:
     """One source's file, columns taken by header name; absent columns are NULL."""
-    if multiline is None:
-        # A file without quoted newlines splits into many tasks; one with them cannot.
-        multiline = _has_quoted_newline(spark, path)
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multiline, quote='"',
-                         escape='"', ignoreLeadingWhiteSpace=True, mode="PERMISSIVE")
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=bool(multiline), **CSV)
     named = {}
     for position, field in enumerate(raw.columns):
         named[field.removeprefix("\ufeff").strip()] = position
-    by_position = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
+    cells = [f"c{i}" for i in range(len(raw.columns))]
+    if multiline is None:
+        schema = ", ".join(f"{c} string" for c in cells)
+        by_position = _records(spark, path).select(F.from_csv("record", schema, CSV).alias("r")).select("r.*")
+    else:
+        by_position = raw.toDF(*cells)
     return by_position.select(*[
         (F.col(f"c{named[c]}") if c in named else F.lit(None).cast("string")).alias(c)
         for c in columns])
@@ -73,8 +152,8 @@ def scan_gtfs_file(spark: SparkSession, root: str, name: str, *, sources: list[i
     """One schedule table of all sources, every cell as text, tagged with its source.
 
     A source without this file adds no rows. ``sources`` saves the listing where it is known.
-    ``multiline`` forces or forbids records that span lines; left out, each file is checked
-    first.
+    Records may span lines, and files are still read by split. Where it is known that none does,
+    ``multiline=False`` saves moving the lines; ``True`` reads each file as a whole, in one task.
     """
     columns = RAW_COLUMNS[name]
     if sources is None:
