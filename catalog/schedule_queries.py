@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog.derived import SCHEDULE, Tables
 from catalog.registry import MORNING, NIGHT, SHARED_SQL, query, ts
-from headway.operators import departures as D, search as G, services as V, stops as P
+from headway.operators import cells, departures as D, search as G, services as V, stops as P
+from headway.operators.name_index import index_names, load_name_index, similar_names, write_name_index
 from headway.operators.versions import in_scope
+from headway.session import shared_dir
 
 ALL = [n for n in SCHEDULE]
 
@@ -342,6 +344,31 @@ def _(t: Tables) -> DataFrame:
             .select("stop_id", "source_id", "stop_name", F.round("distance_m", 2).alias("distance_m")))
 
 
+def stored_places(t: Tables) -> DataFrame:
+    path = f"{shared_dir(t.spark, 'places')}/places"
+    cells.write_places(active(t, "stops"), path)
+    return cells.load_places(t.spark, path)
+
+
+@query("G1_places_in_circle", f"""
+SELECT stop_id, source_id, stop_name, round(d, 2) AS distance_m FROM (
+  SELECT *, {distance_sql("-37.6183e0", "144.9671e0", "stop_lat", "stop_lon")} AS d
+  FROM {{stops}} WHERE version_id = 2) AS s WHERE d <= 9000""")
+def _(t: Tables) -> DataFrame:
+    return (cells.places_in_circle(stored_places(t), -37.6183, 144.9671, 9000)
+            .select("stop_id", "source_id", "stop_name", F.round("distance_m", 2).alias("distance_m")))
+
+
+@query("G1_nearest_places", f"""
+SELECT stop_id, source_id, round(d, 2) AS distance_m FROM (
+  SELECT *, {distance_sql("-37.6183e0", "144.9671e0", "stop_lat", "stop_lon")} AS d
+  FROM {{stops}} WHERE version_id = 2 AND source_id = 1) AS s ORDER BY d, stop_id LIMIT 25""")
+def _(t: Tables) -> DataFrame:
+    places = stored_places(t).where("source_id = 1")
+    return (cells.nearest_places(places, -37.6183, 144.9671, 25)
+            .select("stop_id", "source_id", F.round("distance_m", 2).alias("distance_m")))
+
+
 @query("G1_vehicles_near_stops", f"""
 SELECT vehicle_position_id, min_by(stop_id, (round(d, 6), stop_id)) AS nearest_stop_id,
        round(min(d), 2) AS distance_m, count(*) AS stops_near
@@ -388,6 +415,23 @@ def _(t: Tables) -> DataFrame:
             .withColumn("similarity", F.round("similarity", 6)))
 
 
+@query("G3_similar_names", f"""
+WITH n AS (SELECT c_custkey, unnest({trigrams_sql("place_name")}) AS piece FROM {{place_names}}),
+t AS (SELECT text_id, unnest({trigrams_sql("wanted")}) AS piece FROM {{misspelt}}),
+both_sizes AS (
+  SELECT text_id, c_custkey, count(*) AS c FROM t JOIN n USING (piece) GROUP BY ALL)
+SELECT text_id, c_custkey, round(c / (a + b - c), 6) AS similarity FROM both_sizes
+JOIN (SELECT text_id, count(*) AS a FROM t GROUP BY ALL) AS x USING (text_id)
+JOIN (SELECT c_custkey, count(*) AS b FROM n GROUP BY ALL) AS y USING (c_custkey)
+WHERE c / (a + b - c) >= 0.6""")
+def _(t: Tables) -> DataFrame:
+    root = shared_dir(t.spark, "names")
+    write_name_index(index_names(t["place_names"], "place_name"), root)
+    index = load_name_index(t.spark, root)
+    found = similar_names(index, t["misspelt"], "wanted", 0.6)
+    return found.select("text_id", "c_custkey", F.round("similarity", 6).alias("similarity"))
+
+
 @query("G4_search_name_tokens", """
 SELECT route_id, source_id, version_id, route_short_name, route_long_name FROM {routes}
 WHERE list_has_all(regexp_split_to_array(lower(concat_ws(' ', route_short_name, route_long_name)), '[^a-z0-9]+'),
