@@ -9,7 +9,8 @@ any length is many rows, none longer than its part. Offsets count code points wi
 
 Defined results: turns are ordered by number (missing last), then speaker, then text; repeated
 rows are turns of their own; a missing role is the speaker ``unknown``, a missing text is empty;
-``<|`` in a text is written ``< |``, so that no text can forge a mark; system is no participant,
+``<|`` in a text or role is written ``< |`` and line ends in a role are a blank, so that neither can
+forge a mark (roles that become alike by that are one speaker); system is no participant,
 so a dialogue of system turns only gives no rows; a missing conv_id is a dialogue like any other;
 an empty table gives no rows; further columns are ignored.
 """
@@ -29,7 +30,8 @@ def _turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
     """Dialogue, number within it, speaker and body of every turn."""
     rows = turns.select(
         F.col(f"`{conv}`").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"),
-        F.coalesce(F.col(f"`{role}`").cast("string"), F.lit(UNKNOWN)).alias("speaker"),
+        F.regexp_replace(F.replace(F.coalesce(F.col(f"`{role}`").cast("string"), F.lit(UNKNOWN)),
+                                   F.lit("<|"), F.lit("< |")), r"[\r\n]+", " ").alias("speaker"),
         F.replace(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit("<|"),
                   F.lit("< |")).alias("body"))
     order = [F.col("conv_id"), F.col("turn").isNull(), F.col("turn"), F.col("speaker"), F.col("body")]
@@ -86,7 +88,8 @@ def check_sql(part: int = PART) -> str:
     """The same rows in the check engine's SQL."""
     return f"""
 with base as (
-  select conv_id, turn, coalesce(role, '{UNKNOWN}') as speaker,
+  select conv_id, turn, regexp_replace(replace(coalesce(role, '{UNKNOWN}'), '<|', '< |'),
+                                       '[\r\n]+', ' ', 'g') as speaker,
          replace(coalesce(text, ''), '<|', '< |') as body
   from conversations),
 placed as (

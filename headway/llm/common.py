@@ -25,6 +25,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
 
 
+def beside(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of our own: the wanted ones, longer where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 

@@ -264,7 +264,8 @@ def rare_prefixes(sets: DataFrame) -> DataFrame:
     """``item, n, prefix`` of the items that have, among the first tokens in order of frequency, some
     that another item has too; ``prefix`` holds those."""
     held = (_shared(sets.select(F.explode("tokens").alias("token"), "item")).groupBy("item")
-            .agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("held"))
+            .agg(F.collect_list("times").alias("times"), F.collect_list("token").alias("token"))
+            .select("item", F.sort_array(F.arrays_zip("times", "token")).alias("held"))  # in step
             .join(sets.select("item", F.size("tokens").cast("long").alias("n")), "item"))
     # Tokens of one item come first in the order; what they leave of the prefix is shared ones.
     room = (_prefix_length(F.col("n")) - (F.col("n") - F.size("held"))).cast("int")

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from headway.llm.common import table, written
+from headway.llm.common import beside, table, written
 
 SAMPLE = 400          # distinct labelled texts a language that the text model is fitted on, at most
 BLOCK = 64            # languages scored at once
@@ -286,10 +286,11 @@ def document_languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Dat
 
 def identified_documents(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     """``docs`` without those rejected; ``lang`` keeps what it says."""
+    number, mark = beside(docs, "_id", "_mark")
     rejected = (document_languages(spark, sf_dir, docs).where("not kept")
-                .select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("mark").alias("_mark"))
+                .select(F.coalesce("doc_id", F.lit(-1)).alias(number), F.col("mark").alias(mark))
                 .distinct())
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.withColumn("_mark", F.xxhash64(F.col("text").cast("string")))
-            .withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-            .join(rejected, ["_id", "_mark"], "left_anti").select(*own))
+    return (docs.select("*", F.xxhash64(F.col("text").cast("string")).alias(mark),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias(number))
+            .join(rejected, [number, mark], "left_anti").select(*own))

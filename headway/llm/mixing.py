@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from headway.llm.common import ranked, word_count, written
+from headway.llm.common import beside, ranked, word_count, written
 
 BUCKETS = 256
 WEIGHTS = (1, 2, 3)
@@ -94,10 +94,14 @@ def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["source", "kind", "whole", "cut"])
 
 
+OWN = ["_size", "_kind", "_bucket", "_repeats", "_plan_source", "_plan_kind", "_plan_whole", "_plan_cut"]
+
+
 def mix(docs: DataFrame, key: list[str], source: str = "source", text: str = "text",
         max_epochs: int = 3, weights: tuple[int, ...] = WEIGHTS, seed: int = 17,
         budget: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Targets by source, and ``docs`` with ``_size`` and ``_repeats``.
+    """Targets by source, and ``docs`` with ``_size`` and ``_repeats``, its last two columns; where
+    ``docs`` has columns of such names, these get longer ones (see ``beside``).
 
     ``key`` names the columns that, with the size, seed a document's draw. Texts are read where
     they lie; the plan has at most 64 rows a source and is joined by source and size class,
@@ -120,23 +124,25 @@ def mix(docs: DataFrame, key: list[str], source: str = "source", text: str = "te
         .select("c.source", "kind", "bucket", "words", "source_size", "target")
         .groupBy("source").applyInPandas(
             _plan, "source string, kind int, whole int, cut int"), "mix-plan")
-    plan = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
-    kind, bucket = _cells(keys, F.col("_size"), seed)
-    taken = (docs.withColumn("_size", size).withColumn("_kind", kind).withColumn("_bucket", bucket)
-             .join(plan, F.col(f"`{source}`").eqNullSafe(F.col("_plan_source"))
-                   & (F.col("_kind") == F.col("_plan_kind")), "left"))
-    repeats = (F.coalesce(F.col("_plan_whole"), F.lit(0))
-               + (F.col("_bucket") < F.coalesce(F.col("_plan_cut"), F.lit(0))).cast("int"))
-    return targets, taken.withColumn("_repeats", repeats).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_size", "_repeats")
+    own = dict(zip(OWN, beside(docs, *OWN)))
+    plan = plan.select(*[F.col(c).alias(own[f"_plan_{c}"]) for c in plan.columns])
+    kind, bucket = _cells(keys, F.col(own["_size"]), seed)
+    taken = (docs.withColumn(own["_size"], size).withColumn(own["_kind"], kind)
+             .withColumn(own["_bucket"], bucket)
+             .join(plan, F.col(f"`{source}`").eqNullSafe(F.col(own["_plan_source"]))
+                   & (F.col(own["_kind"]) == F.col(own["_plan_kind"])), "left"))
+    repeats = (F.coalesce(F.col(own["_plan_whole"]), F.lit(0))
+               + (F.col(own["_bucket"]) < F.coalesce(F.col(own["_plan_cut"]), F.lit(0))).cast("int"))
+    return targets, taken.withColumn(own["_repeats"], repeats).select(
+        *[F.col(f"`{c}`") for c in docs.columns], own["_size"], own["_repeats"])
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix themselves, each as often as the mix takes it."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     _, taken = mix(docs, **settings)
-    return (taken.where(F.col("_repeats") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
+    repeats, (copy,) = F.col(f"`{taken.columns[-1]}`"), beside(taken, "_copy")
+    return (taken.where(repeats > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), repeats)))
             .select(*columns))
 
 

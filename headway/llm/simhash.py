@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from headway.llm.common import written
+from headway.llm.common import beside, written
 from headway.llm.links import components, local_roots
 
 RADIUS = 2
@@ -239,14 +239,14 @@ def first_of_groups(docs: DataFrame, near: DataFrame, key: str, text: str) -> Da
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
              .select("first.doc_id", "first.mark"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    spot, number, copy = beside(docs, "_hash", "_id", "_copy")
 
-    def keyed(df: DataFrame, number, mark) -> DataFrame:
-        return (df.withColumn("_hash", F.xxhash64(number, mark))
-                .withColumn("_id", F.coalesce(number, F.lit(-1))))
+    def keyed(doc_id, mark) -> list:
+        return [F.xxhash64(doc_id, mark).alias(spot), F.coalesce(doc_id, F.lit(-1)).alias(number)]
 
-    marked = keyed(docs.withColumn("_mark", F.xxhash64(F.col(f"`{text}`").cast("string"))),
-                   F.col(f"`{key}`").cast("long"), F.col("_mark"))
-    first = keyed(first, F.col("doc_id"), F.col("mark")).select("_hash", "_id")
-    same = W.partitionBy("_hash", "_id").orderBy("_hash")  # the join leaves the rows so sorted
-    return (marked.join(first, ["_hash", "_id"], "left_semi")
-            .withColumn("_copy", F.row_number().over(same)).where("_copy = 1").select(*columns))
+    marked = docs.select("*", *keyed(F.col(f"`{key}`").cast("long"),
+                                     F.xxhash64(F.col(f"`{text}`").cast("string"))))
+    first = first.select(*keyed(F.col("doc_id"), F.col("mark")))
+    same = W.partitionBy(spot, number).orderBy(spot)  # the join leaves the rows so sorted
+    return (marked.join(first, [spot, number], "left_semi")
+            .withColumn(copy, F.row_number().over(same)).where(F.col(copy) == 1).select(*columns))
