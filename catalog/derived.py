@@ -287,12 +287,12 @@ SELECT alert_id, CASE WHEN n = 1 THEN 'header_text' ELSE 'description_text' END
 FROM (SELECT *, {twice} AS n FROM {alerts}) AS a""",
 }
 
-# ---- names with a kind, a place and a number, and as many texts that misspell them ------
+# ---- names with a kind and a rare word, and as many texts that misspell them ------
 
 NAMES = {
     "place_names": """
-SELECT c_custkey, p_name || ' ' || n_name || ' ' || CAST(c_custkey AS STRING) AS place_name
-FROM {customer} AS c JOIN {part} AS p ON p_partkey = c_custkey JOIN {nation} AS n ON n_nationkey = c_nationkey""",
+SELECT c_custkey, p_name || ' ' || substr(md5(c_name), 1, 12) AS place_name
+FROM {customer} AS c JOIN {part} AS p ON p_partkey = c_custkey""",
     "misspelt": """
 SELECT c_custkey AS text_id, CASE WHEN c_custkey % 3 = 0 THEN replace(place_name, 'i', 'y')
     WHEN c_custkey % 3 = 1 THEN upper(substr(place_name, 1, 3) || substr(place_name, 5))

@@ -30,6 +30,8 @@ def build_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("HEADWAY_DRIVER_MEMORY", "12g"),
+        # Here driver and executors share one disk; a cluster names a folder that all of them reach.
+        "spark.checkpoint.dir": extra.pop("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="headway-"),
         **extra,
     }
     for key, value in settings.items():
@@ -42,13 +44,10 @@ def build_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the one every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors share one disk, may go without that setting.
+    The cluster names it in ``spark.checkpoint.dir``, which cannot be set once a session runs;
+    ``build_session`` names one for a local session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="headway-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("start the session with spark.checkpoint.dir, a folder all executors share")
     return f"{root.rstrip('/')}/headway/{purpose}-{uuid.uuid4().hex}"

@@ -55,6 +55,12 @@ def _stays_open(line: Column) -> Column:
     return ~line.rlike(REST_OF_CELL) | _opens(F.regexp_replace(line, REST_OF_CELL, ""))
 
 
+def _spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some cell goes on in a further line; the scan stops at the first that does."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return not lines.where(F.contains("value", F.lit('"')) & _opens(F.col("value"))).isEmpty()
+
+
 def _followed(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     """``rows`` with ``before0, after0, before1, after1``: the state (0 outside a quoted cell, 1
     inside) in front of and behind each row if the first of its group begins in 0, and in 1.
@@ -129,7 +135,7 @@ def _read_source(spark: SparkSession, path: str, columns: list[str],
     for position, field in enumerate(raw.columns):
         named[field.removeprefix("\ufeff").strip()] = position
     cells = [f"c{i}" for i in range(len(raw.columns))]
-    if multiline is None:
+    if multiline is None and _spans_lines(spark, path):
         schema = ", ".join(f"{c} string" for c in cells)
         by_position = _records(spark, path).select(F.from_csv("record", schema, CSV).alias("r")).select("r.*")
     else:
@@ -152,8 +158,9 @@ def scan_gtfs_file(spark: SparkSession, root: str, name: str, *, sources: list[i
     """One schedule table of all sources, every cell as text, tagged with its source.
 
     A source without this file adds no rows. ``sources`` saves the listing where it is known.
-    Records may span lines, and files are still read by split. Where it is known that none does,
-    ``multiline=False`` saves moving the lines; ``True`` reads each file as a whole, in one task.
+    Records may span lines, and files are still read by split. Whether any does is looked up first,
+    as lines then have to be moved; ``multiline=False`` says that none does, ``True`` reads each
+    file as a whole, in one task.
     """
     columns = RAW_COLUMNS[name]
     if sources is None:

@@ -102,3 +102,23 @@ def test_import_upkeep_retires_old_versions(spark, tmp_path):
     assert sorted(r.version_id for r in sinks.load_versions(spark, root).collect()) == [1, 2]
     held = {r.version_id for r in spark.read.parquet(f"{root}/stop_times").select("version_id").distinct().collect()}
     assert held == {1, 2}
+
+
+def test_a_local_session_names_a_shared_folder(monkeypatch):
+    """Settings of a new session; the one of the tests is left alone."""
+    from pyspark.sql import SparkSession
+
+    from headway import session
+
+    asked = {}
+
+    class Builder:
+        def __getattr__(self, name):
+            return lambda *a: (asked.update([a]) if name == "config" else None) or self
+
+    monkeypatch.setattr(SparkSession, "builder", Builder())
+    monkeypatch.setattr(Builder, "sparkContext", Builder(), raising=False)
+    session.build_session("x")
+    assert asked["spark.checkpoint.dir"].startswith("/")
+    session.build_session("x", **{"spark.checkpoint.dir": "/given"})
+    assert asked["spark.checkpoint.dir"] == "/given"
