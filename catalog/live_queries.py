@@ -10,10 +10,10 @@ from catalog import messages as M
 from catalog.derived import Tables
 from catalog.registry import RETENTION, SHARED_SQL, SQL, iso, query, ts
 from headway.operators import (
-    events as N, live_trips as L, monitoring as O, realtime_rows as R, retention as D)
+    events as N, live_trips as L, monitoring as O, quality as Q, realtime_rows as R, retention as D)
 from headway.plans import upkeep
 from headway.plans.feed_load import load_messages
-from headway.schemas import REALTIME_TABLES
+from headway.schemas import MAX_LENGTH, NOT_NULL, REALTIME_TABLES
 from headway.session import shared_dir
 from headway.sources import feeds, lookups, sinks
 from headway.streaming import jobs
@@ -105,6 +105,18 @@ FROM {entities} WHERE kind = 2 AND e % 2 = 0
 UNION ALL SELECT eid, 'header_text', 'en', 'Works on route ' || (e % 25) FROM {entities} WHERE kind = 2""",
 }
 SHARED_SQL.update({f"flat_{n}": sql for n, sql in FLAT.items()})
+
+# What an ingest job keeps of them: no message of which a trip update names a stop twice.
+REPEATED_STOP = """kind = 1 AND event_id % 29 <> 0 AND event_id % 19 <> 0 AND event_id % 3 = 2 AND event_id % 88 = 0"""
+SHARED_SQL["repeating"] = """
+SELECT DISTINCT regexp_replace(trip_update_id, ':E[0-9]+$', '') AS fk FROM {flat_stop_time_updates}
+GROUP BY trip_update_id, stop_sequence, stop_id HAVING count(*) > 1"""
+PARENT_ID = {"stop_time_updates": "trip_update_id", "alert_active_periods": "alert_id",
+             "alert_informed_entities": "alert_id", "alert_translations": "alert_id"}
+SHARED_SQL.update({
+    f"stored_{n}": f"SELECT * FROM {{flat_{n}}} WHERE " + (
+        f"regexp_replace({PARENT_ID[n]}, ':E[0-9]+$', '')" if n in PARENT_ID else "feed_message_id")
+    + " NOT IN (SELECT fk FROM {repeating})" for n in FLAT})
 STAMPS = {"feed_messages": ["timestamp", "received_at"], "vehicle_positions": ["timestamp"],
           "trip_updates": ["timestamp"]}
 
@@ -382,7 +394,7 @@ def stored_counts(t: Tables, root: str, names: list[str]) -> DataFrame:
     return O.table_row_counts({n: t.spark.read.parquet(f"{root}/{n}") for n in names})
 
 
-WRITTEN_SQL = "\nUNION ALL ".join(sums_sql(n, "flat_") for n in REALTIME_TABLES)
+WRITTEN_SQL = "\nUNION ALL ".join(sums_sql(n, "stored_") for n in REALTIME_TABLES)
 
 
 @query("K2_write_realtime", WRITTEN_SQL)
@@ -566,9 +578,9 @@ ROW_KEYS = {"feed_messages": "feed_message_id", "vehicle_positions": "vehicle_po
 
 
 def flat(sql: str) -> str:
-    """``sql`` over the tables of the nested messages."""
+    """``sql`` over the tables an ingest job makes of the nested messages."""
     for name in REALTIME_TABLES:
-        sql = sql.replace(f"{{{name}}}", f"{{flat_{name}}}")
+        sql = sql.replace(f"{{{name}}}", f"{{stored_{name}}}")
     return sql
 
 
@@ -618,7 +630,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("D8_purge_in_place", "\nUNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS records_deleted, CAST(0 AS BIGINT) AS records_left FROM {{flat_{n}}}"
+    f"SELECT '{n}' AS table_name, count(*) AS records_deleted, CAST(0 AS BIGINT) AS records_left FROM {{stored_{n}}}"
     for n in REALTIME_TABLES))
 def _(t: Tables) -> DataFrame:
     root = stored_halves(t)
@@ -685,17 +697,35 @@ def _(t: Tables) -> DataFrame:
     return stored_counts(t, root, REALTIME_TABLES)
 
 
-JUDGED_SQL = """
+@query("W1_ingested_rows", left_sql({n: f"SELECT * FROM {{{n}}}" for n in REALTIME_TABLES}))
+def _(t: Tables) -> DataFrame:
+    """The keys of all rows the ingest job has written."""
+    return rows_left(t, run_stream(t, jobs.ingest_feeds, lambda: t["versions"]))
+
+
+JUDGED_SQL = f"""
 SELECT CASE WHEN kind_ = 6 AND NOT failed THEN NULL WHEN unknown THEN 'elsewhere'
             ELSE CASE WHEN half = 0 THEN 'tram_' ELSE 'metrotrain_' END || feed_type END AS endpoint,
        CASE WHEN kind_ <> 6 OR failed THEN received_at END AS received_at,
        CASE WHEN failed THEN 'failed fetch' WHEN kind_ = 6 THEN 'unreadable line'
             WHEN unknown THEN 'unknown endpoint' WHEN kind_ = 1 THEN 'no header'
             WHEN kind_ = 4 THEN 'entity without id' WHEN kind_ = 3 THEN 'repeated entity id'
-            WHEN kind_ = 5 AND EXISTS (SELECT 1 FROM {fx_ev} AS e WHERE e.feed_message_id = m AND kind = 0
+            WHEN kind_ = 5 AND EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m AND kind = 0
                 AND event_id % 29 <> 0 AND event_id % 23 <> 0) THEN 'number out of range'
-            WHEN kind_ = 2 THEN 'stamp out of range' END AS reason
-FROM (SELECT *, m // 20 % 7 AS kind_ FROM {fetches}) AS f"""
+            WHEN kind_ = 2 THEN 'stamp out of range'
+            WHEN kind_ = 7 AND EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m AND kind = 0
+                AND event_id % 29 <> 0 AND event_id % 23 <> 0) THEN 'position without coordinates'
+            WHEN kind_ = 10 AND kind = 2 AND EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m
+                AND event_id % 29 <> 0) THEN 'translation without text'
+            WHEN kind_ = 9 AND EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m AND kind = 1
+                AND event_id % 29 <> 0 AND event_id % 19 <> 0 AND event_id % 3 <> 0) THEN 'repeated stop'
+            WHEN EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m AND {REPEATED_STOP}) THEN 'repeated stop'
+            WHEN kind_ = 8 AND EXISTS (SELECT 1 FROM {{fx_ev}} AS e WHERE e.feed_message_id = m
+                AND CASE kind WHEN 0 THEN event_id % 29 <> 0 AND event_id % 23 <> 0
+                    WHEN 1 THEN event_id % 29 <> 0 AND event_id % 19 <> 0 ELSE true END) THEN 'text too long'
+            WHEN copy = 1 THEN 'repeated message' END AS reason
+FROM (SELECT *, m // 20 % 13 AS kind_ FROM {{fetches}}) AS f, (VALUES (0), (1)) AS c (copy)
+WHERE copy = 0 OR (kind_ = 11 AND NOT failed)"""
 
 
 @query("S4_rejected_messages", f"""
@@ -715,6 +745,62 @@ def _(t: Tables) -> DataFrame:
     return refused.unionByName(taken)
 
 
+@query("S4_replayed_files", f"""
+SELECT 'feed_messages' AS table_name, feed_message_id AS row_key FROM {{stored_feed_messages}}
+UNION ALL SELECT 'refused', feed_message_id || ' stored message' FROM {{stored_feed_messages}}""")
+def _(t: Tables) -> DataFrame:
+    """A file that arrives again under a new name: the rows stay as they were, its messages are listed."""
+    root = shared_dir(t.spark, "replayed")
+    messages = stored_messages(t)
+    for number in range(2):
+        load_messages(messages, endpoints(t), t["versions"], root, number)
+    held = t.spark.read.parquet(f"{root}/feed_messages").select(
+        F.lit("feed_messages").alias("table_name"), F.col("feed_message_id").alias("row_key"))
+    refused = (t.spark.read.parquet(f"{root}/rejected_messages").where("reason = 'stored message'")
+               .join(endpoints(t), "endpoint")
+               .select(F.lit("refused").alias("table_name"), F.concat_ws(
+                   " ", feeds.feed_key(F.col("source_id"), F.col("feed_type"), F.col("received_at")),
+                   "reason").alias("row_key")))
+    return held.unionByName(refused)
+
+
+def spoilt_columns(name: str) -> list[str]:
+    """Select list, for both engines, that breaks every rule of a realtime table in some rows."""
+    known = "alert_id" if name.startswith("alert") else (
+        "trip_update_id" if name in ("trip_updates", "stop_time_updates") else "feed_message_id")
+    texts, filled = MAX_LENGTH.get(name, {}), NOT_NULL[name]
+    return [f"CASE WHEN length({known}) % {len(filled) + 1} = {filled.index(c) if c in filled else -1} THEN NULL "
+            f"ELSE {f'CASE WHEN length({known}) % 2 = 0 THEN repeat({c}, 60) ELSE {c} END' if c in texts else c} "
+            f"END AS {c}" for c in dict.fromkeys([*filled, *texts])]
+
+
+@query("Q4_not_null_and_length_live", "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{rule}' AS rule, count(*) AS violations "
+    f"FROM (SELECT {', '.join(spoilt_columns(n))} FROM {{flat_{n}}}) AS x WHERE {broken}"
+    for n in REALTIME_TABLES for rule, broken in [
+        *[(f"{c} is null", f"{c} IS NULL") for c in NOT_NULL[n]],
+        *[(f"{c} longer than {k}", f"length({c}) > {k}") for c, k in MAX_LENGTH.get(n, {}).items()]]))
+def _(t: Tables) -> DataFrame:
+    rows = tagged(t)
+    return Q.not_null_and_length({n: R.REALTIME_ROWS[n](rows).selectExpr(*spoilt_columns(n))
+                                  for n in REALTIME_TABLES})
+
+
+@query("Q2_fk_orphans_sources", f"""
+SELECT 'feed_messages' AS child, 'source_id' AS column_name, 'transport_sources' AS parent,
+       count(*) AS orphan_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows
+FROM (SELECT source_id, count(*) AS n FROM {{flat_feed_messages}} WHERE source_id <> 3 GROUP BY 1) AS x
+UNION ALL
+SELECT 'feed_messages', 'version_id', 'versions', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
+FROM (SELECT version_id, count(*) AS n FROM {{flat_feed_messages}} GROUP BY 1
+      HAVING version_id NOT IN (SELECT version_id FROM {{versions}} WHERE NOT is_active)) AS x""")
+def _(t: Tables) -> DataFrame:
+    """Messages of a source and of a version that the lookups lack."""
+    return Q.fk_orphans({"feed_messages": R.feed_messages(tagged(t)),
+                         "transport_sources": lookups.transport_sources(t.spark).where("source_id = 3"),
+                         "versions": t["versions"].where("not is_active")})
+
+
 EVENT_KINDS = ["N1_stop_departures", "N2_vehicle_positions", "N3_vehicle_at_stop", "N4_service_alerts_update",
                "N5_service_alerts_route", "N6_service_alerts_stop", "N7_feed_messages", "N8_trip_updates"]
 

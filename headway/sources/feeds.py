@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headway.functions.clocks import posix_to_timestamp
 from headway.operators.versions import active_version_id
-from headway.schemas import ANGLE, COORD, FEED_MESSAGE, FEED_TYPES
+from headway.schemas import ANGLE, COORD, FEED_MESSAGE, FEED_TYPES, MAX_LENGTH
 from headway.sources.feed_json import accepted, misread, settled
 from headway.sources.lookups import inline_rows
 
@@ -134,15 +134,74 @@ def _not_a_stamp(value: Column) -> Column:
     return value.isNotNull() & posix_to_timestamp(value).isNull()
 
 
+def _too_long(table: str, texts: dict[str, Column]) -> Column:
+    """Whether one of ``texts``, by column, is longer than the table declares."""
+    return _any(*[F.length(text) > MAX_LENGTH[table][column] for column, text in texts.items()])
+
+
+def _any(*tests: Column) -> Column:
+    """Whether one of the tests holds; one that is NULL does not."""
+    held = F.lit(False)
+    for test in tests:
+        held = held | F.coalesce(test, F.lit(False))
+    return held
+
+
+def _in_vehicle(e: Column) -> tuple[Column, Column]:
+    """Whether the entity gives a row of vehicle_positions, and whether its texts are too long."""
+    v = e["vehicle"]
+    return v.isNotNull() & v["position"].isNotNull(), _too_long("vehicle_positions", {
+        "entity_id": e["id"], "trip_id": v["trip"]["trip_id"], "route_id": v["trip"]["route_id"],
+        "vehicle_id": v["vehicle"]["id"], "vehicle_label": v["vehicle"]["label"],
+        "license_plate": v["vehicle"]["license_plate"], "stop_id": v["stop_id"]})
+
+
+def _in_trip_update(e: Column) -> tuple[Column, Column]:
+    u = e["trip_update"]
+    stop_ids = F.exists(u["stop_time_update"],
+                        lambda s: _too_long("stop_time_updates", {"stop_id": s["stop_id"]}))
+    return u["trip"]["trip_id"].isNotNull(), _any(stop_ids, _too_long("trip_updates", {
+        "entity_id": e["id"], "trip_id": u["trip"]["trip_id"], "route_id": u["trip"]["route_id"],
+        "vehicle_id": u["vehicle"]["id"], "vehicle_label": u["vehicle"]["label"]}))
+
+
+TEXT_FIELDS = ["url", "header_text", "description_text"]
+
+
+def _in_alert(e: Column) -> tuple[Column, Column]:
+    a = e["alert"]
+    named = F.exists(a["informed_entity"], lambda i: _too_long("alert_informed_entities", {
+        "agency_id": i["agency_id"], "route_id": i["route_id"], "trip_id": i["trip"]["trip_id"],
+        "trip_route_id": i["trip"]["route_id"], "stop_id": i["stop_id"]}))
+    texts = [F.exists(a[f]["translation"], lambda t: _too_long(
+        "alert_translations", {"language": t["language"]})) for f in TEXT_FIELDS]
+    return a.isNotNull(), _any(named, *texts, _too_long("alerts", {"entity_id": e["id"]}))
+
+
+def _repeats_a_stop(e: Column) -> Column:
+    """Whether two stops of a trip update would share a key, defaults filled in."""
+    keys = F.transform(e["trip_update"]["stop_time_update"], lambda s: F.struct(
+        F.coalesce(s["stop_sequence"], F.lit(-1)), F.coalesce(s["stop_id"], F.lit(""))))
+    return F.size(F.array_distinct(keys)) < F.size(keys)
+
+
+def _lacks_a_text(e: Column) -> Column:
+    return _any(*[F.exists(e["alert"][f]["translation"], lambda t: t["text"].isNull())
+                  for f in TEXT_FIELDS])
+
+
 def judge_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame) -> DataFrame:
     """All ``messages``, tagged, with ``refusal``: why a message is not taken, NULL where it is.
 
     A message is taken whole or not at all: refused are lines that cannot be read, failed
     fetches, unknown endpoints and feed types, messages without header or time of receipt,
     entities without an id or with one that their message repeats, numbers and stamps outside
-    their columns' range. One bad message holds up no other.
+    their columns' range, and rows of its feed type that their table would not take: positions
+    without coordinates, translations without a text, two stops of an update under one key,
+    texts longer than declared. One bad message holds up no other. ``refuse_repeats`` looks
+    for messages under one key.
     """
-    m = F.col("message")
+    m, kind = F.col("message"), F.col("feed_type")
     ids = F.transform(m["entity"], lambda e: e["id"])
 
     def any_entity(test) -> Column:
@@ -156,6 +215,19 @@ def judge_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFram
     def bad_stamp(e: Column) -> Column:
         return _not_a_stamp(e["vehicle"]["timestamp"]) | _not_a_stamp(e["trip_update"]["timestamp"])
 
+    def any_row(feed_type: str, rows, test) -> Column:
+        """Whether a row the message gives a table of ``feed_type`` fails ``test``."""
+        return (kind == feed_type) & any_entity(lambda e: rows(e)[0] & test(e))
+
+    def no_place(e: Column) -> Column:
+        at = e["vehicle"]["position"]
+        return at["latitude"].isNull() | at["longitude"].isNull()
+
+    feeds = {"vehicle_positions": _in_vehicle, "trip_updates": _in_trip_update,
+             "service_alerts": _in_alert}
+    long = [any_row(name, rows, lambda e, rows=rows: rows(e)[1]) for name, rows in feeds.items()]
+    version = {"gtfs_realtime_version": m["header"]["gtfs_realtime_version"]}
+
     refusal = F.coalesce(
         *_no_message("_raw" in messages.columns),
         F.when(F.col("source_id").isNull(), F.lit("unknown endpoint")),
@@ -166,10 +238,42 @@ def judge_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFram
         F.when(F.size(F.array_distinct(ids)) < F.size(ids), F.lit("repeated entity id")),
         F.when(any_entity(overflow), F.lit("number out of range")),
         F.when(_not_a_stamp(m["header"]["timestamp"]) | any_entity(bad_stamp),
-               F.lit("stamp out of range")))
+               F.lit("stamp out of range")),
+        F.when(any_row("vehicle_positions", _in_vehicle, no_place),
+               F.lit("position without coordinates")),
+        F.when(any_row("service_alerts", _in_alert, _lacks_a_text), F.lit("translation without text")),
+        F.when(any_row("trip_updates", _in_trip_update, _repeats_a_stop), F.lit("repeated stop")),
+        F.when(_any(*long, _too_long("feed_messages", version)), F.lit("text too long")))
     return _stamped(messages, endpoints, versions, "left").withColumn("refusal", refusal)
 
 
+def refuse_repeats(judged: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """``judged`` with a refusal for messages whose key (time of receipt, source, feed type) is
+    taken: by a row of ``stored`` (feed_message_id), or by another message of the batch, of which
+    the one with the smallest hash stays, whatever order they came in.
+
+    Keys are looked up without the messages, in a job of their own: a batch that holds no such
+    key, as most do, comes back as it is, and no message moves. ``judged`` should be persisted.
+    """
+    key, free = "feed_message_id", F.col("refusal").isNull()
+    if stored is not None:
+        held = judged.where(free).select(key).join(stored, key, "left_semi").distinct()
+        if not held.isEmpty():
+            judged = (judged.join(held.withColumn("_held", F.lit(True)), key, "left")
+                      .withColumn("refusal", F.when(free & F.col("_held"), F.lit("stored message"))
+                                  .otherwise(F.col("refusal"))).drop("_held"))
+    twice = (judged.where(free).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+             .where("_n > 1").select(key))
+    if twice.isEmpty():
+        return judged
+    place = F.row_number().over(Window.partitionBy(key).orderBy(
+        F.xxhash64(F.to_json("message"), "endpoint")))
+    placed = judged.where(free).join(twice, key, "left_semi").withColumn(
+        "refusal", F.when(place > 1, F.lit("repeated message")))
+    rest = judged.where(free).join(twice, key, "left_anti")
+    return rest.unionByName(placed).unionByName(judged.where(~free))
+
+
 def refused_messages(judged: DataFrame) -> DataFrame:
     """The refused ones with their reason and text, as the ingest job keeps them."""
     text = F.to_json("message")

@@ -112,6 +112,12 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
         write("feed_messages")
 
 
+def stored_folder(spark: SparkSession, folder: str) -> bool:
+    """Whether there is such a folder, on whatever file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete stored folders on whatever file system they are; one that is gone is no error."""
     for folder in folders:

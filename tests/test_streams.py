@@ -216,3 +216,57 @@ def test_recent_lookups_read_recent_batches_only(spark, arrivals, endpoints, ver
     assert rows(recent, *recent.columns) == rows(get_trip_realtime_data(batch, ["T1"], now), *recent.columns)
     assert recent.count() == 1
     assert "dynamicpruning" in physical(recent)
+
+
+def test_rows_no_table_would_take_refuse_their_message(spark, endpoints, versions, tmp_path):
+    bare = {"id": "V9", "vehicle": {"position": {"longitude": 144.9}}}
+    long_id = vehicle("V1", "v" * 101, -37.8, 1705277000)
+    speechless = {"id": "A1", "alert": {"header_text": {"translation": [{"language": "en"}]}}}
+    lines = [message("tram_vehicle_positions", 0, [vehicle("V1", "v" * 100, -37.8, 1705277000)]),
+             message("tram_vehicle_positions", 1, [vehicle("V0", "x", -37.8, 1705277000), bare]),
+             message("tram_vehicle_positions", 2, [long_id]),
+             message("tram_service_alerts", 3, [speechless]),
+             # The columns of another feed type are not written, so they are not judged.
+             message("tram_service_alerts", 4, [bare, long_id]),
+             message("tram_trip_updates", 5, [trip_update("E1", "T1", [(1, "S1"), (1, "S1")])]),
+             message("tram_trip_updates", 6, [trip_update("E1", "T1", [(None, "S1"), (-1, "S1")])]),
+             message("tram_trip_updates", 7, [trip_update("E1", "T1", [(1, "S1"), (1, "S2"), (2, "S1")])])]
+    (tmp_path / "in.json").write_text("\n".join(json.dumps(x) for x in lines))
+    judged = feeds.judge_messages(feeds.scan_feed_messages(spark, str(tmp_path / "in.json")), endpoints, versions)
+    assert {r.received_at.minute: r.refusal for r in judged.collect()} == {
+        0: None, 1: "position without coordinates", 2: "text too long", 3: "translation without text", 4: None,
+        5: "repeated stop", 6: "repeated stop", 7: None}
+
+
+def test_messages_under_one_key(spark, endpoints, versions, tmp_path):
+    """One of several messages of an endpoint and moment is taken, the same in any order; a replay
+    is refused whole, a batch that is run again is not; other moments are told apart."""
+    from headway.plans.feed_load import load_messages
+    twins = [message("tram_trip_updates", 0, [trip_update(f"E{i}", f"T{i}", [(1, "S1")])]) for i in range(4)]
+    lines = [*twins, twins[0], message("metrotrain_trip_updates", 0, []), message("tram_trip_updates", 1, [])]
+    taken = set()
+    for name, order in (("one", lines), ("two", lines[::-1])):
+        (tmp_path / f"{name}.json").write_text("\n".join(json.dumps(x) for x in order))
+        read = feeds.scan_feed_messages(spark, str(tmp_path / f"{name}.json")).repartition(4)
+        root = str(tmp_path / f"out-{name}")
+        for batch_id in (0, 1, 0) if name == "one" else (0,):
+            load_messages(read, endpoints, versions, root, batch_id)
+            kept = spark.read.parquet(f"{root}/feed_messages")
+            assert kept.count() == kept.select("feed_message_id").distinct().count() == 3
+        taken.add(tuple(r.trip_id for r in spark.read.parquet(f"{root}/trip_updates").collect()))
+        reasons = spark.read.parquet(f"{root}/rejected_messages").groupBy("batch_id", "reason").count()
+        # The replay finds all messages stored, the twins too.
+        replay = {(1, "stored message"): 7} if name == "one" else {}
+        assert {(r.batch_id, r.reason): r["count"] for r in reasons.collect()} == {
+            (0, "repeated message"): 4} | replay
+    assert len(taken) == 1 and len(taken.pop()) == 1
+
+
+def test_a_batch_without_messages_to_take(spark, endpoints, versions, tmp_path):
+    from headway.plans.feed_load import load_messages
+    path = tmp_path / "in.json"
+    path.write_text(json.dumps(message("mystery_feed", 0, [])))
+    for batch_id in (0, 1):
+        load_messages(feeds.scan_feed_messages(spark, str(path)), endpoints, versions, str(tmp_path / "out"), batch_id)
+    assert spark.read.parquet(str(tmp_path / "out/feed_messages")).count() == 0
+    assert spark.read.parquet(str(tmp_path / "out/rejected_messages")).count() == 2
