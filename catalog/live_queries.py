@@ -833,6 +833,40 @@ def _(t: Tables) -> DataFrame:
     return jobs.latest_per_key(t.spark, root, ["source_id", "vehicle_id"])
 
 
+def in_batches(t: Tables, job, *args, files: int = 4, between=None) -> tuple[str, str]:
+    """Run a job over the stored messages in ``files`` runs, each over files that arrived since;
+    ``between`` is called with its output folder after each. Output and checkpoint folders."""
+    arrived, root, checkpoint = [shared_dir(t.spark, x) for x in ("arrived", "stream", "progress")]
+    messages = M.feed_messages(t).withColumn("part", F.pmod(F.xxhash64("received_at"), F.lit(files)))
+    messages.persist()
+    for part in range(files):
+        (messages.where(F.col("part") == part).drop("part").write.mode("append")
+         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(arrived))
+        source = feeds.stream_feed_messages(t.spark, arrived)
+        job(source, endpoints(t), *args, root, checkpoint).awaitTermination()
+        if between:
+            between(root)
+    messages.unpersist()
+    return root, checkpoint
+
+
+VEHICLE_KEY = ["source_id", "vehicle_id"]
+
+
+@query("W3_latest_folded", SQL["W3_latest_vehicle"])
+def _(t: Tables) -> DataFrame:
+    """Four batches, in no order of time, each folded into the rows of the ones before."""
+    root, _ = in_batches(t, jobs.latest_vehicle, t["versions"],
+                         between=lambda at: jobs.fold_latest(t.spark, at, VEHICLE_KEY))
+    return jobs.latest_per_key(t.spark, root, VEHICLE_KEY)
+
+
+@query("W3_latest_in_state", SQL["W3_latest_vehicle"])
+def _(t: Tables) -> DataFrame:
+    _, checkpoint = in_batches(t, jobs.latest_vehicle, t["versions"], files=2)
+    return jobs.latest_in_state(t.spark, checkpoint)
+
+
 @query("W4_windowed_activity", f"""
 SELECT {ts("w")} AS window_start, {ts("w + INTERVAL 1 HOUR")} AS window_end, source_id, trip_id, count(*) AS updates
 FROM (SELECT u.trip_id, f.source_id, time_bucket(INTERVAL 30 MINUTE, f.received_at) - (n - 1) * INTERVAL 30 MINUTE AS w

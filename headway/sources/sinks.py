@@ -118,6 +118,13 @@ def stored_folder(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def whole_folders(spark: SparkSession, root: str, column: str) -> list[int]:
+    """Numbers of the folders ``column=number`` whose write has ended, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{column}=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete stored folders on whatever file system they are; one that is gone is no error."""
     for folder in folders:

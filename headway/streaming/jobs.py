@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +16,7 @@ from headway.functions.clocks import AsOf, posix_to_timestamp
 from headway.operators.realtime_rows import vehicle_positions
 from headway.plans.feed_load import load_events, load_messages
 from headway.sources.feeds import tag_messages
+from headway.sources.sinks import drop_folders, whole_folders
 
 DRAIN = {"availableNow": True}
 Lookup = Callable[[], DataFrame]
@@ -100,8 +102,64 @@ def distinct_entities(messages: DataFrame, endpoints: DataFrame, versions: DataF
     return _start(once, _replace(root), checkpoint, trigger)
 
 
-def latest_per_key(spark: SparkSession, root: str, key: list[str]) -> DataFrame:
-    """What an update-mode job has written: the last row of each key."""
-    rows = spark.read.parquet(root)
+def _newest(rows: DataFrame, key: list[str]) -> DataFrame:
     facts = F.struct(*[c for c in rows.columns if c not in (*key, "batch_id")])
-    return (rows.groupBy(*key).agg(F.max_by(facts, "batch_id").alias("f")).select(*key, "f.*"))
+    return (rows.groupBy(*key)
+            .agg(F.max_by(facts, "batch_id").alias("f"), F.max("batch_id").alias("batch_id"))
+            .select(*key, "f.*", "batch_id"))
+
+
+def _folded(root: str) -> str:
+    return f"{root.rstrip('/')}_folded"
+
+
+def _log(spark: SparkSession, root: str, key: list[str]) -> tuple[DataFrame, list[int], list[int]]:
+    """Rows of the newest fold and of the whole batches after it; numbers of those batches and of
+    the folds. A fold is one row per key with the batch it was written in."""
+    folds = whole_folders(spark, _folded(root), "upto")
+    since = folds[-1] if folds else -1
+    after = [n for n in whole_folders(spark, root, "batch_id") if n > since]
+    parts = [spark.read.parquet(f"{_folded(root)}/upto={since}")] if folds else []
+    if after:
+        parts.append(spark.read.option("basePath", root).parquet(
+            *[f"{root.rstrip('/')}/batch_id={n}" for n in after])
+            .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        raise ValueError(f"no whole batch in {root}")
+    return reduce(DataFrame.unionByName, parts), after, folds
+
+
+def latest_per_key(spark: SparkSession, root: str, key: list[str]) -> DataFrame:
+    """What an update-mode job has written: the last row of each key. Only the newest fold
+    (``fold_latest``) and the batches after it are read; one that is being written is not."""
+    return _newest(_log(spark, root, key)[0], key).drop("batch_id")
+
+
+def fold_latest(spark: SparkSession, root: str, key: list[str]) -> int:
+    """Fold what an update-mode job has written into one row per key; the number of batches it
+    took in. The job may go on meanwhile.
+
+    The fold lies beside the batches and counts from when it is whole. Batches and folds it stands
+    in for stay until the next fold, for readers that hold them; what a run that broke off has
+    left, before or after its fold was whole, changes no result and goes with the next fold.
+    What is kept is bounded by the keys and the batches of two runs.
+    """
+    rows, after, folds = _log(spark, root, key)
+    if not after:
+        return 0
+    target = f"{_folded(root)}/upto={after[-1]}"
+    _newest(rows, key).hint("rebalance").write.mode("overwrite").parquet(target)
+    before = folds[-1] if folds else -1
+    drop_folders(spark, [f"{_folded(root)}/upto={n}" for n in folds[:-1]] + [
+        f"{root.rstrip('/')}/batch_id={n}"
+        for n in whole_folders(spark, root, "batch_id") if n <= before])
+    return len(after)
+
+
+def latest_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The newest position of each vehicle as a ``latest_vehicle`` job holds it in its state,
+    read from its checkpoint; nothing the job has written is read."""
+    state = spark.read.format("statestore").load(checkpoint)
+    best = next(f.name for f in state.schema["value"].dataType
+                if f.dataType.typeName() == "struct" and "latitude" in f.dataType.names)
+    return state.select("key.*", F.col(f"value.{best}.*"))

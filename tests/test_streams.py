@@ -270,3 +270,38 @@ def test_a_batch_without_messages_to_take(spark, endpoints, versions, tmp_path):
         load_messages(feeds.scan_feed_messages(spark, str(path)), endpoints, versions, str(tmp_path / "out"), batch_id)
     assert spark.read.parquet(str(tmp_path / "out/feed_messages")).count() == 0
     assert spark.read.parquet(str(tmp_path / "out/rejected_messages")).count() == 2
+
+
+def test_folds_of_the_latest_rows(spark, tmp_path):
+    """Rows stay the same whatever a broken-off fold has left; what is kept does not grow."""
+    root, key = str(tmp_path / "log"), ["k"]
+
+    def batch(n, rows):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("overwrite").parquet(
+            f"{root}/batch_id={n}")
+
+    def latest():
+        return {r.k: r.v for r in jobs.latest_per_key(spark, root, key).collect()}
+
+    def folders():
+        return (sinks.whole_folders(spark, root, "batch_id"), sinks.whole_folders(spark, f"{root}_folded", "upto"))
+
+    batch(0, [("a", 1), ("b", 1)])
+    batch(1, [("a", 0)])
+    assert latest() == {"a": 0, "b": 1}
+    assert jobs.fold_latest(spark, root, key) == 2 and folders() == ([0, 1], [1])
+    held = jobs.latest_per_key(spark, root, key)  # a reader from before the next fold
+    assert latest() == {"a": 0, "b": 1} and jobs.fold_latest(spark, root, key) == 0
+    batch(2, [("c", 7)])
+    os.makedirs(f"{root}/batch_id=3")             # being written: no mark
+    os.makedirs(f"{root}_folded/upto=9")          # a fold that broke off
+    assert latest() == {"a": 0, "b": 1, "c": 7}
+    assert jobs.fold_latest(spark, root, key) == 1 and folders() == ([2], [1, 2])
+    assert {r.k: r.v for r in held.collect()} == {"a": 0, "b": 1}
+    batch(1, [("a", 0)])                          # run again after it was folded
+    assert latest() == {"a": 0, "b": 1, "c": 7}
+    batch(3, [("b", 2), (None, 5)])
+    assert jobs.fold_latest(spark, root, key) == 1 and folders() == ([3], [2, 3])
+    assert latest() == {"a": 0, "b": 2, "c": 7, None: 5}
+    assert len(jobs.latest_per_key(spark, root, key).inputFiles()) == len(
+        spark.read.parquet(f"{root}_folded/upto=3").inputFiles())
