@@ -9,7 +9,8 @@ Four kinds of evidence, each a likelihood or prior over the languages:
 - the address's last label, through a table of the same kind;
 - the host: its own counts of languages, smoothed towards its suffix's, and those towards all.
 
-Tables and priors are grouped aggregations over all rows of the text's own verdicts. The classes
+Tables and priors are grouped aggregations over all rows of the text's own verdicts. A document of
+several pages has the evidence of all of them. The classes
 include ``und`` (no known language: every trigram as likely as any other), and documents whose
 best class is ``und``, whose best posterior is under ``least`` or that hold no letters are rejected.
 
@@ -38,6 +39,7 @@ TEXT_WEIGHT = 0.2     # trigrams overlap, so a text counts as a fifth of its tri
 UNKNOWN_PRIOR = 1e-3
 HOST_STRENGTH = 20.0  # rows of its suffix's mix that a host starts with
 SUFFIX_STRENGTH = 50.0
+FINE = float(1 << 32)  # logs are added in steps of one part of this
 MARKUP = r"(?is)<html[^>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]{2,3})"
 
 
@@ -160,21 +162,18 @@ _BLANK = trigram_cells(b"   ")[0]
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """``doc_id, declared, suffix, host``: what the page of a document says about it.
+    """``doc_id, declared, suffix, host``: what the pages of a document say about it, one row for
+    each different statement.
 
-    The document is the number that starts the last part of the page's path; of several pages
-    of a document the one with the smallest id counts.
+    The document is the number that starts the last part of the page's path.
     """
     host = F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))
     number = F.regexp_extract("url", r"://[^/?#]*(?:/[^/?#]*)*?/([0-9]{1,18})[^/?#]*/?(?:[?#]|$)", 1)
     rows = pages.select(
-        "page_id", F.when(number != "", number.cast("long")).alias("doc_id"),
+        F.when(number != "", number.cast("long")).alias("doc_id"),
         _some(F.lower(F.regexp_extract("html", MARKUP, 1))).alias("declared"),
         _some(F.regexp_extract(host, r"\.([^.]+)$", 1)).alias("suffix"), _some(host).alias("host"))
-    rows = rows.where("doc_id is not null")
-    return (rows.groupBy("doc_id").agg(F.min_by(F.struct("declared", "suffix", "host"),
-                                                F.struct("page_id", "host")).alias("page"))
-            .select("doc_id", "page.*"))
+    return rows.where("doc_id is not null").distinct()
 
 
 def _some(value: Column) -> Column:
@@ -234,13 +233,40 @@ def _priors(rows: DataFrame, names: list[str]) -> DataFrame:
                        F.concat(logs, F.array(F.log(F.lit(UNKNOWN_PRIOR)))).alias("prior"))
 
 
+def _told(evidence: DataFrame, tables: list[DataFrame], priors: DataFrame) -> DataFrame:
+    """``doc_id, told, hosted``: what all statements about a document add to the log of each class.
+
+    Factors of its different declarations and suffixes are added; of several hosts the mean of
+    the logs is the prior. Sums are of whole numbers, so they come out alike in any order.
+    """
+    parts = [evidence.select("doc_id", name).distinct().join(by, name)
+             .select("doc_id", F.lit(False).alias("of_host"), F.col(f"by_{name}").alias("logs"))
+             for name, by in zip(("declared", "suffix"), tables)]
+    hosts = evidence.where("host is not null").select("doc_id", "host", "suffix").distinct()
+    hosts = hosts.join(priors, (hosts["host"] == priors["_host"])
+                       & hosts["suffix"].eqNullSafe(priors["_suffix"]))
+    parts.append(hosts.select("doc_id", F.lit(True).alias("of_host"), F.col("prior").alias("logs")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        "doc_id", "of_host", F.posexplode("logs").alias("at", "log"))
+    fine = F.round(F.col("log") * FINE).cast("long")
+    factors = F.coalesce(F.sum(F.when(~F.col("of_host"), fine)), F.lit(0))
+    prior = F.sum(F.when(F.col("of_host"), fine)) / F.count_if("of_host")
+    sums = rows.groupBy("doc_id", "at").agg(
+        ((factors + F.coalesce(prior, F.lit(0.0))) / FINE).alias("log"),
+        F.bool_or("of_host").alias("hosted"))
+    return sums.groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "log"))), lambda x: x["log"])
+        .alias("told"), F.bool_or("hosted").alias("hosted"))
+
+
 def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: str = "text",
              label: str = "lang", fallback_host: str = "source", least: float = 0.35
              ) -> DataFrame:
     """``doc_id, mark, language, posterior, text_language, kept`` for every document.
 
-    ``evidence`` (doc_id, declared, suffix, host) has at most one row per document; documents
-    without one are taken as hosted by ``fallback_host``. Texts are read where they lie.
+    ``evidence`` (doc_id, declared, suffix, host) has any number of rows per document, each
+    different one counts once; documents without a host are taken as hosted by
+    ``fallback_host``. Texts are read where they lie.
     """
     names, fitted = fit(docs, text, label)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
@@ -254,20 +280,22 @@ def identify(docs: DataFrame, evidence: DataFrame, key: str = "doc_id", text: st
                              F.lit(0.0).alias("posterior"), nothing.alias("text_language"),
                              F.lit(False).alias("kept"))
     classes = [*names, UNKNOWN]
-    rows = (scored.join(evidence, "doc_id", "left")
-            .withColumn("host", F.coalesce("host", "place"))
-            .withColumn("guess", _best(F.col("scores"), classes)))
-    rows = written(rows, "langid-rows")
-    told = rows
-    for column in ("declared", "suffix"):
-        told = told.join(_table(rows, column, names), column, "left")
+    scored = scored.withColumn("guess", _best(F.col("scores"), classes))
+    evidence = written(evidence.select("doc_id", "declared", "suffix", "host").distinct(),
+                       "langid-evidence")
+    rows = written(scored.select("doc_id", "place", "guess").join(evidence, "doc_id", "left")
+                   .select("declared", "suffix", F.coalesce("host", "place").alias("host"), "guess"),
+                   "langid-rows")
     priors = _priors(rows, names).withColumnRenamed("host", "_host").withColumnRenamed(
         "suffix", "_suffix")
-    told = told.join(priors, F.col("host").eqNullSafe(F.col("_host"))
-                     & F.col("suffix").eqNullSafe(F.col("_suffix")))
+    by_document = _told(evidence, [_table(rows, c, names) for c in ("declared", "suffix")], priors)
+    at_place = priors.where("_suffix is null").select("_host", "prior")
+    told = (scored.join(by_document, "doc_id", "left")
+            .join(at_place, F.col("place").eqNullSafe(F.col("_host")), "left"))
     none = F.array_repeat(F.lit(0.0), len(classes))
-    fused = F.col("prior")
-    for part in (F.col("scores"), F.coalesce("by_declared", none), F.coalesce("by_suffix", none)):
+    fused = F.col("scores")
+    for part in (F.coalesce("told", none),
+                 F.when(F.coalesce("hosted", F.lit(False)), none).otherwise(F.coalesce("prior", none))):
         fused = F.zip_with(fused, part, lambda a, b: a + b)
     judged = told.withColumn("fused", F.when(F.size("scores") > 0, fused))
     top = F.array_max("fused")
