@@ -11,7 +11,7 @@ from catalog.derived import Tables
 from catalog.registry import RETENTION, SHARED_SQL, SQL, iso, query, ts
 from headway.operators import (
     events as N, live_trips as L, monitoring as O, quality as Q, realtime_rows as R, retention as D)
-from headway.plans import upkeep
+from headway.plans import folding, upkeep
 from headway.plans.feed_load import load_messages
 from headway.schemas import MAX_LENGTH, NOT_NULL, REALTIME_TABLES
 from headway.session import shared_dir
@@ -612,6 +612,62 @@ def _(t: Tables) -> DataFrame:
     return rows_left(t, root)
 
 
+def folded_quarters(t: Tables) -> str:
+    """The messages in six batches, folded by day; the newest is left alone."""
+    root = shared_dir(t.spark, "folded")
+    messages = M.feed_messages(t).where("error is null and message is not null")
+    for number, part in enumerate(QUARTERS):
+        load_messages(messages.where(part), endpoints(t), t["versions"], root, number)
+    folding.fold_days(t.spark, root, RETENTION)
+    return root
+
+
+def rows_read(t: Tables, root: str) -> DataFrame:
+    live = sinks.read_batches(t.spark, root, REALTIME_TABLES)
+    return reduce(DataFrame.unionByName, [
+        live[n].select(F.lit(n).alias("table_name"), F.expr(key).alias("row_key"))
+        for n, key in ROW_KEYS.items()])
+
+
+# Batches by arrival: days before the fifteenth, four quarters of that day, and all later ones.
+DAY_START, DAY_END = (f"received_at < TIMESTAMP '2024-01-{day} 00:00:00'" for day in (15, 16))
+QUARTERS = [DAY_START]
+QUARTERS += [f"NOT ({DAY_START}) AND {DAY_END} AND extract(hour FROM received_at) BETWEEN {6 * i} AND {6 * i + 5}"
+             for i in range(4)]
+QUARTERS.append(f"NOT ({DAY_END})")
+
+
+@query("K2_fold_days", left_sql({n: f"SELECT * FROM {{{n}}}" for n in REALTIME_TABLES}))
+def _(t: Tables) -> DataFrame:
+    return rows_read(t, folded_quarters(t))
+
+
+# Earlier days are one batch and the fifteenth another; each goes once its newest stamp is before the limit.
+DAY_LIMIT = "2024-01-16 12:00:00"
+STAYS = (f"(SELECT coalesce(max(timestamp) >= TIMESTAMP '{DAY_LIMIT}', true) OR bool_or(timestamp IS NULL) "
+         "FROM {feed_messages} WHERE ")
+LATER = (f"(SELECT feed_message_id FROM {{feed_messages}} WHERE NOT ({DAY_END}) OR ({DAY_START} AND {STAYS}{DAY_START})) "
+         f"OR (NOT ({DAY_START}) AND {DAY_END} AND {STAYS}NOT ({DAY_START}) AND {DAY_END})))")
+
+
+def of_messages(kept: str) -> dict[str, str]:
+    """SQL of the realtime tables once only the messages ``kept`` are left."""
+    rows = {n: f"SELECT * FROM {{{n}}} WHERE feed_message_id IN {kept}" for n in ("feed_messages", *MAIN)}
+    for name in REALTIME_TABLES:
+        if name not in rows:
+            key, parent = (("trip_update_id", "trip_updates") if name == "stop_time_updates"
+                           else ("alert_id", "alerts"))
+            rows[name] = f"SELECT * FROM {{{name}}} WHERE {key} IN (SELECT {key} FROM ({rows[parent]}) AS p)"
+    return rows
+
+
+@query("D5_drop_days", left_sql(of_messages(LATER)))
+def _(t: Tables) -> DataFrame:
+    root = folded_quarters(t)
+    folding.drop_days(t.spark, root, DAY_LIMIT)
+    return rows_read(t, root)
+
+
 OTHERS = "(SELECT feed_message_id FROM {feed_messages} WHERE source_id <> 2)"
 OTHER_ROWS = {n: f"SELECT * FROM {{{n}}} WHERE feed_message_id IN {OTHERS}" for n in ("feed_messages", *MAIN)}
 for _name in REALTIME_TABLES:

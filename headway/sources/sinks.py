@@ -24,7 +24,7 @@ FOLDERS = ["version_id", "source_id"]
 AT_ONCE = 4
 
 
-def _write_all(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
+def write_side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
     """Run independent writes side by side; the first failure is raised once all have ended."""
     with ThreadPoolExecutor(AT_ONCE) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]
@@ -54,7 +54,7 @@ def write_version(tables: dict[str, DataFrame], root: str) -> None:
         writer.partitionBy(*FOLDERS).parquet(f"{root.rstrip('/')}/{name}")
 
     spark = next(iter(tables.values())).sparkSession
-    _write_all(spark, [partial(write, name) for name in tables])
+    write_side_by_side(spark, [partial(write, name) for name in tables])
 
 
 def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int) -> None:
@@ -107,7 +107,7 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int) -> None:
         tables[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
 
     spark = next(iter(tables.values())).sparkSession
-    _write_all(spark, [partial(write, name) for name in tables if name != "feed_messages"])
+    write_side_by_side(spark, [partial(write, name) for name in tables if name != "feed_messages"])
     if "feed_messages" in tables:
         write("feed_messages")
 
@@ -125,6 +125,13 @@ def whole_folders(spark: SparkSession, root: str, column: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
 
 
+def folder_numbers(spark: SparkSession, root: str, column: str) -> list[int]:
+    """Numbers of all folders ``column=number`` below ``root``, whole or not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{column}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [int(f.getPath().getName().split("=")[1]) for f in found]
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete stored folders on whatever file system they are; one that is gone is no error."""
     for folder in folders:
@@ -132,18 +139,36 @@ def drop_folders(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Books of folded days: live batches with their day and the bounds of their stamps, and those gone.
+BOOKS = "batch_id long, day date, last timestamp, undated long, live boolean"
+
+
+def fold_books(spark: SparkSession, root: str) -> DataFrame:
+    """The newest whole books that ``plans.folding`` keeps of stored batches; empty without any."""
+    folds = whole_folders(spark, f"{root.rstrip('/')}/folds", "fold")
+    if not folds:
+        return spark.createDataFrame([], BOOKS)
+    return spark.read.schema(BOOKS).parquet(f"{root.rstrip('/')}/folds/fold={folds[-1]}")
+
+
 def read_batches(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     """Stored realtime tables, whole batches only.
 
     ``feed_messages``, which a batch writes last, is listed first; rows of batches it does not
-    know belong to a batch that is still being written.
+    know belong to a batch that is still being written. The books of folded days are read
+    before: batches they call gone, and folded ones they do not know yet, are left out.
     """
-    feeds = spark.read.parquet(f"{root.rstrip('/')}/feed_messages")
+    books = fold_books(spark, root).select("batch_id", "live").collect()
+    gone = [r["batch_id"] for r in books if not r["live"]]
+    folded = [r["batch_id"] for r in books if r["live"] and r["batch_id"] < 0]
+    number = F.col("batch_id")
+    seen = ((number >= 0) | number.isin(folded)) & ~number.isin(gone)
+    feeds = spark.read.parquet(f"{root.rstrip('/')}/feed_messages").where(seen)
     whole = feeds.select("batch_id").distinct()
     found = {"feed_messages": feeds}
     for name in names:
         if name not in found:
-            found[name] = (spark.read.parquet(f"{root.rstrip('/')}/{name}")
+            found[name] = (spark.read.parquet(f"{root.rstrip('/')}/{name}").where(seen)
                            .join(whole, "batch_id", "left_semi"))
     return found
 
