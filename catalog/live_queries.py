@@ -612,11 +612,11 @@ def _(t: Tables) -> DataFrame:
     return rows_left(t, root)
 
 
-def folded_quarters(t: Tables) -> str:
-    """The messages in six batches, folded by day; the newest is left alone."""
+def folded_halves(t: Tables) -> str:
+    """The messages in four batches, folded by day; the newest is left alone."""
     root = shared_dir(t.spark, "folded")
     messages = M.feed_messages(t).where("error is null and message is not null")
-    for number, part in enumerate(QUARTERS):
+    for number, part in enumerate(HALVES):
         load_messages(messages.where(part), endpoints(t), t["versions"], root, number)
     folding.fold_days(t.spark, root, RETENTION)
     return root
@@ -629,17 +629,17 @@ def rows_read(t: Tables, root: str) -> DataFrame:
         for n, key in ROW_KEYS.items()])
 
 
-# Batches by arrival: days before the fifteenth, four quarters of that day, and all later ones.
+# Batches by arrival: days before the fifteenth, two halves of that day, and all later ones.
 DAY_START, DAY_END = (f"received_at < TIMESTAMP '2024-01-{day} 00:00:00'" for day in (15, 16))
-QUARTERS = [DAY_START]
-QUARTERS += [f"NOT ({DAY_START}) AND {DAY_END} AND extract(hour FROM received_at) BETWEEN {6 * i} AND {6 * i + 5}"
-             for i in range(4)]
-QUARTERS.append(f"NOT ({DAY_END})")
+HALVES = [DAY_START]
+HALVES += [f"NOT ({DAY_START}) AND {DAY_END} AND extract(hour FROM received_at) BETWEEN {12 * i} AND {12 * i + 11}"
+             for i in range(2)]
+HALVES.append(f"NOT ({DAY_END})")
 
 
 @query("K2_fold_days", left_sql({n: f"SELECT * FROM {{{n}}}" for n in REALTIME_TABLES}))
 def _(t: Tables) -> DataFrame:
-    return rows_read(t, folded_quarters(t))
+    return rows_read(t, folded_halves(t))
 
 
 # Earlier days are one batch and the fifteenth another; each goes once its newest stamp is before the limit.
@@ -663,7 +663,7 @@ def of_messages(kept: str) -> dict[str, str]:
 
 @query("D5_drop_days", left_sql(of_messages(LATER)))
 def _(t: Tables) -> DataFrame:
-    root = folded_quarters(t)
+    root = folded_halves(t)
     folding.drop_days(t.spark, root, DAY_LIMIT)
     return rows_read(t, root)
 
