@@ -64,6 +64,22 @@ def test_few_pairs_are_compared(spark, names, index):
     assert good > 100 and compared < pairs / 50
 
 
+def test_names_of_one_kind_meet_by_hashes_and_few_are_compared(spark):
+    draw = random.Random(5)
+    rows = [(i, f"large ring {draw.getrandbits(48):012x}") for i in range(800)]
+    kin = spark.createDataFrame(rows, "id long, name string")
+    texts = kin.select(F.col("id").alias("text_id"), F.concat("name", F.lit("x")).alias("wanted"))
+    index = name_index.index_names(kin, "name")
+    spelled = name_index._rarest_first(name_index._pieces(texts.select(F.lower("wanted").alias("spelling"))), index.often)
+    pairs = name_index.candidates(index, spelled, 0.6)
+    assert {f.dataType.simpleString() for f in pairs.schema} == {"bigint"}
+    assert 800 <= pairs.count() < 1200
+    found = name_index.similar_names(index, texts, "wanted", 0.6)
+    assert found.where("text_id = id").count() == 800
+    expected = sum(1 for c, n in scored(kin, texts).values() if c / n >= 0.6)
+    assert found.count() == expected
+
+
 def test_a_threshold_of_nothing_is_refused(index, names):
     with pytest.raises(ValueError):
         name_index.similar_names(index, names, "name", 0.0)
