@@ -33,10 +33,16 @@ def feed_messages(tagged: DataFrame) -> DataFrame:
 
 
 def _entities(tagged: DataFrame, feed_type: str) -> DataFrame:
+    """The entities of the messages of one type; a message without any gives a row without one.
+
+    The outer form keeps Spark from testing the list for entities first, which would build all
+    of them once more for the test. Every table asks for a part of the entity, so rows without
+    one go there.
+    """
     return (tagged.where((F.col("feed_type") == feed_type)
                          & F.col("message.header").isNotNull())
             .select("feed_message_id", "received_at", "source_id", "version_id",
-                    _message_time().alias("feed_time"), F.explode("message.entity").alias("e")))
+                    _message_time().alias("feed_time"), F.explode_outer("message.entity").alias("e")))
 
 
 def _trip_start(trip: Column) -> tuple[Column, Column]:

@@ -61,8 +61,10 @@ def misread(value: Column, kind: T.DataType, name: str = "", around: str = "") -
     """Whether ``value``, read as ``accepted(kind)``, holds text where a number or the name of a
     code should be; never NULL."""
     if isinstance(kind, T.StructType):
-        return reduce(Column.__or__, [misread(_member(value, f.name), f.dataType, f.name, name)
-                                      for f in kind if _holds_numbers(f.dataType)])
+        # What is missing is not looked into, so an entity costs only what it holds.
+        return value.isNotNull() & reduce(
+            Column.__or__, [misread(_member(value, f.name), f.dataType, f.name, name)
+                            for f in kind if _holds_numbers(f.dataType)])
     if isinstance(kind, T.ArrayType):
         bad = F.exists(value, lambda e: misread(e, kind.elementType, name, around))
         return F.coalesce(bad, F.lit(False))

@@ -115,6 +115,24 @@ def test_flattened_rows(batch):
     assert rows(batch["alert_active_periods"], "start_time", "end_time") == [(1, 2), (3, None)]
 
 
+def test_entities_are_built_once(spark, arrivals, endpoints, versions, physical):
+    """No filter on the list of entities, for which they would all be built once more."""
+    tagged = feeds.tag_messages(feeds.scan_feed_messages(spark, arrivals), endpoints, versions)
+    for rows in (R.vehicle_positions, R.trip_updates, R.alerts, R.alert_active_periods):
+        plan = physical(rows(tagged)).split("== Physical Plan ==")[1]
+        assert plan.count("transform(message") == 1
+        assert "size(" not in plan.split("Generate explode")[-1]
+
+
+def test_messages_without_entities_give_no_rows(spark, endpoints, versions, tmp_path):
+    head = '{"endpoint": "tram_trip_updates", "received_at": "2024-01-15T00:00:0%dZ", "message": {"header": {}%s}}'
+    (tmp_path / "m.json").write_text("\n".join(
+        head % pair for pair in enumerate(["", ', "entity": []', ', "entity": [null]', ', "entity": [{"id": "a"}]'])))
+    tagged = feeds.tag_messages(feeds.scan_feed_messages(spark, str(tmp_path)), endpoints, versions)
+    assert R.feed_messages(tagged).count() == 4
+    assert R.trip_updates(tagged).count() == R.stop_time_updates(tagged).count() == 0
+
+
 def test_unknown_endpoint_is_reported(spark, arrivals, endpoints):
     messages = feeds.scan_feed_messages(spark, arrivals)
     assert [r.endpoint for r in feeds.unknown_endpoints(messages, endpoints).collect()] == ["mystery_feed"]
