@@ -68,9 +68,13 @@ def is_service_active(tables: dict[str, DataFrame], source_id: int, service_id:
 
 def upcoming_services(tables: dict[str, DataFrame], as_of: AsOf, zone: str = SERVICE_ZONE,
                       version_id: int | None = None) -> DataFrame:
-    """Services of each day from yesterday to a week ahead (the saved service view)."""
+    """Services of each day from yesterday to a week ahead (the saved service view).
+
+    A calendar row unfolds into a row per day, so the rows are spread over tasks while they are few.
+    """
     today = service_clock(as_of, zone).date
     calendar, exceptions = [in_scope(tables[n], tables["versions"], None, version_id)
                             for n in ("calendar", "calendar_dates")]
+    calendar = calendar.repartition(*SERVICE_KEY)
     return (service_days(calendar, exceptions, F.date_sub(today, 1), F.date_add(today, 7))
             .select("service_date", "source_id", "service_id"))
