@@ -95,10 +95,16 @@ def search_name_lower(names: DataFrame, column: str, text: str, prefix: bool = F
 
 def search_name_trigram(names: DataFrame, column: str, text: str,
                         threshold: float = 0.3) -> DataFrame:
-    """Names sharing at least ``threshold`` of their three-letter pieces with ``text``."""
-    share = overlap_share(trigrams(F.col(column)), trigrams(F.lit(text)))
-    return (names.withColumn("similarity", share).where(F.col("similarity") >= threshold)
-            .orderBy(F.desc("similarity"), column))
+    """Names sharing at least ``threshold`` of their three-letter pieces with ``text``.
+
+    Taking a name apart costs far more than reading it, so names are spread over tasks first, and
+    each is taken apart once: what is unfolded is the share itself, if it is high enough.
+    """
+    wanted = trigrams(F.lit(text))
+    shares = F.transform(F.array(trigrams(F.col(column))), lambda pieces: overlap_share(pieces, wanted))
+    high = F.filter(shares, lambda share: share >= threshold)
+    return (names.repartition(column).select("*", F.explode_outer(high).alias("similarity"))
+            .where(F.col("similarity").isNotNull()).orderBy(F.desc("similarity"), column))
 
 
 def search_name_tokens(names: DataFrame, columns: list[str], text: str) -> DataFrame:

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from headway.operators import services as V
+from headway.operators import search as G, services as V
 from headway.sources.gtfs_files import scan_gtfs_file
 
 
+def test_names_are_spread_and_taken_apart_once(spark, physical):
+    names = spark.createDataFrame([(1, "Flinders"), (2, "Flinder"), (3, None), (4, "Other")], "id int, name string")
+    found = G.search_name_trigram(names, "name", "flinders", 0.5)
+    plan = physical(found).split("== Physical Plan ==")[1]
+    assert plan.count("regexp_extract_all") == 1 and "REPARTITION_BY_COL" in plan
+    assert [r["id"] for r in found.collect()] == [1, 2]
+    assert G.search_name_trigram(names, "name", "flinders", 0.0).count() == 4
+
+
 def test_calendar_rows_are_spread_before_they_unfold(spark, physical):
     days = ", ".join(f"1 AS {d}" for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"))
     tables = {
