@@ -5,11 +5,19 @@ Each ``<table>.txt`` may be one file or a folder of part files with the same hea
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from headway.schemas import RAW_COLUMNS
+from headway.session import shared_dir
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 # Fixed value: where a source's file must lie below the root.
 LAYOUT = r"(?:^|/)([0-9]+)/google_transit/([a-z_]+)\.txt(?:/[^/]*)?$"
@@ -80,51 +88,153 @@ def _followed(rows: DataFrame, by: list[str], order: str) -> DataFrame:
     return rows.drop("turns", "known", "outer", "inner")
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    """``file, record``: the records of CSV files without their headers, also those whose quoted cells
-    span lines.
+# What a line makes of the state it begins in, as one number.
+KEEPS, CLOSED, OPEN, TURNS = range(4)
+LINES = "file bigint, split bigint, value string, makes int, blank boolean"
+ENDS = "file bigint, split bigint, outer int, inner int, all0 bigint, all1 bigint, head string, tail0 string, tail1 string"
 
-    Files are read once, split by split, as lines, which are moved once by split. Whether a split
-    begins inside a quoted cell follows from what the splits in front make of either state (one
-    row per split, in file order), and so does the number of its first record. Lines of one
-    record meet by its number, wherever splits cut it; all other lines are records as they are.
-    """
+
+def _split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``LINES``: the lines of all files as their splits hold them, with the hash of the file's path."""
     text = spark.read.option("lineSep", "\n").text(path)
     quoted = F.contains("value", F.lit('"'))
     lines = text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),  # rises along a split
-        F.regexp_replace("value", r"\r$", "").alias("value"))
-    lines = lines.select("*", F.when(quoted, _opens(F.col("value"))).otherwise(False).cast("int").alias("outer"),
-                         F.when(quoted, _stays_open(F.col("value"))).otherwise(True).cast("int").alias("inner"))
-    lines = _followed(lines.repartition("file", "split"), ["file", "split"], "line")
-    blank = F.length(F.btrim("value")) == 0
-    along = W.partitionBy("file", "split").orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
-    for start in (0, 1):  # records that begin up to here; blank lines outside of cells are none
-        begins = (F.col(f"before{start}") == 0) & ~blank
-        lines = lines.withColumn(f"begun{start}", F.sum(begins.cast("int")).over(along))
-
-    splits = lines.groupBy("file", "split").agg(
-        F.max_by("after0", "line").alias("outer"), F.max_by("after1", "line").alias("inner"),
-        F.max("begun0").alias("all0"), F.max("begun1").alias("all1"))
-    splits = _followed(splits, ["file"], "split").withColumn(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.when(F.endswith("value", F.lit("\r")), F.regexp_replace("value", r"\r$", ""))
+        .otherwise(F.col("value")).alias("value"))
+    opens, stays = _opens(F.col("value")), _stays_open(F.col("value"))
+    makes = (F.when(~quoted, KEEPS).when(opens, F.when(stays, OPEN).otherwise(TURNS))
+             .otherwise(F.when(stays, KEEPS).otherwise(CLOSED)))
+    return lines.select("*", makes.alias("makes"), (F.length(F.btrim("value")) == 0).alias("blank"))
+
+
+def _after(makes: np.ndarray, state: int) -> np.ndarray:
+    """The state behind each line of a stretch that begins in ``state``."""
+    place = np.arange(len(makes))
+    known = np.maximum.accumulate(np.where((makes == CLOSED) | (makes == OPEN), place, -1))
+    turns = np.cumsum(makes == TURNS)
+    since = np.where(known >= 0, turns - turns[known], turns)
+    return (np.where(known >= 0, makes[known] == OPEN, state) + since) % 2
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """The lines of each batch, split by split; a split may go on in the next batch."""
+    for batch in batches:
+        file, split = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("file", "split"))
+        cuts = np.flatnonzero((file[1:] != file[:-1]) | (split[1:] != split[:-1])) + 1
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        for start, end in zip(bounds, bounds[1:]):
+            if end > start:
+                yield (int(file[start]), int(split[start])), batch.slice(start, end - start)
+
+
+def _walked(stretch: pa.RecordBatch, state: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """State before and behind each line, and whether a record begins there; blank lines outside of
+    cells are none."""
+    makes = stretch.column("makes").to_numpy(zero_copy_only=False)
+    blank = stretch.column("blank").to_numpy(zero_copy_only=False).astype(bool)
+    after = _after(makes, state)
+    before = np.concatenate([[state], after[:-1]])
+    return before, after, (before == 0) & ~blank
+
+
+def _split_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ENDS``, one row per split: the state it ends in and its records if it begins outside a quoted
+    cell (0) and inside (1); the lines that end a record begun in front of it, if it begins inside;
+    the lines of a record that it begins and does not end."""
+    def row() -> pa.RecordBatch:
+        text = lambda lines: "\n".join(lines) if lines else None
+        values = [*key, *states, *begun, text(head), *[text(t) if s else None for t, s in zip(tails, states)]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], t) for v, t in zip(values, 2 * [pa.int64()] + 2 * [pa.int32()] + 2 * [pa.int64()] + 3 * [pa.string()])],
+            ["file", "split", "outer", "inner", "all0", "all1", "head", "tail0", "tail1"])
+
+    key = None
+    for found, stretch in _stretches(batches):
+        if found != key:
+            if key is not None:
+                yield row()
+            key, states, begun, head, closed, tails = found, [0, 1], [0, 0], [], False, [None, None]
+        lines = stretch.column("value")
+        for start in (0, 1):
+            before, after, begins = _walked(stretch, states[start])
+            if start == 1 and not closed:
+                ends = np.flatnonzero(after == 0)
+                closed = len(ends) > 0
+                head += lines.slice(0, int(ends[0]) + 1 if closed else None).to_pylist()
+            opened = np.flatnonzero(before == 0)
+            if after[-1] == 0:
+                tails[start] = None
+            elif len(opened):
+                tails[start] = lines.slice(int(opened[-1])).to_pylist()
+            elif tails[start] is not None:
+                tails[start] += lines.to_pylist()
+            begun[start] += int(begins.sum())
+            states[start] = int(after[-1])
+    if key is not None:
+        yield row()
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``record``: those that begin and end in one split, without the first of a file."""
+    key = None
+    for found, stretch in _stretches(batches):
+        if found != key:  # ``lines``: of a record that this split began; None inside one from before
+            key, state, begun = found, stretch.column("state")[0].as_py(), stretch.column("first")[0].as_py()
+            lines, header = None, False
+        before, after, begins = _walked(stretch, state)
+        alone = begins & (after == 0)
+        first = int(np.argmax(begins)) if begun == 0 and begins.any() else -1
+        if first >= 0:
+            alone[first] = False
+        values = stretch.column("value")
+        yield pa.RecordBatch.from_arrays([values.filter(pa.array(alone)).cast(pa.string())], ["record"])
+        spanning = np.flatnonzero((before == 1) | (after == 1))
+        joined = []
+        for i, value in zip(spanning.tolist(), values.take(pa.array(spanning)).to_pylist()):
+            if before[i] == 0:
+                lines, header = [value], i == first
+            elif lines is not None:
+                lines.append(value)
+            if after[i] == 0:
+                if lines is not None and not header:
+                    joined.append("\n".join(lines))
+                lines = None
+        if joined:
+            yield pa.RecordBatch.from_arrays([pa.array(joined, pa.string())], ["record"])
+        state, begun = int(after[-1]), begun + int(begins.sum())
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """``record``: the records of CSV files without their headers, also those whose quoted cells span
+    lines.
+
+    Lines stay in their splits. A first pass finds what each split makes of either state, how many
+    records it begins and the lines of records that its ends cut, one row per split, stored in the
+    shared folder. From these follow the state and the record number every split begins with. The
+    second pass, with these, puts together the records inside a split; cut ones meet by their number.
+    """
+    lines, stored = _split_lines(spark, path), shared_dir(spark, "splits")
+    lines.mapInArrow(_split_ends, ENDS).write.parquet(stored)
+    ends = spark.read.schema(ENDS).parquet(stored)
+    splits = _followed(ends, ["file"], "split").withColumn(
         "all", F.when(F.col("before0") == 0, F.col("all0")).otherwise(F.col("all1")))
     in_front = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    splits = splits.select("file", "split", F.col("before0").alias("state"),
+    splits = splits.select("file", "split", F.col("before0").alias("state"), "all", "head", "tail0", "tail1",
                            F.coalesce(F.sum("all").over(in_front), F.lit(0)).alias("first"))
-
-    def told(name: str) -> Column:
-        return F.when(F.col("state") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
-
-    placed = lines.join(splits, ["file", "split"]).select(
-        "file", "split", "line", "value", (F.col("first") + told("begun")).alias("number"),
-        told("before").alias("before"), told("after").alias("after"))
-    placed = placed.where((F.col("number") > 1) & ~((F.col("before") == 0) & blank))  # 1 is the header
-    alone = (F.col("before") == 0) & (F.col("after") == 0)
-    parts = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
-    joined = (placed.where(~alone).groupBy("file", "number").agg(parts.alias("parts"))
-              .select("file", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("record")))
-    return placed.where(alone).select("file", F.col("value").alias("record")).union(joined)
+    inside = F.col("state") == 1
+    pieces = splits.select("file", "split", F.inline(F.array(
+        F.struct(F.col("first").alias("number"), F.when(inside, F.col("head")).alias("text")),
+        F.struct((F.col("first") + F.col("all")).alias("number"),
+                 F.when(inside, F.col("tail1")).otherwise(F.col("tail0")).alias("text")))))
+    parts = F.sort_array(F.collect_list(F.struct("split", "text")))
+    cut = (pieces.where(F.col("text").isNotNull() & (F.col("number") > 1))  # 1 is the header
+           .groupBy("file", "number").agg(parts.alias("parts"))
+           .select(F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("record")))
+    unknown = F.raise_error(F.lit("files or the size of splits have changed since the files were looked through"))
+    told = lines.join(F.broadcast(splits.select("file", "split", "state", "first")), ["file", "split"], "left").select(
+        *lines.columns, F.coalesce("state", unknown.cast("int")).cast("int").alias("state"), "first")
+    return told.mapInArrow(_whole_records, "record string").union(cut)
 
 
 def _read_source(spark: SparkSession, path: str, columns: list[str],
@@ -159,7 +269,7 @@ def scan_gtfs_file(spark: SparkSession, root: str, name: str, *, sources: list[i
 
     A source without this file adds no rows. ``sources`` saves the listing where it is known.
     Records may span lines, and files are still read by split. Whether any does is looked up first,
-    as lines then have to be moved; ``multiline=False`` says that none does, ``True`` reads each
+    as lines then have to be looked through twice; ``multiline=False`` says that none does, ``True`` reads each
     file as a whole, in one task.
     """
     columns = RAW_COLUMNS[name]

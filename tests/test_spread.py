@@ -6,6 +6,15 @@ from headway.operators import search as G, services as V
 from headway.sources.gtfs_files import scan_gtfs_file
 
 
+def test_lines_of_files_with_spanning_cells_are_not_moved(spark, tmp_path, physical):
+    folder = tmp_path / "3" / "google_transit"
+    folder.mkdir(parents=True)
+    (folder / "stops.txt").write_text('stop_id,stop_name\n1,"a\nb"\n2,c\n')
+    found = scan_gtfs_file(spark, str(tmp_path), "stops", sources=[3])
+    assert "REPARTITION_BY_COL" not in physical(found)
+    assert sorted((r["stop_id"], r["stop_name"]) for r in found.collect()) == [("1", "a\nb"), ("2", "c")]
+
+
 def test_names_are_spread_and_taken_apart_once(spark, physical):
     names = spark.createDataFrame([(1, "Flinders"), (2, "Flinder"), (3, None), (4, "Other")], "id int, name string")
     found = G.search_name_trigram(names, "name", "flinders", 0.5)
