@@ -13,6 +13,9 @@ ROUTE_FACTS = ["route_short_name", "route_long_name", "route_type", "route_color
 # Fixed value: the source whose platforms carry numbers.
 NUMBERED_SOURCE = 2
 
+# Stop times that one task sorts and tells apart, so that its memory does not grow with the tables.
+CALLS_PER_TASK = 200_000
+
 
 def resolve_stop_platforms(stops: DataFrame, stop_id: str) -> DataFrame:
     """A stop itself and the stops whose parent it is."""
@@ -75,14 +78,18 @@ def get_stop_routes(tables: dict[str, DataFrame], source_id: int, stop_id: str,
 def stop_routes(tables: dict[str, DataFrame], version_id: int | None = None) -> DataFrame:
     """Routes serving each stop, with trip and service counts (the saved stop view).
 
-    Repeated calls of a trip are dropped after the join, whose partitioning by trip serves
-    that too. A trip has one service, so trips are counted per service first; what is left to
-    gather per stop and route is one row per service, however busy the stop.
+    Stop times are counted first, and calls and trips dealt over as many tasks as that asks for:
+    adaptive execution would join small pieces into tasks whose sorts and sets grow with the
+    tables. Repeated calls of a trip are dropped before the join, by the same partitioning. A trip
+    has one service, so trips are counted per service first; what is left to gather per stop and
+    route is one row per service, however busy the stop.
     """
     mine = lambda n: in_scope(tables[n], tables["versions"], None, version_id)
+    calls = mine("stop_times").select(*SCOPE, "stop_id", "trip_id")
+    tasks = max(1, -(-calls.count() // CALLS_PER_TASK))
     runs = mine("trips").select(*SCOPE, "trip_id", "route_id", "service_id")
-    calling = (mine("stop_times").select(*SCOPE, "stop_id", "trip_id").join(runs, [*SCOPE, "trip_id"])
-               .distinct())
+    calls, runs = [rows.repartition(tasks, *SCOPE, "trip_id").distinct() for rows in (calls, runs)]
+    calling = calls.join(runs, [*SCOPE, "trip_id"])
     per_service = (calling.groupBy(*SCOPE, "stop_id", "route_id", "service_id")
                    .agg(F.count(F.lit(1)).alias("trips")))
     counts = per_service.groupBy(*SCOPE, "stop_id", "route_id").agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from headway.operators import search as G, services as V
+from headway.operators import search as G, services as V, stops as P
 from headway.sources.gtfs_files import scan_gtfs_file
 
 
@@ -35,3 +35,23 @@ def test_calendar_rows_are_spread_before_they_unfold(spark, physical):
     found = V.upcoming_services(tables, "2024-01-14 21:00:00")
     assert "REPARTITION_BY_COL" in physical(found)
     assert found.count() == 20 * 9 - 1
+
+
+def test_calls_are_dealt_over_tasks_by_their_number(spark, monkeypatch, physical):
+    monkeypatch.setattr(P, "CALLS_PER_TASK", 7)
+    scope = "1 AS source_id, 2 AS version_id"
+    tables = {
+        "versions": spark.sql("SELECT 2 AS version_id, true AS is_active"),
+        "agency": spark.sql(f"SELECT {scope}, 'A' AS agency_id, 'Trams' AS agency_name"),
+        "routes": spark.sql(f"SELECT {scope}, 'R' AS route_id, 'A' AS agency_id, '1' AS route_short_name, "
+                            "'One' AS route_long_name, 0 AS route_type, 'FF' AS route_color, '00' AS route_text_color"),
+        "trips": spark.sql(f"SELECT {scope}, 'T' || id AS trip_id, 'R' AS route_id, 'C' || id % 2 AS service_id "
+                           "FROM range(40)"),
+        # every trip calls twice at S0 and once at S1 or S2
+        "stop_times": spark.sql(f"SELECT {scope}, 'T' || id AS trip_id, stop_id FROM range(40) "
+                                "LATERAL VIEW explode(array('S0', 'S0', 'S' || (1 + id % 2))) AS stop_id")}
+    found = P.stop_routes(tables)
+    assert physical(found).count("REPARTITION_BY_NUM") >= 2
+    counts = {r["stop_id"]: (r["trip_count"], r["service_count"], r["service_ids"]) for r in found.collect()}
+    assert counts == {"S0": (40, 2, ["C0", "C1"]), "S1": (20, 1, ["C0"]), "S2": (20, 1, ["C1"])}
+    assert f", {-(-120 // 7)}), REPARTITION_BY_NUM" in physical(found)
