@@ -10,7 +10,10 @@ for all. A row's entry in a dimension stands under the norm of the row up to tha
 threshold ``t`` an anchor of norm ``a`` reads of each dimension only the entries of norm ``t / a``
 and more: what it leaves out of a row is its first dimensions, whose share of the score is below
 ``t`` by the norms. It adds up partial scores, drops the rows whose partial score and the norms of
-what is left stay below ``t``, and completes the others. If the windows are not full the threshold
+what is left stay below ``t``, and completes the others. The dimensions that hold nearly all of the
+rows' squares would be read whole by any anchor: all anchors of a group read them at once, as one
+product of matrices, and a search goes on from there. Positives start at a threshold that partial
+scores less what is left show to leave enough rows. If the windows are not full the threshold
 is lowered: the lists are read on from where they stood, and nothing is added up twice. So a block
 gives its best rows exactly, and the best of all blocks come from rankings that keep a few rows per
 anchor and task before they move them.
@@ -40,9 +43,11 @@ NEGATIVES = 3
 WINDOW = (50, 95)    # hundredths of the positive's score
 ROWS = 8192          # rows of a block
 ANCHORS = 512        # anchors of a group
+AT_ONCE = 128        # anchors of a product of matrices
 LOWER = 0.8          # what a threshold that left a window open is multiplied by
 LEAST = 0.05         # share of the highest possible score below which all rows are completed
 SLACK = 1e-9         # relative allowance for rounding in the bounds
+HEAD = 0.05          # share of the rows' squares in the dimensions that each anchor reads for itself
 
 
 class Index:
@@ -51,21 +56,32 @@ class Index:
     def __init__(self, rows: np.ndarray):
         squares = rows.astype(np.float64) ** 2
         self.dims = np.argsort(squares.sum(axis=0), kind="stable")  # leaves out as many as it can
+        shares = np.cumsum(np.sort(squares.sum(axis=0)))
+        self.head = int((shares <= HEAD * shares[-1]).sum()) if len(shares) else 0
         self.rows = np.ascontiguousarray(rows[:, self.dims])
         self.norms = np.zeros((len(rows), rows.shape[1] + 1))
         np.sqrt(np.cumsum(squares[:, self.dims], axis=1), out=self.norms[:, 1:])
         self.longest = float(self.norms[:, -1].max(initial=0))
-        order = np.argsort(-self.norms[:, 1:], axis=0, kind="stable")
-        self.order = np.ascontiguousarray(order.T)
-        self.below = -np.take_along_axis(self.norms[:, 1:], order, axis=0).T  # rises
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.columns = {np.int64: np.ascontiguousarray(self.rows.T),
                         np.float64: np.ascontiguousarray(self.rows.T.astype(np.float64))}
 
 
+    def entries(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows in the order of dimension ``d``, and their norms below zero, which rise; sorted
+        when first asked for."""
+        if d not in self.lists:
+            below = -self.norms[:, d + 1]
+            order = np.argsort(below, kind="stable")
+            self.lists[d] = order, below[order]
+        return self.lists[d]
+
+
 class Search:
     """One anchor on its way down the thresholds of an index."""
 
-    def __init__(self, index: Index, anchor: np.ndarray):
+    def __init__(self, index: Index, anchor: np.ndarray, tail: np.ndarray | None = None):
+        """``tail``: partial scores over the dimensions behind the head, read whole (``tails``)."""
         asked = anchor[index.dims]
         norms = np.sqrt(np.cumsum(asked.astype(np.float64) ** 2))
         self.norms = np.concatenate([[0.0], norms])
@@ -79,27 +95,46 @@ class Search:
         self.read = np.zeros(len(index.dims), np.int64)
         self.entries = 0    # read so far
         self.completed = 0  # rows completed so far
+        if tail is not None:
+            self.partial[:] = tail
+            self.left[:] = index.head
+            self.read[index.head:] = len(index.rows)
+            self.entries = int(self.read.sum())
+
+    def _most(self) -> np.ndarray:
+        """What the dimensions not read yet can add to or take from the score of each row."""
+        return self.index.norms[np.arange(len(self.left)), self.left] * self.norms[self.left]
+
+    def reached(self, k: int, own: int) -> float:
+        """A threshold that at least ``k`` rows but ``own`` reach, as far as they have been read."""
+        low = self.partial - self._most() - SLACK * (self.highest + 1)
+        if own >= 0:
+            low[own] = -np.inf
+        return float(np.partition(low, -k)[-k]) if len(low) >= k else -np.inf
 
     def at_least(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all rows that score ``threshold`` or more, which never rises."""
         index, count = self.index, len(self.left)
         norm = threshold / self.norms[-1] * (1 - SLACK) if threshold > 0 and self.norms[-1] else 0.0
-        ends = np.array([b.searchsorted(-norm, "right") for b in index.below])
+        ends = self.read.copy()
+        for d in np.flatnonzero(self.read < count):
+            ends[d] = max(ends[d], index.entries(d)[1].searchsorted(-norm, "right"))
         whole = (ends == count) & (self.read == 0)
         tail = len(whole) - int(np.argmin(np.append(whole[::-1], False)))  # from here on read whole
-        self.partial += self.anchor[tail:] @ self.columns[tail:]
-        self.left -= len(whole) - tail
+        if tail < len(whole):
+            self.partial += self.anchor[tail:] @ self.columns[tail:]
+            self.left -= len(whole) - tail
         for d in np.flatnonzero(ends[:tail] > self.read[:tail]):
-            at = index.order[d, self.read[d]:ends[d]]
+            at = index.entries(d)[0][self.read[d]:ends[d]]
             self.partial[at] += self.anchor[d] * self.columns[d, at]
             self.left[at] -= 1
         self.entries += int((ends - self.read).sum())
         self.read = ends
-        most = index.norms[np.arange(count), self.left] * self.norms[self.left]
-        near = np.flatnonzero(self.partial + most + SLACK * (self.highest + 1) >= threshold)
+        near = np.flatnonzero(self.partial + self._most() + SLACK * (self.highest + 1) >= threshold)
         self.completed += len(near)
-        rest = np.arange(len(index.dims)) < self.left[near, None]
-        scores = (self.partial[near] + (index.rows[near] * rest) @ self.anchor).astype(np.int64)
+        open_ = int(self.left[near].max(initial=0))
+        rest = np.arange(open_) < self.left[near, None]
+        scores = (self.partial[near] + (index.rows[near, :open_] * rest) @ self.anchor[:open_]).astype(np.int64)
         good = scores >= threshold
         return near[good], scores[good]
 
@@ -118,10 +153,24 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def best_positives(index: Index, ids: np.ndarray, anchor: np.ndarray, own: int, k: int
-                   ) -> tuple[np.ndarray, np.ndarray]:
+def tails(index: Index, anchors: np.ndarray) -> Iterator[np.ndarray | None]:
+    """Partial scores of each of ``anchors`` with all rows over the dimensions behind the head; None
+    where they would not be exact."""
+    asked = anchors[:, index.dims].astype(np.float64)
+    if not np.sqrt((asked ** 2).sum(axis=1).max(initial=0)) * index.longest < 2.0 ** 52:
+        yield from [None] * len(anchors)
+        return
+    behind = index.columns[np.float64][index.head:]
+    for first in range(0, len(anchors), AT_ONCE):
+        yield from asked[first:first + AT_ONCE, index.head:] @ behind
+
+
+def best_positives(index: Index, ids: np.ndarray, anchor: np.ndarray, own: int, k: int,
+                   tail: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places and scores of the k best rows but ``own``."""
-    for end, places, scores in Search(index, anchor).downwards(np.inf, -np.inf):
+    search = Search(index, anchor, tail)
+    first = search.reached(k, own) if tail is not None else np.inf
+    for end, places, scores in search.downwards(first, -np.inf):
         other = places != own
         places, scores = places[other], scores[other]
         if end or len(places) >= k:
@@ -130,7 +179,7 @@ def best_positives(index: Index, ids: np.ndarray, anchor: np.ndarray, own: int,
 
 
 def best_negatives(index: Index, ids: np.ndarray, may: np.ndarray, anchor: np.ndarray,
-                   positives: np.ndarray, k: int, window: tuple[int, int]
+                   positives: np.ndarray, k: int, window: tuple[int, int], tail: np.ndarray | None = None
                    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(positive, places, scores): the k best rows that ``may`` count in each positive's window."""
     low, high = window
@@ -139,7 +188,8 @@ def best_negatives(index: Index, ids: np.ndarray, may: np.ndarray, anchor: np.nd
         return
     top = max(h for _, h in open_.values()) / 100
     last = min(lo for lo, _ in open_.values()) // 100
-    for end, places, scores in Search(index, anchor).downwards(top, last):
+    # No window holds anything at its very top: the first threshold is a step below.
+    for end, places, scores in Search(index, anchor, tail).downwards(max(top * LOWER, last), last):
         good = may[places]
         places, scores = places[good], scores[good]
         for i, (lo, hi) in list(open_.items()):
@@ -162,6 +212,8 @@ def _usable(vector: Column) -> Column:
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    if len(vectors) and all(len(v) == width for v in vectors):
+        return np.concatenate(vectors.to_list()).astype(np.int64).reshape(len(vectors), width)
     out = np.zeros((len(vectors), width), np.int64)
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
@@ -190,10 +242,10 @@ def _positives(k: int, rows: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFram
                 continue
             index = Index(all_rows[same])
             ids, number = (rows[c].to_numpy()[same] for c in ("vec_id", "number"))
-            for i in mine:
+            for i, tail in zip(mine, tails(index, asked[mine])):
                 at = int(anchors["anchor"].iloc[i])
                 found, scores = best_positives(index, ids, asked[i],
-                                               int(np.searchsorted(number, at)) if at in number else -1, k)
+                                               int(np.searchsorted(number, at)) if at in number else -1, k, tail)
                 out.append((np.full(len(found), at), number[found], ids[found], scores))
     return _frame(("anchor", "positive", "positive_id", "positive_score"), out)
 
@@ -204,10 +256,11 @@ def _negatives(k: int, window: tuple[int, int], rows: pd.DataFrame, anchors: pd.
         all_rows, asked = _matrices(rows, anchors)
         index = Index(all_rows)
         ids, number, labels = (rows[c].to_numpy() for c in ("vec_id", "number", "label"))
-        for i, (at, label, positives) in enumerate(zip(anchors["anchor"], anchors["asked_label"],
-                                                       anchors["positives"])):
+        for i, (at, label, positives, tail) in enumerate(zip(
+                anchors["anchor"], anchors["asked_label"], anchors["positives"], tails(index, asked))):
             scores = np.array([p["positive_score"] for p in positives], np.int64)
-            for p, found, got in best_negatives(index, ids, labels != label, asked[i], scores, k, window):
+            for p, found, got in best_negatives(index, ids, labels != label, asked[i], scores, k, window,
+                                                 tail):
                 out.append((np.full(len(found), at), np.full(len(found), positives[p]["positive"]),
                             number[found], ids[found], got))
     return _frame(("anchor", "positive", "number", "negative_id", "negative_score"), out)

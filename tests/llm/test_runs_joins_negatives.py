@@ -298,6 +298,19 @@ def test_the_index_reads_and_completes_a_part():
     assert entries < search.entries <= rows.size
 
 
+def test_anchors_read_whole_dimensions_together():
+    draw = np.random.default_rng(7)
+    rows = (draw.normal(size=(3000, 64)) * 200).astype(np.int64)
+    index, ids = negatives.Index(rows), np.arange(3000)
+    for own, tail in zip(range(40), negatives.tails(index, rows[:40])):
+        exact = rows @ rows[own]
+        exact[own] = exact.min()
+        places, scores = negatives.best_positives(index, ids, rows[own], own, 5, tail)
+        assert scores.tolist() == sorted(exact.tolist())[:-6:-1] == exact[places].tolist()
+    assert 0 < index.head < 8 and not set(index.lists) - set(range(index.head))
+    assert list(negatives.tails(index, rows[:2] * 10 ** 12)) == [None, None]  # not exact: each for itself
+
+
 def test_scores_beyond_the_type_are_refused():
     huge = np.full((2, 2), 1 << 40, np.int64)
     with pytest.raises(ValueError, match="2\\^62"):
