@@ -188,17 +188,21 @@ def stored_messages(t: Tables) -> DataFrame:
     return feeds.scan_feed_messages(t.spark, message_files(t))
 
 
-def usual_messages(t: Tables) -> DataFrame:
-    """The stored messages once more, written as feeds usually write JSON."""
+def usual_messages(t: Tables, feed_type: str | None) -> DataFrame:
+    """The stored messages once more, written as feeds usually write JSON; all are written, those
+    of the endpoints of ``feed_type`` are read where a table holds rows of no other."""
     path = shared_dir(t.spark, "usual")
     M.usual_lines(t).write.text(path)
-    return feeds.tag_messages(feeds.scan_feed_messages(t.spark, path), endpoints(t), t["versions"])
+    named = feeds.endpoints_of(feed_type) if feed_type else None
+    return feeds.tag_messages(feeds.scan_feed_messages(t.spark, path, endpoints=named), endpoints(t), t["versions"])
 
 
-for table in ("feed_messages", "vehicle_positions", "trip_updates", "stop_time_updates", "alerts",
-              "alert_active_periods", "alert_informed_entities"):
+for table, feed_type in (("feed_messages", None), ("vehicle_positions", "vehicle_positions"),
+                         ("trip_updates", "trip_updates"), ("stop_time_updates", "trip_updates"),
+                         ("alerts", "service_alerts"), ("alert_active_periods", "service_alerts"),
+                         ("alert_informed_entities", "service_alerts")):
     query(f"S4_usual_json_{table}", shown(table))(
-        lambda t, name=table: R.REALTIME_ROWS[name](usual_messages(t)))
+        lambda t, name=table, kind=feed_type: R.REALTIME_ROWS[name](usual_messages(t, kind)))
 
 
 @query("S5_endpoints_dim", """

@@ -80,6 +80,10 @@ def _alert(e: Column, user: Column) -> Column:
         F.lit(None).cast(S.TEXT).alias("description_text"))
 
 
+# Events of one task: their messages are many times as long, so small pieces are not joined.
+EVENTS_PER_TASK = 25_000
+
+
 def feed_messages(t: Tables) -> DataFrame:
     """One row per fetch; the twenty events of a message are its entities."""
     e, user, kind = F.col("event_id"), F.col("user_id"), F.col("kind")
@@ -98,7 +102,8 @@ def feed_messages(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("feed_version"))
     failed = m % 700 == 40
     # Events are brought together while they are still narrow, then built into entities.
-    return (t["fx_ev"].repartition("feed_message_id").withColumn("entity", entity)
+    tasks = max(1, -(-t["fx_ev"].count() // EVENTS_PER_TASK))
+    return (t["fx_ev"].repartition(tasks, "feed_message_id").withColumn("entity", entity)
             .groupBy("feed_message_id", "kind", "half")
             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("received_at"),
                  F.collect_list("entity").alias("entity"))

@@ -25,9 +25,9 @@ def camel(name: str) -> str:
     return first + "".join(x.title() for x in others)
 
 
-def _member(value: Column, name: str) -> Column:
-    """A member in either spelling."""
-    return F.coalesce(*[value[n] for n in dict.fromkeys((name, camel(name)))])
+def _spelt(value: Column, name: str) -> list[Column]:
+    """A member in each of its spellings; the first that is there counts."""
+    return [value[n] for n in dict.fromkeys((name, camel(name)))]
 
 
 def accepted(kind: T.DataType) -> T.DataType:
@@ -43,8 +43,7 @@ def accepted(kind: T.DataType) -> T.DataType:
 def settled(value: Column, kind: T.DataType, name: str = "", around: str = "") -> Column:
     """``value``, read as ``accepted(kind)``, as ``kind``; what names no number is NULL."""
     if isinstance(kind, T.StructType):
-        members = [settled(_member(value, f.name), f.dataType, f.name, name).alias(f.name)
-                   for f in kind]
+        members = [_settled_member(value, f, name).alias(f.name) for f in kind]
         return F.when(value.isNotNull(), F.struct(*members))
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda e: settled(e, kind.elementType, name, around))
@@ -57,14 +56,27 @@ def settled(value: Column, kind: T.DataType, name: str = "", around: str = "") -
     return value
 
 
+def _settled_member(value: Column, field: T.StructField, around: str) -> Column:
+    first, *others = _spelt(value, field.name)
+    if isinstance(field.dataType, T.StructType) and others:
+        # Each spelling is followed by itself: all that lies below a choice would choose once more.
+        either = F.when(first.isNotNull(), settled(first, field.dataType, field.name, around))
+        return either.otherwise(settled(others[0], field.dataType, field.name, around))
+    return settled(F.coalesce(first, *others), field.dataType, field.name, around)
+
+
 def misread(value: Column, kind: T.DataType, name: str = "", around: str = "") -> Column:
     """Whether ``value``, read as ``accepted(kind)``, holds text where a number or the name of a
     code should be; never NULL."""
     if isinstance(kind, T.StructType):
         # What is missing is not looked into, so an entity costs only what it holds.
-        return value.isNotNull() & reduce(
-            Column.__or__, [misread(_member(value, f.name), f.dataType, f.name, name)
-                            for f in kind if _holds_numbers(f.dataType)])
+        tests = []
+        for f in kind:
+            if _holds_numbers(f.dataType):
+                first, *others = _spelt(value, f.name)
+                tests.append(misread(first, f.dataType, f.name, name))
+                tests += [first.isNull() & misread(x, f.dataType, f.name, name) for x in others]
+        return value.isNotNull() & reduce(Column.__or__, tests)
     if isinstance(kind, T.ArrayType):
         bad = F.exists(value, lambda e: misread(e, kind.elementType, name, around))
         return F.coalesce(bad, F.lit(False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
@@ -33,29 +35,46 @@ def _usable(messages: DataFrame) -> DataFrame:
     return messages.where(F.col("error").isNull() & F.col("message").isNotNull())
 
 
-def _lines(reader: DataFrameReader | DataStreamReader, path: str, **options: str) -> DataFrame:
+def _of(rows: DataFrame, endpoints: Collection[str] | None) -> DataFrame:
+    return rows if endpoints is None else rows.where(F.col("endpoint").isin(*endpoints))
+
+
+def _lines(reader: DataFrameReader | DataStreamReader, path: str,
+           endpoints: Collection[str] | None = None, **options: str) -> DataFrame:
     """Lines of JSON as they were written, in any form of ``feed_json``, with ``_raw``: the text
-    of a line or message that is not readable as one."""
+    of a line or message that is not readable as one. The reader itself passes over lines of other
+    ``endpoints``, so nothing is built of them or looked for in them."""
     fields = [StructField(f.name, accepted(f.dataType) if f.name == "message" else f.dataType)
               for f in FEED_MESSAGE]
     rows = (reader.options(**MESSAGE_OPTIONS, columnNameOfCorruptRecord="_raw", **options)
             .schema(StructType([*fields, StructField("_raw", StringType())])).json(path))
     unread = F.when(misread(F.col("message"), MESSAGE), F.to_json("message"))
-    return rows.withColumn("_raw", F.coalesce("_raw", unread))
+    return _of(rows, endpoints).withColumn("_raw", F.coalesce("_raw", unread))
 
 
 def _readable(reader: DataFrameReader | DataStreamReader, path: str, fmt: str,
-              **options: str) -> DataFrame:
+              endpoints: Collection[str] | None = None, **options: str) -> DataFrame:
     if fmt != "json":
-        return _usable(reader.format(fmt).options(**options).schema(FEED_MESSAGE).load(path))
-    return _usable(_lines(reader, path, **options)).where("_raw is null").select(
+        rows = reader.format(fmt).options(**options).schema(FEED_MESSAGE).load(path)
+        return _usable(_of(rows, endpoints))
+    return _usable(_lines(reader, path, endpoints, **options)).where("_raw is null").select(
         "endpoint", "received_at", "error", settled(F.col("message"), MESSAGE).alias("message"))
 
 
-def scan_feed_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def scan_feed_messages(spark: SparkSession, path: str, fmt: str = "json",
+                       endpoints: Collection[str] | None = None) -> DataFrame:
     """Stored messages, without those ``rejected_messages`` lists. JSON may name codes or number
-    them, write numbers as text, and spell members either way."""
-    return _readable(spark.read, path, fmt)
+    them, write numbers as text, and spell members either way.
+
+    Of ``endpoints`` only, if named: which feed an endpoint has is told by a join, whose filter
+    on it comes after a message has been built and looked through.
+    """
+    return _readable(spark.read, path, fmt, endpoints)
+
+
+def endpoints_of(feed_type: str) -> list[str]:
+    """The listed endpoints of a feed type."""
+    return [endpoint for endpoint, kind, _ in ENDPOINTS if kind == feed_type]
 
 
 def rejected_messages(spark: SparkSession, path: str) -> DataFrame:

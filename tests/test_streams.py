@@ -280,6 +280,16 @@ def test_messages_under_one_key(spark, endpoints, versions, tmp_path):
     assert len(taken) == 1 and len(taken.pop()) == 1
 
 
+def test_lines_of_other_endpoints_are_passed_over_by_the_reader(spark, arrivals, physical):
+    every = feeds.scan_feed_messages(spark, arrivals)
+    for feed_type in ("trip_updates", "vehicle_positions", "service_alerts"):
+        named = feeds.endpoints_of(feed_type)
+        found = feeds.scan_feed_messages(spark, arrivals, endpoints=named)
+        assert "PushedFilters: [In(endpoint" in physical(found).replace("IsNull(error), ", "").replace(
+            "IsNotNull(message), ", "")
+        assert found.collect() == [r for r in every.collect() if r.endpoint in named] != []
+
+
 def test_a_batch_without_messages_to_take(spark, endpoints, versions, tmp_path):
     from headway.plans.feed_load import load_messages
     path = tmp_path / "in.json"
