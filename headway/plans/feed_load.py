@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -53,8 +53,12 @@ def load_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFrame
     refused; the batch itself may be run again. Jobs that write to one ``root`` at the same
     moment do not see each other's messages.
     """
-    with _judged(messages, endpoints, versions) as judged:
-        judged = refuse_repeats(judged, _stored_keys(judged, root, batch_id))
+    with _judged(messages, endpoints, versions) as judged, ExitStack() as kept:
+        def keep(found: DataFrame) -> DataFrame:
+            kept.callback(found.persist(StorageLevel.MEMORY_AND_DISK).unpersist)
+            return found
+
+        judged = refuse_repeats(judged, _stored_keys(judged, root, batch_id), keep)
         tables = realtime_tables(judged.where("refusal is null"))
         write_batch({**tables, "rejected_messages": refused_messages(judged)}, root, batch_id)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
@@ -266,31 +266,40 @@ def judge_messages(messages: DataFrame, endpoints: DataFrame, versions: DataFram
     return _stamped(messages, endpoints, versions, "left").withColumn("refusal", refusal)
 
 
-def refuse_repeats(judged: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def refuse_repeats(judged: DataFrame, stored: DataFrame | None = None,
+                   keep: Callable[[DataFrame], DataFrame] = lambda found: found) -> DataFrame:
     """``judged`` with a refusal for messages whose key (time of receipt, source, feed type) is
     taken: by a row of ``stored`` (feed_message_id), or by another message of the batch, of which
     the one with the smallest hash stays, whatever order they came in.
 
     Keys are looked up without the messages, in a job of their own: a batch that holds no such
-    key, as most do, comes back as it is, and no message moves. ``judged`` should be persisted.
+    key, as most do, comes back as it is, and no message moves. What is found are keys and numbers of
+    rows, which ``keep`` may persist: Spark then knows how few they are and brings them to the
+    messages, else the messages of each table move to them. ``judged`` should be persisted.
     """
     key, free = "feed_message_id", F.col("refusal").isNull()
+
+    def refused(rows: DataFrame, found: DataFrame, by: str, reason: str) -> DataFrame:
+        return (rows.join(found.withColumn("_found", F.lit(True)), by, "left")
+                .withColumn("refusal", F.when(free & F.col("_found"), F.lit(reason)).otherwise(F.col("refusal")))
+                .drop("_found"))
+
+    # Rows are numbered as they are stored, before any join could order them anew.
+    plain, judged = judged, judged.withColumn("_row", F.monotonically_increasing_id())
     if stored is not None:
-        held = judged.where(free).select(key).join(stored, key, "left_semi").distinct()
-        if not held.isEmpty():
-            judged = (judged.join(held.withColumn("_held", F.lit(True)), key, "left")
-                      .withColumn("refusal", F.when(free & F.col("_held"), F.lit("stored message"))
-                                  .otherwise(F.col("refusal"))).drop("_held"))
-    twice = (judged.where(free).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where("_n > 1").select(key))
-    if twice.isEmpty():
-        return judged
-    place = F.row_number().over(Window.partitionBy(key).orderBy(
-        F.xxhash64(F.to_json("message"), "endpoint")))
-    placed = judged.where(free).join(twice, key, "left_semi").withColumn(
-        "refusal", F.when(place > 1, F.lit("repeated message")))
-    rest = judged.where(free).join(twice, key, "left_anti")
-    return rest.unionByName(placed).unionByName(judged.where(~free))
+        held = keep(judged.where(free).select(key).join(stored, key, "left_semi").distinct())
+        if held.count():
+            plain, judged = [refused(x, held, key, "stored message") for x in (plain, judged)]
+    twice = keep(judged.where(free).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                 .where("_n > 1").select(key))
+    if not twice.count():
+        return plain
+    alike = judged.where(free).join(twice, key, "left_semi").select(
+        key, "_row", F.xxhash64(F.to_json("message"), "endpoint").alias("_hash"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy("_hash", "_row"))
+    later = keep(alike.select("_row", place.alias("_place")).where("_place > 1").select("_row"))
+    later.count()
+    return refused(judged, later, "_row", "repeated message").drop("_row")
 
 
 def refused_messages(judged: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from headway.operators import events as N, realtime_rows as R
 from headway.plans.feed_load import realtime_tables
@@ -280,6 +281,21 @@ def test_messages_under_one_key(spark, endpoints, versions, tmp_path):
     assert len(taken) == 1 and len(taken.pop()) == 1
 
 
+def test_repeats_are_told_apart_without_moving_messages(spark, endpoints, versions, tmp_path, physical):
+    """Of messages under one key one stays, also of equal ones; every table reads the stored batch."""
+    lines = [message("tram_trip_updates", n % 4, [trip_update(f"E{n // 8}", "T1", [(1, "S1")])]) for n in range(16)]
+    (tmp_path / "in.json").write_text("\n".join(map(json.dumps, lines)))
+    judged = feeds.judge_messages(feeds.scan_feed_messages(spark, str(tmp_path)), endpoints, versions).persist()
+    found = feeds.refuse_repeats(judged, None, DataFrame.persist)
+    plan = physical(found).split("== Physical Plan ==")[1]
+    assert "Union" not in plan and "Window" not in plan.split("InMemoryRelation")[0]
+    rows = found.select("feed_message_id", "refusal").collect()
+    assert len(rows) == 16 and found.columns == judged.columns
+    assert Counter(r.refusal for r in rows) == {"repeated message": 12, None: 4}
+    assert len({r.feed_message_id for r in rows if r.refusal is None}) == 4
+    judged.unpersist()
+
+
 def test_lines_of_other_endpoints_are_passed_over_by_the_reader(spark, arrivals, physical):
     every = feeds.scan_feed_messages(spark, arrivals)
     for feed_type in ("trip_updates", "vehicle_positions", "service_alerts"):
